@@ -65,9 +65,6 @@ def align_schema(
     return df.select(*columns)
 
 
-def load_columns(
-    df: DataFrame,
-    values: Mapping[str, Column],
-) -> DataFrame:
+def extend(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """``SELECT *, expr AS name``."""
     return df.withColumns(dict(values))
