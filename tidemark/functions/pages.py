@@ -31,24 +31,24 @@ def unescape_html(text: ColumnOrName) -> Column:
     resolved = text
     for name, char in NAMED_REFERENCES.items():
         resolved = F.replace(resolved, F.lit(name), F.lit(char))
-    for pattern, base in ((r"&#([0-9]{1,7});", 10), (r"&#[xX]([0-9a-fA-F]{1,6});", 16)):
-        codes = F.array_distinct(F.regexp_extract_all(resolved, F.lit(pattern), F.lit(0)))
-        resolved = F.reduce(
-            codes,
-            resolved,
-            lambda acc, ref, p=pattern, b=base: F.replace(acc, ref, _code_point(ref, p, b)),
-        )
+    resolved = _resolve_numbers(resolved, r"&#([0-9]{1,7});", 10)
+    resolved = _resolve_numbers(resolved, r"&#[xX]([0-9a-fA-F]{1,6});", 16)
     resolved = F.replace(resolved, F.lit("&amp;"), F.lit("&"))
     # Most texts hold no reference at all and skip the work.
     return F.when(text.contains("&"), resolved).otherwise(text)
 
 
-def _code_point(reference: Column, pattern: str, base: int) -> Column:
-    digits = F.regexp_extract(reference, pattern, 1)
-    hexadecimal = F.lpad(F.conv(digits, base, 16), 8, "0")
-    valid = F.conv(digits, base, 10).cast("bigint").between(1, 0x10FFFF)
-    char = F.decode(F.unhex(hexadecimal), "UTF-32")
-    return F.when(valid, char).otherwise(reference)
+def _resolve_numbers(text: Column, pattern: str, base: int) -> Column:
+    def resolve(done: Column, reference: Column) -> Column:
+        digits = F.regexp_extract(reference, pattern, 1)
+        utf32 = F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0"))
+        code = F.conv(digits, base, 10).cast("bigint")
+        surrogate = code.between(0xD800, 0xDFFF)
+        char = F.when(code.between(1, 0x10FFFF) & ~surrogate, F.decode(utf32, "UTF-32")).otherwise(reference)
+        return F.replace(done, reference, char)
+
+    references = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.reduce(references, text, resolve)
 
 
 def element(tag: str, attribute: str | None = None, contains: str = "") -> str:
@@ -133,3 +133,10 @@ def without(items: ColumnOrName, stop_list: tuple[str, ...]) -> Column:
     """The list less the entries of the stop list; order and repeats are kept."""
     stops = F.array(*[F.lit(s) for s in stop_list])
     return F.filter(as_col(items), lambda x: ~F.array_contains(stops, x))
+
+
+def text_or_link(block: ColumnOrName) -> Column:
+    """Plain text of a block without elements, else its first link's text."""
+    block = as_col(block)
+    plain = F.when(~F.contains(block, F.lit("<")), F.nullif(block, F.lit("")))
+    return F.coalesce(plain, first_text(block, r"(?s)<a\b[^>]*>([^<]*)"))

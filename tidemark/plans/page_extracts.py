@@ -1,13 +1,14 @@
 """Crawled pages to raw page tables, one extractor per kind of page.
 
 Input rows are (url, body, meta) as ``sources.documents`` reads them; output
-columns are those of the raw tables in ``schemas``. Lists come back as arrays
-of structs and absent values as NULL.
+columns are those of the raw tables in ``schemas``, after any page columns named
+in ``keep`` (the crawl job and scrape time). Lists come back as arrays of structs
+and absent values as NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -50,7 +51,7 @@ def _clean(value: Column) -> Column:
     return P.unescape_html(value)
 
 
-def extract_repos(pages: DataFrame) -> DataFrame:
+def extract_repos(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per repository page."""
     body = "body"
     about = F.regexp_extract(body, _block_after("About", "</div>"), 1)
@@ -58,6 +59,7 @@ def extract_repos(pages: DataFrame) -> DataFrame:
     language = r"(?s)<li\b[^>]*>\s*<a\b[^>]*>.*?<span\b[^>]*>([^<]*)</span>\s*<span\b[^>]*>([^<]*)</span>"
     overview = P.embedded_json(body, EMBEDDED_DATA, 2)
     return pages.select(
+        *keep,
         url_path_segment("url", 2).alias("name"),
         F.col("url").alias("link"),
         _clean(P.first_text(about, r"(?s)<p\b[^>]*>([^<]*)")).alias("description"),
@@ -77,13 +79,14 @@ def extract_repos(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract_contributors(pages: DataFrame) -> DataFrame:
+def extract_contributors(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per contributor listed on a page, with the page's repository."""
     # A person's item runs to the next person's.
     person = P.element("li", "class", "contrib-person")
     pieces = F.split("body", person)
     items = F.slice(pieces, 2, F.size(pieces))
     rows = pages.select(
+        *keep,
         F.col("meta.repo_name").alias("repo_name"),
         F.col("meta.source_repo_link").alias("source_repo_link"),
         F.explode(items).alias("item"),
@@ -91,6 +94,7 @@ def extract_contributors(pages: DataFrame) -> DataFrame:
     profile_tag = F.regexp_extract("item", P.element("a", "data-hovercard-type", "user"), 0)
     commits = P.element("a", "href", "commits?author") + _TEXT_AFTER_TAG
     return rows.select(
+        *keep,
         "repo_name",
         "source_repo_link",
         absolute_link(P.first_text(profile_tag, r'\shref="([^"]*)"'), SITE).alias("profile_link"),
@@ -98,7 +102,7 @@ def extract_contributors(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract_profiles(pages: DataFrame) -> DataFrame:
+def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per profile page, with the employer and organisations it names."""
     body = "body"
 
@@ -138,10 +142,8 @@ def extract_profiles(pages: DataFrame) -> DataFrame:
             ),
         )
     )
-    # Plain text when the employer holds no elements, else its first link's text.
-    plain = F.when(~employer.contains("<"), F.nullif(employer, F.lit("")))
-    company = F.coalesce(plain, F.nullif(F.try_element_at(linked, F.lit(1))["name"], F.lit("")))
     return pages.select(
+        *keep,
         F.col("url").alias("link"),
         tab("repositories").alias("number_of_repos"),
         tab("stars").alias("number_of_stars"),
@@ -154,16 +156,17 @@ def extract_profiles(pages: DataFrame) -> DataFrame:
         percent("left").alias("contrib_pct_commits"),
         percent("right").alias("contrib_pct_issues"),
         percent("bottom").alias("contrib_pct_pull_requests"),
-        _clean(company).alias("company_name"),
+        _clean(P.text_or_link(employer)).alias("company_name"),
         F.lit(None).cast("string").alias("email_domain"),
         P.concat_or_null(employers, organisations).alias("organizations"),
     )
 
 
-def extract_companies(pages: DataFrame) -> DataFrame:
+def extract_companies(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per company home page, with its first link to each network."""
     body, domain = "body", F.col("meta.domain")
     return pages.select(
+        *keep,
         F.col("meta.og_company_name").alias("name"),
         F.col("url").alias("website"),
         domain.alias("domain"),
@@ -185,7 +188,7 @@ def extract_companies(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract_projects(pages: DataFrame) -> DataFrame:
+def extract_projects(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per project listed in a wanted section of the list page.
 
     The list is an HTML article inside a script's JSON. Its table of contents
@@ -200,11 +203,12 @@ def extract_projects(pages: DataFrame) -> DataFrame:
         F.filter(toc, lambda t: t["level"] == 2), lambda t: F.concat(F.lit("#"), t["anchor"])
     )
     articles = pages.select(
+        *keep,
         P.without(level_two, SKIPPED_SECTIONS).alias("sections"),
         json_text(overview, README + ".richText").alias("article"),
     ).filter(F.col("article").isNotNull())
-    listed = articles.select("sections", F.explode(_listed_items("article")).alias("item"))
-    return listed.filter(F.array_contains("sections", F.col("item.section"))).select("item.*")
+    listed = articles.select(*keep, "sections", F.explode(_listed_items("article")).alias("item"))
+    return listed.filter(F.array_contains("sections", F.col("item.section"))).select(*keep, "item.*")
 
 
 class _ListedItems(HTMLParser):
@@ -284,14 +288,14 @@ EXTRACTORS = {
 }
 
 
-def extract(pages: DataFrame, kind: str) -> DataFrame:
-    """Run the extractor for one kind of page."""
-    return EXTRACTORS[kind](pages)
+def dispatch(
+    pages: DataFrame, kind_column: str, keep: Sequence[str] = ()
+) -> dict[str, DataFrame]:
+    """Split mixed pages by kind, each through its own extractor.
 
-
-def dispatch(pages: DataFrame, kind_column: str) -> dict[str, DataFrame]:
-    """Split mixed pages by kind, each through its own extractor."""
+    Store pages partitioned by kind, and each extractor scans its own pages only.
+    """
     return {
-        kind: extractor(pages.filter(F.col(kind_column) == kind))
+        kind: extractor(pages.filter(F.col(kind_column) == kind), keep)
         for kind, extractor in EXTRACTORS.items()
     }
