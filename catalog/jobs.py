@@ -391,7 +391,7 @@ def metric_repo_company_share(t: Tables):
 
 
 # Row sizes: a 24-byte header, 8 bytes per long, double or time, 4 per int,
-# 10 per 20-digit decimal, and text by its length.
+# 10 per 18-digit decimal, and text by its length.
 _PROFILED = {
     ("raw", "orders"): ("orders", X._quarter("o_orderdate"), "24 + 32 + strlen(o_orderstatus) + strlen(o_orderpriority)"),
     ("raw", "lineitem"): ("lineitem", X._quarter("l_shipdate"), "24 + 68 + strlen(l_returnflag) + strlen(l_linestatus)"),

@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions._columns import ColumnOrName, as_col
 
-# The date spellings found in the regulators' files.
-REPORT_DATE_FORMATS = (
-    "yyyyMMdd",
-    "M/d/yyyy",
-    "M/d/yyyy H:mm:ss",
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-)
-
 # How each consumer of a report period spells it.
 PERIOD_STYLES = {
     "compact": "yyyyMMdd",
@@ -31,18 +20,18 @@ def day_string(ts: ColumnOrName) -> Column:
     return F.date_format(as_col(ts), "yyyyMMdd")
 
 
-def parse_day(
-    text: ColumnOrName,
-    formats: Sequence[str] = REPORT_DATE_FORMATS,
-    strict: bool = True,
-) -> Column:
-    """Date text in any of ``formats``; unreadable text is an error if strict."""
-    value = as_col(text)
-    parsed = F.coalesce(*[F.try_to_date(value, fmt) for fmt in formats])
-    if not strict:
-        return parsed
-    complaint = F.raise_error(F.concat(F.lit("not a report date: "), value)).cast("date")
-    return F.when(value.isNotNull(), F.coalesce(parsed, complaint))
+def parse_day(text: ColumnOrName, strict: bool = True) -> Column:
+    """Report-date text as a date.
+
+    Reads ``YYYYMMDD``, ``M/D/YYYY`` and ``YYYY-MM-DD``, the last two with or
+    without a time of day. Other text is an error, or NULL when not ``strict``.
+    The text is rearranged and cast: a ladder of format parsers would cost an
+    exception for every format that does not fit, and would name the text often,
+    so that an expression behind it is worked out as often.
+    """
+    iso = F.regexp_replace(as_col(text), r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return iso.cast("date") if strict else iso.try_cast("date")
 
 
 def quarter_end(day: ColumnOrName) -> Column:

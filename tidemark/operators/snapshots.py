@@ -20,8 +20,8 @@ def snapshot_distinct(
     Only ``columns`` are read, and repeats are dropped before the shuffle, so a
     record scraped a billion times costs each task one row.
     """
-    day = day_string(scraped_at).alias(day_column or scraped_at)
-    return df.select(*columns, day).distinct()
+    versions = df.select(*columns, F.to_date(scraped_at).alias("_day")).distinct()
+    return versions.select(*columns, day_string("_day").alias(day_column or scraped_at))
 
 
 def _newest_first(order: str | Column) -> Column:

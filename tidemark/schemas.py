@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(20, 2)
-ENTITY_ID = T.DecimalType(20, 0)
+# 18 digits is the widest decimal Spark keeps in one machine word; it holds ten
+# quadrillion dollars to the cent, and an overflow is an error.
+MONEY = T.DecimalType(18, 2)
+ENTITY_ID = T.DecimalType(18, 0)
 TEXT = T.StringType()
 INT = T.IntegerType()
 TIME = T.TimestampType()
