@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -40,6 +46,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
