@@ -215,6 +215,10 @@ def test_regulator_pipeline(spark, tmp_path):
         ("credit union", 1, "2023-03-31", "Greater than $3T", None, None, "Texas", "union.org"),
         ("credit union", 1, "2023-06-30", "Less than $500M", 0.05, "0% to 5% growth", "Texas", None),
     ]
+    accounts = frame(spark, schemas.RAW_ACCOUNTS, dict(acct_name="A"), dict(acct_name="A"), dict(acct_name="long name"))
+    profile = pipeline.regulator_size_profile({**regulator_raw(spark), "cu_accounts": accounts}, metric)
+    assert profile.select("schema_name", "table_name").distinct().count() == 12
+    assert profile.filter("current_size_bytes is null or avg_size_bytes_by_qtrly_rp_date is null").count() == 0
     assert spark.table("mart_credit_unions").filter("total_int_inc_ytd = 6.5 and other_non_int_inc_ytd = 9").count() == 1
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.dates import parse_day
+from tidemark.operators.sizes import average_by_key
 from tidemark.plans import maps, marts, metrics, staging
 from tidemark.sources.lookups import states
 from tidemark.sources.tables import full_refresh, write_audit_publish
@@ -96,3 +98,46 @@ def run_page_pipeline(
     full_refresh(metrics.metric_repo_totals(contributions), totals)
     full_refresh(metrics.metric_repo_company_share(contributions), shares)
     return spark.read.parquet(totals), spark.read.parquet(shares)
+
+
+def regulator_size_profile(raw: Mapping[str, DataFrame], metric: DataFrame) -> DataFrame:
+    """Storage of the regulator tables per report period, once the pipeline has run.
+
+    The account descriptions, if given, have no period: their rows are sized by
+    account name.
+    """
+    spark = metric.sparkSession
+    profile = metrics.size_profile(
+        {
+            ("raw", "bank_financials"): (raw["bank_financials"], "repdte"),
+            ("raw", "bank_institutions"): (raw["bank_institutions"], "repdte"),
+            ("raw", "cu_branches"): (raw["cu_branches"], parse_day("cycle_date")),
+            ("raw", "cu_fs220"): (raw["cu_fs220"], parse_day("cycle_date")),
+            ("staging", "bank_financials"): (spark.table("staging_bank_financials"), "report_date"),
+            ("staging", "bank_institutions"): (
+                spark.table("staging_bank_institutions"),
+                "report_date",
+            ),
+            ("staging", "cu_branches"): (
+                spark.table("staging_cu_branches"),
+                parse_day("cycle_date"),
+            ),
+            ("staging", "cu_fs220"): (spark.table("staging_cu_fs220"), parse_day("cycle_date")),
+            ("data_marts", "banks"): (spark.table("mart_banks"), "report_date"),
+            ("data_marts", "credit_unions"): (spark.table("mart_credit_unions"), "report_date"),
+            ("metrics", "asset_deposit"): (metric, "report_date"),
+        }
+    )
+    if "cu_accounts" not in raw:
+        return profile
+    accounts = average_by_key(raw["cu_accounts"], "acct_name")
+    average = accounts.agg(F.avg("avg_bytes")).scalar()
+    return profile.unionByName(
+        accounts.select(
+            F.lit("raw").alias("schema_name"),
+            F.lit("cu_accounts").alias("table_name"),
+            F.col("acct_name").alias("period"),
+            F.col("avg_bytes").cast("bigint").alias("current_size_bytes"),
+            average.alias("avg_size_bytes_by_qtrly_rp_date"),
+        )
+    )

@@ -61,6 +61,9 @@ RAW_FS220A = record(
 )
 RAW_FS220D = record(cu_number=ENTITY_ID, **_texts("cycle_date", "acct_891"), scraped_at=TIME)
 RAW_FS220N = record(cu_number=ENTITY_ID, **_texts("cycle_date", "acct_is0020"), scraped_at=TIME)
+RAW_ACCOUNTS = record(
+    **_texts("account", "acct_name", "acct_desc", "table_name", "status"), scraped_at=TIME
+)
 
 RAW_PROJECTS = record(
     **_texts("id", "job_id", "section", "project_title", "project_link", "project_description"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -10,6 +11,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.schemas import TEXT, record
+from tidemark.sources.delimited import snake_case
+
 LINE_SCHEMA = "archive string, member string, line_no long, line string"
 LINES_PER_BATCH = 10_000
 BLOCK_BYTES = 1 << 20
@@ -28,20 +32,63 @@ def member_lines(archives: DataFrame, members: list[str]) -> DataFrame:
     without folders. A member is UTF-8 unless it holds a byte sequence that is
     not, and then all of it is ISO-8859-1.
     """
-    wanted = {m.lower() for m in members}
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as opened:
-                    for info in opened.infolist():
-                        name = info.filename.rsplit("/", 1)[-1]
-                        if name.lower() in wanted:
-                            yield from _line_batches(archive, name, opened, info)
+        for archive, name, opened, info in _members(batches, members):
+            yield from _line_batches(archive, name, opened, info)
 
     return archives.select("path", "content").mapInPandas(lines, LINE_SCHEMA)
 
 
+def read_member_records(
+    spark: SparkSession, path: str | list[str], member: str, columns: list[str]
+) -> DataFrame:
+    """Named columns of one delimited member of every archive, as text.
+
+    Each member is read by its own header, under snake-case names, so archives
+    of different years may lay their columns out differently; a column an
+    archive lacks is NULL. Of wide members only ``columns`` leave the task.
+    """
+
+    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, _, opened, info in _members(batches, [member]):
+            yield from _record_batches(opened, info, columns)
+
+    archives = spark.read.format("binaryFile").load(path).select("path", "content")
+    return archives.mapInPandas(records, record(**dict.fromkeys(columns, TEXT)))
+
+
+def _members(
+    batches: Iterator[pd.DataFrame], members: list[str]
+) -> Iterator[tuple[str, str, zipfile.ZipFile, zipfile.ZipInfo]]:
+    wanted = {m.lower() for m in members}
+    for batch in batches:
+        for archive, content in zip(batch["path"], batch["content"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as opened:
+                for info in opened.infolist():
+                    name = info.filename.rsplit("/", 1)[-1]
+                    if name.lower() in wanted:
+                        yield archive, name, opened, info
+
+
+def _record_batches(
+    opened: zipfile.ZipFile, info: zipfile.ZipInfo, columns: list[str]
+) -> Iterator[pd.DataFrame]:
+    with opened.open(info) as member:
+        text = io.TextIOWrapper(member, _encoding(opened, info), newline="")
+        rows = csv.reader(text)
+        header = [snake_case(name.strip("'")) for name in next(rows, [])]
+        places = [header.index(c) if c in header else None for c in columns]
+        held = []
+        for row in rows:
+            held.append([row[i] if i is not None and i < len(row) else None for i in places])
+            if len(held) == LINES_PER_BATCH:
+                yield pd.DataFrame(held, columns=columns)
+                held = []
+        if held:
+            yield pd.DataFrame(held, columns=columns)
+
+
 def _encoding(opened: zipfile.ZipFile, info: zipfile.ZipInfo) -> str:
     decoder = codecs.getincrementaldecoder("utf-8")()
     try:
