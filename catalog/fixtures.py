@@ -18,8 +18,15 @@ START = "timestamp '2024-01-01 00:00:00'"
 SITE = "https://code.example"
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[F.col(p[1:]) if isinstance(p, str) and p.startswith("$") else F.lit(p) if isinstance(p, str) else p for p in parts])
+def _text(*parts: str | Column) -> Column:
+    """Parts joined as text: ``"$name"`` is a column, other text stands for itself."""
+    return F.concat(*[_part(p) for p in parts])
+
+
+def _part(part: str | Column) -> Column:
+    if isinstance(part, Column):
+        return part
+    return F.col(part[1:]) if part.startswith("$") else F.lit(part)
 
 
 def _after(seconds: str) -> Column:
@@ -238,7 +245,7 @@ def enrichment(t: Tables) -> DataFrame:
 # --- the same tables, staged, in SQL ---------------------------------------
 
 
-def _quarter(column: str) -> str:
+def quarter(column: str) -> str:
     return f"CAST(date_trunc('quarter', {column}) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)"
 
 
@@ -255,7 +262,7 @@ SQL_FINANCIALS = f"""(
     FROM (SELECT o_custkey AS cert, 'Bank ' || o_custkey AS name,
                  CAST(floor(o_totalprice) AS BIGINT) AS asset,
                  CAST(floor(o_totalprice * 0.5) AS BIGINT) AS dep,
-                 strftime({_quarter('o_orderdate')}, '%Y%m%d') AS report_date,
+                 strftime({quarter('o_orderdate')}, '%Y%m%d') AS report_date,
                  strftime(o_orderdate, '%Y%m%d') AS day FROM orders))"""
 
 SQL_INSTITUTIONS = f"""(
@@ -266,13 +273,13 @@ SQL_INSTITUTIONS = f"""(
                  CASE o_orderkey % 4 WHEN 0 THEN 'https://www.bank' || o_custkey || '.example.com/home?x=1'
                       WHEN 1 THEN 'www.bank' || o_custkey || '.example.org/a'
                       WHEN 2 THEN 'bank' || o_custkey || '.example.net' END AS website,
-                 strftime({_quarter('o_orderdate')}, '%m/%d/%Y') AS report_date,
+                 strftime({quarter('o_orderdate')}, '%m/%d/%Y') AS report_date,
                  strftime(o_orderdate, '%m/%d/%Y') AS date_updated,
                  strftime(o_orderdate, '%Y%m%d') AS day FROM orders))"""
 
 _LINES = f"""(
-    SELECT *, l_suppkey AS cu_number, {_quarter('l_shipdate')} AS period,
-           strftime({_quarter('l_shipdate')}, '%-m/%-d/%Y') AS cycle_date,
+    SELECT *, l_suppkey AS cu_number, {quarter('l_shipdate')} AS period,
+           strftime({quarter('l_shipdate')}, '%-m/%-d/%Y') AS cycle_date,
            strftime(l_shipdate, '%Y%m%d') AS day, CAST(floor(l_extendedprice) AS BIGINT) AS price,
            CAST(floor(l_extendedprice * 0.5) AS BIGINT) AS half, CAST(floor(l_quantity) AS BIGINT) AS quantity
     FROM lineitem)"""
@@ -305,17 +312,14 @@ SQL_FS220N = f"""(
     SELECT DISTINCT *, md5(cu_number || cycle_date || other_non_int_inc_ytd || day) AS dim_id
     FROM (SELECT cu_number, cycle_date, period, l_orderkey AS other_non_int_inc_ytd, day FROM {_LINES}))"""
 
-_DAY_START = "strftime(strptime(day, '%Y%m%d'), '%Y-%m-%d %H:%M:%S') AS scraped_at"
-DAY_START = _DAY_START
+DAY_START = "strftime(strptime(day, '%Y%m%d'), '%Y-%m-%d %H:%M:%S') AS scraped_at"
+SHOW_SCRAPED = "strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at"
 
 
 def _at(seconds: str) -> str:
     return f"TIMESTAMP '2024-01-01 00:00:00' + to_seconds({seconds})"
 
 
-_SHOW = "strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at"
-SHOW_SCRAPED = _SHOW
-
 SQL_PROJECTS = newest(
     f"""(SELECT p_partkey, p_type AS section, 'Project ' || p_brand AS project_title,
                 '{SITE}/' || p_brand AS project_link,

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalog import fixtures as X
 from catalog.registry import Tables, query
+from catalog.rows import ASSET_LADDER, growth_ladder
 from tidemark.functions.dates import quarter_end
-from tidemark.functions.numbers import ASSET_TIERS
 from tidemark.functions.text import url_domain
 from tidemark.plans import maps, marts, metrics, page_extracts, staging
 
@@ -275,25 +275,26 @@ def mart_credit_unions(t: Tables):
 
 
 SQL_CONTRIB = f"""(
-    WITH map AS {SQL_MAP}, contrib AS {X.SQL_CONTRIBUTORS},
-    j1 AS (SELECT company_name, domain, contrib_on_repo_link, COUNT(*) AS comp_num_of_contribs_on_repo
-           FROM map GROUP BY ALL),
-    j2 AS (SELECT m.company_name, m.domain, c.source_repo_link,
-                  SUM(c.commits_to_source_repo) AS comp_num_of_commits_on_repo
-           FROM contrib c LEFT JOIN map m
-           ON m.contrib_on_repo_link = c.source_repo_link AND m.github_profile_link = c.profile_link
-           GROUP BY ALL)
-    SELECT j1.company_name, j1.domain, k.linkedin_url, r.name AS repo_name,
-           COALESCE(p.project_description, r.description) AS repo_description, r.link AS repo_link,
+    WITH staff AS {SQL_MAP}, contributions AS {X.SQL_CONTRIBUTORS},
+    people AS (
+        SELECT company_name, domain, contrib_on_repo_link AS link, COUNT(*) AS n_people
+        FROM staff GROUP BY ALL),
+    work AS (
+        SELECT s.company_name, s.domain, c.source_repo_link AS link, SUM(c.commits_to_source_repo) AS n_commits
+        FROM contributions c LEFT JOIN staff s
+        ON s.contrib_on_repo_link = c.source_repo_link AND s.github_profile_link = c.profile_link
+        GROUP BY ALL)
+    SELECT people.company_name, people.domain, site.linkedin_url, r.name AS repo_name,
+           COALESCE(project.project_description, r.description) AS repo_description, r.link AS repo_link,
            r.contributors AS repo_num_of_contribs, r.commits AS repo_num_of_commits,
-           j1.comp_num_of_contribs_on_repo, CAST(j2.comp_num_of_commits_on_repo AS BIGINT) AS comp_num_of_commits_on_repo,
+           n_people AS comp_num_of_contribs_on_repo, CAST(n_commits AS BIGINT) AS comp_num_of_commits_on_repo,
            strftime(r.scraped_at, '%Y-%m-%d') AS scraped_at
-    FROM {X.SQL_REPOS} r
-    LEFT JOIN {X.SQL_PROJECTS} p ON p.project_link = r.project_link
-    LEFT JOIN j1 ON j1.contrib_on_repo_link = r.link
-    LEFT JOIN j2 ON j2.domain = j1.domain AND j2.source_repo_link = r.link
-    LEFT JOIN {X.SQL_COMPANIES} k ON k.domain = j1.domain
-    WHERE j1.company_name IS NOT NULL)"""
+    FROM people
+    JOIN {X.SQL_REPOS} r ON r.link = people.link
+    LEFT JOIN work ON work.link = people.link AND work.domain = people.domain
+    LEFT JOIN {X.SQL_PROJECTS} project ON project.project_link = r.project_link
+    LEFT JOIN {X.SQL_COMPANIES} site ON site.domain = people.domain
+    WHERE people.company_name IS NOT NULL)"""
 
 
 def _contrib(t: Tables) -> DataFrame:
@@ -324,10 +325,6 @@ def mart_company_contrib(t: Tables):
 # --- metrics ---------------------------------------------------------------
 
 
-def _tiers(bounds, column: str, compare: str) -> str:
-    return " ".join(f"WHEN {column} {compare} {bound} THEN '{label}'" for bound, label in bounds)
-
-
 _SHARED = "name, city, state, state_code, website, domain, total_assets, total_deposits"
 
 
@@ -346,11 +343,8 @@ _SHARED = "name, city, state, state_code, website, domain, total_assets, total_d
         FROM tagged)
     SELECT inst_type, name, city, state, state_code, website, domain, CAST(report_date AS VARCHAR) AS report_date,
            {_doubles('id_number', 'total_assets', 'total_deposits')}, deposits_growth_prev_qtr,
-           CASE {_tiers(ASSET_TIERS, 'total_assets', '<')} ELSE 'Greater than $3T' END AS asset_tier,
-           CASE WHEN deposits_growth_prev_qtr <= -0.05 THEN '>5% decline'
-                WHEN deposits_growth_prev_qtr <= 0 THEN '0% to 5% decline'
-                WHEN deposits_growth_prev_qtr <= 0.05 THEN '0% to 5% growth'
-                WHEN deposits_growth_prev_qtr >= 0.05 THEN '>5% growth' END AS deposits_growth_prev_qtr_tier
+           CASE {ASSET_LADDER} END AS asset_tier,
+           CASE {growth_ladder('deposits_growth_prev_qtr')} END AS deposits_growth_prev_qtr_tier
     FROM grown ORDER BY inst_type, id_number, report_date
     """,
 )
@@ -393,8 +387,8 @@ def metric_repo_company_share(t: Tables):
 # Row sizes: a 24-byte header, 8 bytes per long, double or time, 4 per int,
 # 10 per 18-digit decimal, and text by its length.
 _PROFILED = {
-    ("raw", "orders"): ("orders", X._quarter("o_orderdate"), "24 + 32 + strlen(o_orderstatus) + strlen(o_orderpriority)"),
-    ("raw", "lineitem"): ("lineitem", X._quarter("l_shipdate"), "24 + 68 + strlen(l_returnflag) + strlen(l_linestatus)"),
+    ("raw", "orders"): ("orders", X.quarter("o_orderdate"), "24 + 32 + strlen(o_orderstatus) + strlen(o_orderpriority)"),
+    ("raw", "lineitem"): ("lineitem", X.quarter("l_shipdate"), "24 + 68 + strlen(l_returnflag) + strlen(l_linestatus)"),
     ("raw", "events"): ("events", "CAST(ts AS DATE)", "24 + 32 + strlen(event_type) + strlen(props)"),
     ("staging", "bank_financials"): (
         f"{X.SQL_FINANCIALS} f", "report_date", "24 + 30 + 8 + strlen(name) + strlen(report_date) + strlen(dim_id)",

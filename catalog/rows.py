@@ -118,16 +118,22 @@ def coalesce_pick(t: Tables):
     )
 
 
-_TIER_LADDER = (
-    " ".join(f"WHEN assets < {bound} THEN '{label}'" for bound, label in numbers.ASSET_TIERS)
+ASSET_LADDER = (
+    " ".join(f"WHEN total_assets < {bound} THEN '{label}'" for bound, label in numbers.ASSET_TIERS)
     + f" ELSE '{numbers.TOP_ASSET_TIER}'"
 )
 
 
+def growth_ladder(column: str) -> str:
+    """The growth tiers as CASE branches; NULL meets none of them."""
+    lower = " ".join(f"WHEN {column} <= {bound} THEN '{label}'" for bound, label in numbers.GROWTH_TIERS)
+    return f"{lower} WHEN {column} > {numbers.GROWTH_TIERS[-1][0]} THEN '{numbers.TOP_GROWTH_TIER}'"
+
+
 @query(
     "tier_upper_bounds",
     f"""
-    SELECT o_orderkey, CASE {_TIER_LADDER} END AS tier
+    SELECT o_orderkey, CASE {ASSET_LADDER.replace('total_assets', 'assets')} END AS tier
     FROM (SELECT o_orderkey,
                  CASE WHEN o_orderstatus = 'P' THEN NULL
                       ELSE CAST(o_totalprice AS DECIMAL(20,2)) * (1 + o_orderkey % 50 * o_orderkey % 20000000)
@@ -173,8 +179,7 @@ CUSTOMER_GROWTH = f"""
     "growth_tier",
     f"""
     SELECT o_custkey, CAST(quarter AS VARCHAR) AS quarter,
-           CASE WHEN growth <= -0.05 THEN '>5% decline' WHEN growth <= 0 THEN '0% to 5% decline'
-                WHEN growth <= 0.05 THEN '0% to 5% growth' WHEN growth >= 0.05 THEN '>5% growth' END AS tier
+           CASE {growth_ladder('growth')} END AS tier
     FROM ({CUSTOMER_GROWTH})
     """,
 )
