@@ -83,8 +83,10 @@ def archive_member_read(t: Tables):
 )
 def encoding_fallback(t: Tables):
     latin = F.col("text").rlike(r"^[\x00-\xFF]*$")
-    lines = t.documents.select(
-        "doc_id", latin.alias("latin"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+    # Settled once per document: beside the explode it would be settled per line.
+    known = t.documents.select("doc_id", "text", latin.alias("latin"))
+    lines = known.select(
+        "doc_id", "latin", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
     as_bytes = F.when(F.col("latin"), F.encode("line", "ISO-8859-1")).otherwise(
         F.encode("line", "UTF-8")

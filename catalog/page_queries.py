@@ -8,6 +8,7 @@ from catalog.registry import Tables, query
 from tidemark.functions import pages as P
 from tidemark.functions.text import absolute_link as absolute
 from tidemark.functions.text import json_text, url_path_segment as path_segment
+from tidemark.operators.columns import explode_with
 from tidemark.plans import page_extracts
 
 LINK = r'(?s)<a\b[^>]*\shref="([^"]*)"[^>]*>([^<]*)'
@@ -104,11 +105,8 @@ def page_embedded_json(t: Tables):
     """,
 )
 def page_rows(t: Tables):
-    return t.pages.select(
-        "url",
-        F.regexp_extract("html", TITLE, 1).alias("title"),
-        F.explode(P.all_text("html", HREF)).alias("href"),
-    )
+    kept = {"url": "url", "title": F.regexp_extract("html", TITLE, 1)}
+    return explode_with(t.pages, kept, P.all_text("html", HREF), "href")
 
 
 @query("section_exclude", f"SELECT * FROM ({_ALL_HREFS}) WHERE href NOT IN ('/de', '/the')")

@@ -26,11 +26,17 @@ def parse_day(text: ColumnOrName, strict: bool = True) -> Column:
     Reads ``YYYYMMDD``, ``M/D/YYYY`` and ``YYYY-MM-DD``, the last two with or
     without a time of day. Other text is an error, or NULL when not ``strict``.
     The text is rearranged and cast: a ladder of format parsers would cost an
-    exception for every format that does not fit, and would name the text often,
-    so that an expression behind it is worked out as often.
+    exception for every format that does not fit.
     """
-    iso = F.regexp_replace(as_col(text), r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    value = as_col(text)
+    slashed = F.regexp_replace(value, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+    compact = (F.length(value) == 8) & ~F.contains(value, F.lit("-"))
+    pieces = [F.substring(value, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
+    iso = (
+        F.when(F.contains(value, F.lit("/")), slashed)
+        .when(compact, F.concat_ws("-", *pieces))
+        .otherwise(value)
+    )
     return iso.cast("date") if strict else iso.try_cast("date")
 
 

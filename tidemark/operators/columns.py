@@ -68,3 +68,18 @@ def align_schema(
 def extend(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """``SELECT *, expr AS name``."""
     return df.withColumns(dict(values))
+
+
+def explode_with(
+    df: DataFrame, kept: Mapping[str, str | Column], items: Column, into: str
+) -> DataFrame:
+    """One row per element of ``items``, each with the ``kept`` values of its row.
+
+    The kept values are worked out before the explode; in one ``select`` with
+    it, Spark would work them out again for every element.
+    """
+    base = df.select(
+        *[(F.col(v) if isinstance(v, str) else v).alias(name) for name, v in kept.items()],
+        items.alias(into),
+    )
+    return base.withColumn(into, F.explode(into))

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import pages as P
 from tidemark.functions.text import absolute_link, json_text, url_path_segment
+from tidemark.operators.columns import explode_with
 from tidemark.schemas import TEXT, record
 
 # Marks of the crawled site's pages.
@@ -54,20 +55,24 @@ def _clean(value: Column) -> Column:
 def extract_repos(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per repository page."""
     body = "body"
-    about = F.regexp_extract(body, _block_after("About", "</div>"), 1)
-    language_block = F.regexp_extract(body, _block_after("Languages", "</ul>"), 1)
+    blocks = pages.withColumns(
+        {
+            "_about": F.regexp_extract(body, _block_after("About", "</div>"), 1),
+            "_languages": F.regexp_extract(body, _block_after("Languages", "</ul>"), 1),
+        }
+    )
     language = r"(?s)<li\b[^>]*>\s*<a\b[^>]*>.*?<span\b[^>]*>([^<]*)</span>\s*<span\b[^>]*>([^<]*)</span>"
     overview = P.embedded_json(body, EMBEDDED_DATA, 2)
-    return pages.select(
+    return blocks.select(
         *keep,
         url_path_segment("url", 2).alias("name"),
         F.col("url").alias("link"),
-        _clean(P.first_text(about, r"(?s)<p\b[^>]*>([^<]*)")).alias("description"),
+        _clean(P.first_text("_about", r"(?s)<p\b[^>]*>([^<]*)")).alias("description"),
         F.col("meta.project_link").alias("project_link"),
         F.transform(
             P.all_text(body, _text_in(P.element("a", "class", "topic-tag"))), _clean
         ).alias("tags"),
-        P.struct_list(language_block, language, ("name", "pct")).alias("languages"),
+        P.struct_list("_languages", language, ("name", "pct")).alias("languages"),
         P.first_text(body, _text_in(P.element("span", "id", "pull-requests-repo-tab-count"))).alias(
             "pull_requests"
         ),
@@ -83,14 +88,13 @@ def extract_contributors(pages: DataFrame, keep: Sequence[str] = ()) -> DataFram
     """One row per contributor listed on a page, with the page's repository."""
     # A person's item runs to the next person's.
     person = P.element("li", "class", "contrib-person")
-    pieces = F.split("body", person)
-    items = F.slice(pieces, 2, F.size(pieces))
-    rows = pages.select(
-        *keep,
-        F.col("meta.repo_name").alias("repo_name"),
-        F.col("meta.source_repo_link").alias("source_repo_link"),
-        F.explode(items).alias("item"),
-    )
+    items = F.slice("_pieces", 2, F.size("_pieces"))
+    kept = {
+        **{c: c for c in keep},
+        "repo_name": "meta.repo_name",
+        "source_repo_link": "meta.source_repo_link",
+    }
+    rows = explode_with(pages.withColumn("_pieces", F.split("body", person)), kept, items, "item")
     profile_tag = F.regexp_extract("item", P.element("a", "data-hovercard-type", "user"), 0)
     commits = P.element("a", "href", "commits?author") + _TEXT_AFTER_TAG
     return rows.select(
@@ -110,19 +114,22 @@ def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return P.first_text(body, _link_child_text(f"tab={name}", "span"))
 
     def percent(side: str) -> Column:
-        graph = F.regexp_extract(
-            body, P.element("svg", "class", "js-activity-overview-graph") + r"(.*?)</svg>", 1
-        )
-        return P.first_text(graph, _text_in(P.element("text", "class", f"js-highlight-percent-{side}")))
+        return P.first_text("_graph", _text_in(P.element("text", "class", f"js-highlight-percent-{side}")))
 
-    employer = F.regexp_extract(
-        body,
+    graph = P.element("svg", "class", "js-activity-overview-graph") + r"(.*?)</svg>"
+    employer = (
         P.element("li", "itemprop", "worksFor")
-        + r'.*?<span\b[^>]*\sclass="p-org"[^>]*>\s*<div\b[^>]*>(.*?)</div>',
-        1,
+        + r'.*?<span\b[^>]*\sclass="p-org"[^>]*>\s*<div\b[^>]*>(.*?)</div>'
+    )
+    blocks = pages.withColumns(
+        {
+            "_graph": F.regexp_extract(body, graph, 1),
+            "_employer": F.regexp_extract(body, employer, 1),
+            "_organisations": F.regexp_extract(body, _block_after("Organizations", "</div>"), 1),
+        }
     )
     employer_link = r'(?s)<a\b[^>]*\shref="([^"]*)"[^>]*>([^<]*)'
-    linked = P.struct_list(employer, employer_link, ("href", "name"))
+    linked = P.struct_list("_employer", employer_link, ("href", "name"))
     employers = P.ordered_structs(
         F.transform(
             linked,
@@ -131,8 +138,7 @@ def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             ),
         )
     )
-    block = F.regexp_extract(body, _block_after("Organizations", "</div>"), 1)
-    organisation_tags = F.regexp_extract_all(block, F.lit(r"(?s)<a\b[^>]*>"), F.lit(0))
+    organisation_tags = F.regexp_extract_all("_organisations", F.lit(r"(?s)<a\b[^>]*>"), F.lit(0))
     organisations = P.ordered_structs(
         F.transform(
             organisation_tags,
@@ -142,7 +148,7 @@ def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             ),
         )
     )
-    return pages.select(
+    return blocks.select(
         *keep,
         F.col("url").alias("link"),
         tab("repositories").alias("number_of_repos"),
@@ -156,7 +162,7 @@ def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         percent("left").alias("contrib_pct_commits"),
         percent("right").alias("contrib_pct_issues"),
         percent("bottom").alias("contrib_pct_pull_requests"),
-        _clean(P.text_or_link(employer)).alias("company_name"),
+        _clean(P.text_or_link("_employer")).alias("company_name"),
         F.lit(None).cast("string").alias("email_domain"),
         P.concat_or_null(employers, organisations).alias("organizations"),
     )
@@ -195,17 +201,17 @@ def extract_projects(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     names the sections; the items belong to a section only at a fixed nesting,
     which is why the article goes through a parser.
     """
-    overview = P.embedded_json("body", EMBEDDED_DATA, 2)
+    lists = pages.withColumn("_overview", P.embedded_json("body", EMBEDDED_DATA, 2))
     toc = F.from_json(
-        json_text(overview, README + ".headerInfo.toc"), "array<struct<level:int,anchor:string>>"
+        json_text("_overview", README + ".headerInfo.toc"), "array<struct<level:int,anchor:string>>"
     )
     level_two = F.transform(
         F.filter(toc, lambda t: t["level"] == 2), lambda t: F.concat(F.lit("#"), t["anchor"])
     )
-    articles = pages.select(
+    articles = lists.select(
         *keep,
         P.without(level_two, SKIPPED_SECTIONS).alias("sections"),
-        json_text(overview, README + ".richText").alias("article"),
+        json_text("_overview", README + ".richText").alias("article"),
     ).filter(F.col("article").isNotNull())
     listed = articles.select(*keep, "sections", F.explode(_listed_items("article")).alias("item"))
     return listed.filter(F.array_contains("sections", F.col("item.section"))).select(*keep, "item.*")

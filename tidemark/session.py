@@ -16,9 +16,24 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+PARTITION_BYTES = 256 << 20
+MOST_PARTITIONS = 50_000
+
+
+def shuffle_conf(shuffle_bytes: int) -> dict[str, str]:
+    """Shuffle width for a job of known size; pass it to ``build_session``.
+
+    Adaptive execution merges small partitions but never adds any, so a job
+    starts with enough for its largest shuffle to fit in memory.
+    """
+    wanted = -(-shuffle_bytes // PARTITION_BYTES)
+    width = min(max(wanted, 200), MOST_PARTITIONS)
+    return {"spark.sql.shuffle.partitions": str(width)}
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the settings the jobs rely on."""
