@@ -132,6 +132,24 @@ def test_append_keeps_and_refresh_replaces(spark, tmp_path):
     assert rows(spark.read.parquet(path), "v") == [(2,)]
 
 
+def test_partitions_are_written_by_few_tasks_but_a_large_one_by_many(spark, tmp_path):
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.shuffle.partitions": "200"}
+    saved = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        value = F.when(F.col("id") % 50 == 0, F.col("id") % 7).otherwise(99)
+        df = spark.range(0, 40_000, 1, 16).select(value.alias("q"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        tables.append_load(df, str(tmp_path / "t"), ["q"])
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+    files = {q: len(list((tmp_path / "t" / f"q={q}").glob("*.parquet"))) for q in (*range(7), 99)}
+    # Sixteen tasks would each have written every value.
+    assert files[99] > 4 and sum(files[q] for q in range(7)) < 16 * 7 / 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
+
+
 def test_failed_audit_leaves_the_published_table(spark, tmp_path):
     good = spark.createDataFrame([("a", 1), ("b", 2)], "dim_id string, v int")
     bad = spark.createDataFrame([("a", 1), ("a", 3)], "dim_id string, v int")

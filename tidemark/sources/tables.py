@@ -5,20 +5,30 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.quality import require_key
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition value, so that tasks do not each write every value.
+
+    Adaptive execution cuts a large value into files of the advisory size and
+    joins small ones; one period may hold all rows.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append to a table, laid out by report period where one is named."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table's whole content."""
     (
-        df.write.mode("overwrite")
+        _laid_out(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -48,7 +58,8 @@ def write_audit_publish(
     """
     spark = df.sparkSession
     version = f"{root.rstrip('/')}/{table}/version={uuid.uuid4().hex}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(version)
+    laid_out = _laid_out(df, partition_by)
+    laid_out.write.mode("errorifexists").partitionBy(*partition_by).parquet(version)
     written = spark.read.parquet(version)
     try:
         if key is not None:
