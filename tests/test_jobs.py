@@ -71,7 +71,8 @@ def test_repo_page(spark):
 def test_contributor_page(spark):
     body = """<ol><li class="contrib-person float-left"><a href="/x">#1</a>
       <a data-hovercard-type="user" class="n" href="/ann">ann</a><a href="/o/r/commits?author=ann" class="c">1,204 commits</a></li>
-      <li class="contrib-person"><a class="n" href="/bob" data-hovercard-type="user">bob</a></li></ol>"""
+      <li class="contrib-person"><a class="n" href="/bob" data-hovercard-type="user">bob</a></li></ol>
+      <a href="/o/r/commits?author=all">9 commits</a>"""
     meta = {"repo_name": "r", "source_repo_link": "https://github.com/o/r"}
     found = page_extracts.extract_contributors(pages(spark, ("u", body, meta), ("v", "<p></p>", meta)))
     assert rows(found) == [
@@ -112,6 +113,14 @@ def test_company_page(spark):
     ]
 
 
+def test_company_page_of_careless_html(spark):
+    body = "<A class=x HREF='https://www.facebook.com/acme'>f</A><a href=https://github.com/acme>g</a><a title='a' href = \"https://twitter.com/o'neil\">t</a>"
+    docs = pages(spark, ("https://acme.com", body, {"domain": "acme.com"}))
+    assert rows(page_extracts.extract_companies(docs), "github_url", "facebook_url", "twitter_url") == [
+        ("https://github.com/acme", "https://www.facebook.com/acme", "https://twitter.com/o'neil")
+    ]
+
+
 def test_project_page(spark):
     def section(name, items, extra=""):
         return (

@@ -54,8 +54,15 @@ def _resolve_numbers(text: Column, pattern: str, base: int) -> Column:
 def element(tag: str, attribute: str | None = None, contains: str = "") -> str:
     """Pattern of an opening tag, optionally with a word inside an attribute."""
     if attribute is None:
-        return rf"(?s)<{tag}\b[^>]*>"
-    return rf'(?s)<{tag}\b[^>]*\s{re.escape(attribute)}="[^"]*{re.escape(contains)}[^"]*"[^>]*>'
+        return rf"(?s)(?i:<{tag}\b)[^>]*>"
+    return _with_attribute(tag, attribute, contains) + "[^>]*>"
+
+
+def _with_attribute(tag: str, attribute: str, contains: str) -> str:
+    """An opening tag up to the end of an attribute, however that is quoted."""
+    w = re.escape(contains)
+    quoted = rf"""(?:"[^"]*{w}[^"]*"|'[^']*{w}[^']*'|[^\s"'>]*{w}[^\s"'>]*)"""
+    return rf"(?s)(?i:<{tag}\b[^>]*\s{re.escape(attribute)}\s*=\s*){quoted}"
 
 
 def first_text(html: ColumnOrName, pattern: str) -> Column:
@@ -70,8 +77,17 @@ def all_text(html: ColumnOrName, pattern: str) -> Column:
 
 def first_attribute(html: ColumnOrName, tag: str, attribute: str) -> Column:
     """Attribute of the first ``tag`` on the page; NULL if that tag lacks it."""
-    opening = F.regexp_extract(as_col(html), rf"(?s)<{tag}\b[^>]*>", 0)
-    return first_text(opening, rf'\s{re.escape(attribute)}="([^"]*)"')
+    return attribute_of(F.regexp_extract(as_col(html), element(tag), 0), attribute)
+
+
+def attribute_of(opening_tag: ColumnOrName, attribute: str) -> Column:
+    """Value of an attribute in the text of one opening tag."""
+    name = rf"(?i:\s{re.escape(attribute)}\s*=\s*)"
+    return F.coalesce(
+        first_text(opening_tag, name + r'"([^"]*)"'),
+        first_text(opening_tag, name + r"'([^']*)'"),
+        first_text(opening_tag, name + r"""([^\s"'>]+)"""),
+    )
 
 
 def struct_list(html: ColumnOrName, pattern: str, names: tuple[str, ...]) -> Column:
@@ -105,8 +121,7 @@ def embedded_json(html: ColumnOrName, marker: str, nth: int = 1) -> Column:
 
 def first_link_containing(html: ColumnOrName, word: str) -> Column:
     """First anchor target on the page that contains ``word``."""
-    w = re.escape(word)
-    return first_text(html, rf'(?s)<a\b[^>]*\shref="([^"]*{w}[^"]*)"')
+    return attribute_of(F.regexp_extract(as_col(html), _with_attribute("a", "href", word), 0), "href")
 
 
 def network_link(

@@ -86,7 +86,7 @@ def extract_repos(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def extract_contributors(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per contributor listed on a page, with the page's repository."""
-    # A person's item runs to the next person's.
+    # A person's item runs to the next person's, or to the end of the list.
     person = P.element("li", "class", "contrib-person")
     items = F.slice("_pieces", 2, F.size("_pieces"))
     kept = {
@@ -95,13 +95,14 @@ def extract_contributors(pages: DataFrame, keep: Sequence[str] = ()) -> DataFram
         "source_repo_link": "meta.source_repo_link",
     }
     rows = explode_with(pages.withColumn("_pieces", F.split("body", person)), kept, items, "item")
+    rows = rows.withColumn("item", F.split_part("item", F.lit("</ol>"), F.lit(1)))
     profile_tag = F.regexp_extract("item", P.element("a", "data-hovercard-type", "user"), 0)
     commits = P.element("a", "href", "commits?author") + _TEXT_AFTER_TAG
     return rows.select(
         *keep,
         "repo_name",
         "source_repo_link",
-        absolute_link(P.first_text(profile_tag, r'\shref="([^"]*)"'), SITE).alias("profile_link"),
+        absolute_link(P.attribute_of(profile_tag, "href"), SITE).alias("profile_link"),
         P.first_text("item", commits).alias("commits_to_source_repo"),
     )
 
@@ -143,8 +144,8 @@ def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.transform(
             organisation_tags,
             lambda tag: F.struct(
-                P.first_text(tag, r'\saria-label="([^"]*)"').alias("name"),
-                absolute_link(P.first_text(tag, r'\shref="([^"]*)"'), SITE).alias("href"),
+                P.attribute_of(tag, "aria-label").alias("name"),
+                absolute_link(P.attribute_of(tag, "href"), SITE).alias("href"),
             ),
         )
     )
