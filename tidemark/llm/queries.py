@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules, simhash
+from tidemark.llm import decontamination, mixing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +38,64 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_simhash_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_benchmark_decontamination")
+def leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _mixing_sql() -> str:
+    """The same sums and draws, round by round."""
+    m = mixing
+    rounds = [f"r0 AS (SELECT number, slot, blocks, slot // blocks AS epoch, slot % blocks AS x FROM slots)"]
+    for r in range(1, m.ROUNDS + 1):
+        rounds += [
+            f"a{r} AS (SELECT *, ((number * 1000003 + epoch * 7919 + {r} * 104729) % 2147483647) * 48271 % 2147483647 AS f FROM r{r - 1})",
+            f"b{r} AS (SELECT *, f * 69621 % 2147483647 AS g FROM a{r})",
+            f"c{r} AS (SELECT *, ((f * 2147483648 + g - x) % blocks + blocks) % blocks AS y FROM b{r})",
+            f"r{r} AS (SELECT number, slot, blocks, epoch, CASE WHEN "
+            f"((((greatest(x, y) % 2147483647) * 48271 + f) % 2147483647 * 69621 + g) % 2147483647) // 65536 % 2 = 1 "
+            f"THEN y ELSE x END AS x FROM c{r})",
+        ]
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+         row_number() OVER () AS row_id
+  FROM documents),
+sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(row_number() OVER (ORDER BY source NULLS LAST) AS BIGINT) AS number
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, 2 * source_size AS cap, CASE (number - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM sums),
+levels AS (
+  SELECT *, (1.5::DOUBLE * (SELECT CAST(sum(source_size) AS BIGINT) FROM sums)
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / (sum(weight) OVER (ORDER BY cap / weight, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM weighed),
+goals AS (
+  SELECT *, least(cap::DOUBLE, coalesce((SELECT level FROM levels WHERE cap > level * weight ORDER BY cap / weight, number LIMIT 1) * weight, cap::DOUBLE)) AS target,
+         (source_size + {m.BLOCK - 1}) // {m.BLOCK} AS blocks
+  FROM levels),
+sources AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target * blocks / source_size) AS BIGINT) ELSE 0 END AS n_slots FROM goals),
+slots AS (SELECT number, blocks, CAST(unnest(range(n_slots)) AS BIGINT) AS slot FROM sources WHERE n_slots > 0),
+{", ".join(rounds)},
+times AS (SELECT number, x AS block, count(*) AS times FROM r{m.ROUNDS} GROUP BY ALL),
+placed AS (
+  SELECT s.*, g.number, g.source_size, g.target,
+         CAST(coalesce(sum(s.size) OVER (PARTITION BY g.number ORDER BY s.doc_id, s.size, s.row_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized s JOIN sources g ON s.source IS NOT DISTINCT FROM g.source),
+pieces AS (
+  SELECT *, CAST(unnest(range(start // {m.BLOCK}, (start + size - 1) // {m.BLOCK} + 1)) AS BIGINT) AS block FROM placed WHERE size > 0),
+taken AS (
+  SELECT p.row_id, CAST(sum((least(p.start + p.size, (p.block + 1) * {m.BLOCK}) - greatest(p.start, p.block * {m.BLOCK})) * coalesce(t.times, 0)) AS BIGINT) AS taken
+  FROM pieces p LEFT JOIN times t ON p.number = t.number AND p.block = t.block GROUP BY p.row_id)
+SELECT doc_id, source, size, source_size, target, coalesce(taken, 0) AS taken FROM placed LEFT JOIN taken USING (row_id)
+"""
+
+
+@query("op10_mixing_to_target_weights", _mixing_sql())
+def mixing_to_weights(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
