@@ -62,7 +62,9 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS
     """(bucket, trusted_n, corpus_n) over all of ``docs`` (doc_id, text).
 
     ``trusted`` (doc_id) must be unique. A document joins its flag by id; only
-    the document side can be hot, and that side can be split.
+    the document side can be hot, and that side can be split. The join is dealt
+    by hash at every size: trusted ids grow with the corpus, so they are never
+    broadcast.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +83,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS
         )
 
     flagged = docs.select(F.col("doc_id").alias("id"), "text").join(
-        trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("is_trusted")), "id", "left"
+        trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("is_trusted")).hint("shuffle_hash"), "id", "left"
     )
     flagged = flagged.select("text", F.coalesce("is_trusted", F.lit(False)).alias("is_trusted"))
     parts = flagged.mapInArrow(count, "bucket int, trusted_n long, corpus_n long")
