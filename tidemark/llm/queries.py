@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, mixing, quality_rules, simhash
+from tidemark.llm import decontamination, language_id, mixing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,12 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.score(docs, ratio)
 
 
+@query("op2_language_id")
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.predict(docs, language_id.train(docs.where(~language_id.held_out())))
+
+
 @query("op6_simhash_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
