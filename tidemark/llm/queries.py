@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, mixing, quality_rules, simhash
+from tidemark.llm import decontamination, language_id, mixing, quality_cnn, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,12 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, language_id.train(docs.where(~language_id.held_out())))
 
 
+@query("op3_quality_classifier")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_cnn.predict(docs, quality_cnn.train(docs, table(spark, folder, "labels")))
+
+
 @query("op6_simhash_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
