@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, mixing, quality_cnn, quality_rules, simhash
+from tidemark.llm import decontamination, language_id, legacy_archives, mixing, quality_cnn, quality_rules, simhash
+from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +58,27 @@ def leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+ARCHIVES_SQL = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+ranked AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM sized)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM ranked
+"""
+
+
+@query("op9_legacy_archives", ARCHIVES_SQL)
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    arc = legacy_archives.write_arc(table(spark, folder, "pages"), scratch_dir(spark, "arc"))
+    warc = legacy_archives.convert(arc, scratch_dir(spark, "warc"))
+    found = legacy_archives.resolved(legacy_archives.read_records(warc))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _mixing_sql() -> str:
     """The same sums and draws, round by round."""
     m = mixing
