@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, legacy_archives, mixing, quality_cnn, quality_rules, simhash
+from tidemark.llm import decontamination, extraction, language_id, legacy_archives, mixing, quality_cnn, quality_rules, simhash
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op8_html_extraction")
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 ARCHIVES_SQL = """
 WITH sized AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
