@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, mixing, quality_cnn, quality_rules, simhash
+from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, mixing, quality_cnn, quality_rules, simhash, transcripts
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return quality_cnn.predict(docs, quality_cnn.train(docs, table(spark, folder, "labels")))
 
 
+@query("op4_chat_formatting")
+def chats(spark: SparkSession, folder: str) -> DataFrame:
+    return transcripts.recovered(table(spark, folder, "conversations"))
+
+
 @query("op5_lm_scoring")
 def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return attention_lm.score(table(spark, folder, "documents"))
