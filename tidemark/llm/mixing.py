@@ -7,10 +7,10 @@ source fills as many slots as its target holds blocks. Each slot falls to an
 output shard at random, so a source's counts by shard are a multinomial draw
 that adds up to its slots. Slot i of a source, in epoch e = i div blocks, takes
 the block at place i mod blocks of a permutation drawn for that source and
-epoch, so no block is taken twice in an epoch. The permutation is swap-or-not:
-each of ``ROUNDS`` rounds may exchange an index with its mirror image, which
-needs neither a table nor a sort. Slots join blocks by (source, index), a key
-that no source can make hot.
+epoch, so no block is taken twice in an epoch. Each of its ``ROUNDS`` rounds
+multiplies an index by a number prime to the blocks, shifts it, and may exchange
+it with its mirror image (swap-or-not), which needs neither a table nor a sort.
+Slots join blocks by (source, index), a key that no source can make hot.
 
 Places within a source come from a range partition by (source, id): sums inside
 a partition, then one row per partition and source. Sources are few beside
@@ -32,10 +32,12 @@ BUDGET = 1.5
 MOST_EPOCHS = 2
 BLOCK = 64
 SHARDS = 64
-ROUNDS = 12
+ROUNDS = 3
 #: Slots that one row stands for before they are spread over tasks.
 RUN = 1 << 14
 
+#: Primes below 2**20, so that products with a block's number stay within 64 bits.
+MULTIPLIERS = (1000003, 999983, 999979, 999961, 999959, 999953, 999931, 999917)
 _PRIME = (1 << 31) - 1
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -73,45 +75,52 @@ def targets(sized: DataFrame, budget: float = BUDGET, weights: tuple[int, ...] =
     )
 
 
-def _draw(number: Column, epoch: Column, round_: Column) -> tuple[Column, Column]:
-    """Two numbers below the prime for a round of a source's permutation."""
-    seed = number * 1000003 + epoch * 7919 + round_ * 104729
-    first = (seed % _PRIME) * 48271 % _PRIME
-    return first, first * 69621 % _PRIME
+def _rounds(runs: DataFrame, rounds: int) -> DataFrame:
+    """``runs`` (number, epoch, blocks, ...) with each round's multiplier, shift and mirror.
 
-
-def permuted(index: Column, blocks: Column, number: Column, epoch: Column, rounds: int = ROUNDS) -> Column:
-    """Where a source's permutation of 0 ... blocks - 1 takes ``index`` in an epoch."""
-
-    def step(x: Column, round_: Column) -> Column:
-        first, second = _draw(number, epoch, round_)
-        mirror = F.pmod(first * (_PRIME + 1) + second - x, blocks)
-        top = F.greatest(x, mirror)
-        coin = ((top % _PRIME) * 48271 + first) % _PRIME
-        coin = (coin * 69621 + second) % _PRIME
-        return F.when((coin / 65536).cast("long") % 2 == 1, mirror).otherwise(x)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index, step)
+    A multiplier is a prime that does not divide the number of blocks, so that
+    multiplying by it takes no two indexes to one.
+    """
+    for r in range(rounds):
+        primes = MULTIPLIERS[r:] + MULTIPLIERS[:r]
+        coprime = F.coalesce(*[F.when(F.col("blocks") % p != 0, F.lit(p).cast("long")) for p in primes])
+        seed = (F.col("number") * 1000003 + F.col("epoch") * 7919 + F.lit(r) * 104729) % _PRIME * 48271 % _PRIME
+        runs = runs.withColumn(f"a{r}", coprime).withColumn(f"b{r}", seed)
+        runs = runs.withColumn(f"c{r}", F.col(f"b{r}") * 69621 % _PRIME * (_PRIME + 1) + F.col(f"b{r}"))
+    return runs
+
+
+def permute(slots: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``slots`` (index, blocks, and the columns of ``_rounds``) with each index where its permutation takes it."""
+    for r in range(rounds):
+        others = [c for c in slots.columns if c not in ("index", "mirror")]
+        moved = (F.col(f"a{r}") * F.col("index") + F.col(f"b{r}")) % F.col("blocks")
+        slots = slots.select(*others, moved.alias("index"))
+        slots = slots.select(*others, "index", F.pmod(F.col(f"c{r}") - F.col("index"), F.col("blocks")).alias("mirror"))
+        coin = (F.greatest("index", "mirror") % _PRIME * 48271 + F.col(f"b{r}")) % _PRIME
+        coin = F.shiftright(coin * 69621 % _PRIME, 16).bitwiseAND(1)
+        slots = slots.select(*others, F.when(coin == 1, F.col("mirror")).otherwise(F.col("index")).alias("index"))
+    return slots
 
 
 def drawn_slots(sources: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """number, slot, shard and index (of the block that fills it) of every slot."""
-    runs = sources.where("slots > 0").select(
-        "number", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("slots") - 1) / RUN).cast("long"))).alias("run")
-    )
-    end = F.least(F.col("slots"), (F.col("run") + 1) * RUN) - 1
-    number = F.col("number").cast("long")
-    epoch = (F.col("slot") / F.col("blocks")).cast("long")
-    return (
-        runs.repartition("number", "run")
-        .select("number", "blocks", F.explode(F.sequence(F.col("run") * RUN, end)).alias("slot"))
-        .select(
-            "number",
-            "slot",
-            F.pmod(F.xxhash64("number", "slot"), F.lit(shards)).alias("shard"),
-            permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), number, epoch, rounds).alias("index"),
-        )
+    """number, slot, shard and index (of the block that fills it) of every slot.
+
+    Runs of slots are dealt to a set number of tasks: they weigh little as rows,
+    and adaptive execution would give them all to one.
+    """
+    epochs = sources.where("slots > 0").select(
+        F.col("number").cast("long"), "blocks", "slots", F.explode(F.expr("sequence(0L, (slots - 1) div blocks)")).alias("epoch")
     )
+    epochs = epochs.withColumn("filled", F.least("blocks", F.col("slots") - F.col("epoch") * F.col("blocks")))
+    runs = epochs.withColumn("run", F.explode(F.expr(f"sequence(0L, (filled - 1) div {RUN})")))
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    end = F.least(F.col("filled"), (F.col("run") + 1) * RUN) - 1
+    slots = _rounds(runs.repartition(tasks, "number", "epoch", "run"), rounds)
+    slots = slots.withColumn("place", F.explode(F.sequence(F.col("run") * RUN, end))).drop("run", "filled", "slots")
+    slots = slots.withColumn("slot", F.col("epoch") * F.col("blocks") + F.col("place")).withColumnRenamed("place", "index")
+    slots = permute(slots, rounds)
+    return slots.select("number", "slot", F.pmod(F.xxhash64("number", "slot"), F.lit(shards)).alias("shard"), "index")
 
 
 def shard_counts(slots: DataFrame) -> DataFrame:
@@ -137,7 +146,7 @@ def _placed(rows: DataFrame, budget: float, weights: tuple[int, ...], most: int,
 def _pieces(placed: DataFrame, block: int) -> DataFrame:
     """A row for each block that a document has words in: index, and the words [begin, stop) of the source."""
     end = F.col("start") + F.col("size")
-    first, last = (F.col("start") / block).cast("long"), ((end - 1) / block).cast("long")
+    first, last = F.floor(F.col("start") / block), F.floor((end - 1) / block)
     return (
         placed.where("size > 0")
         .withColumn("index", F.explode(F.sequence(first, last)))
@@ -153,7 +162,8 @@ def mix(docs: DataFrame, budget: float = BUDGET, weights: tuple[int, ...] = WEIG
     key = ["doc_id", "source", "size", "source_size", "target", "number", "start"]
     pieces = _pieces(placed, block).select(*key, "index", (F.col("stop") - F.col("begin")).alias("words"))
     times = drawn_slots(sources).groupBy("number", "index").agg(F.count("*").alias("times"))
-    taken = pieces.join(times, ["number", "index"], "left").groupBy(*key)
+    # Sources are few, but their slots are not: the planner must not take these for small.
+    taken = pieces.join(times.hint("merge"), ["number", "index"], "left").groupBy(*key)
     taken = taken.agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     unused = placed.where("size = 0").select(*key, F.lit(0).cast("long").alias("taken"))
     return taken.unionByName(unused).select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -169,4 +179,4 @@ def mixed_blocks(docs: DataFrame, budget: float = BUDGET, weights: tuple[int, ..
     # A block has at most ``block`` pieces, each with a word or more.
     packed = pieces.groupBy("number", "source", "index").agg(F.array_sort(F.collect_list(F.struct("begin", "words"))).alias("pieces"))
     packed = packed.select("number", "source", "index", F.concat_ws(" ", "pieces.words").alias("text"))
-    return drawn_slots(sources).join(packed, ["number", "index"]).select("shard", "source", "slot", "text")
+    return drawn_slots(sources).hint("merge").join(packed, ["number", "index"]).select("shard", "source", "slot", "text")

@@ -97,15 +97,17 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
 def _mixing_sql() -> str:
     """The same sums and draws, round by round."""
     m = mixing
-    rounds = [f"r0 AS (SELECT number, slot, blocks, slot // blocks AS epoch, slot % blocks AS x FROM slots)"]
-    for r in range(1, m.ROUNDS + 1):
+    rounds = []
+    for r in range(m.ROUNDS):
+        primes = ", ".join(f"CASE WHEN blocks % {p} <> 0 THEN {p} END" for p in m.MULTIPLIERS[r:] + m.MULTIPLIERS[:r])
+        before = "slots" if r == 0 else f"r{r - 1}"
         rounds += [
-            f"a{r} AS (SELECT *, ((number * 1000003 + epoch * 7919 + {r} * 104729) % 2147483647) * 48271 % 2147483647 AS f FROM r{r - 1})",
-            f"b{r} AS (SELECT *, f * 69621 % 2147483647 AS g FROM a{r})",
-            f"c{r} AS (SELECT *, ((f * 2147483648 + g - x) % blocks + blocks) % blocks AS y FROM b{r})",
-            f"r{r} AS (SELECT number, slot, blocks, epoch, CASE WHEN "
-            f"((((greatest(x, y) % 2147483647) * 48271 + f) % 2147483647 * 69621 + g) % 2147483647) // 65536 % 2 = 1 "
-            f"THEN y ELSE x END AS x FROM c{r})",
+            f"a{r} AS (SELECT *, coalesce({primes}) AS a, (number * 1000003 + epoch * 7919 + {r} * 104729) % 2147483647 * 48271 % 2147483647 AS b FROM {before})",
+            f"b{r} AS (SELECT *, (a * x + b) % blocks AS y FROM a{r})",
+            f"c{r} AS (SELECT *, ((b * 69621 % 2147483647 * 2147483648 + b - y) % blocks + blocks) % blocks AS z FROM b{r})",
+            f"r{r} AS (SELECT number, blocks, epoch, CASE WHEN "
+            f"(greatest(y, z) % 2147483647 * 48271 + b) % 2147483647 * 69621 % 2147483647 // 65536 % 2 = 1 "
+            f"THEN z ELSE y END AS x FROM c{r})",
         ]
     return f"""
 WITH sized AS (
@@ -128,9 +130,10 @@ goals AS (
   FROM levels),
 sources AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target * blocks / source_size) AS BIGINT) ELSE 0 END AS n_slots FROM goals),
-slots AS (SELECT number, blocks, CAST(unnest(range(n_slots)) AS BIGINT) AS slot FROM sources WHERE n_slots > 0),
+numbered AS (SELECT number, blocks, CAST(unnest(range(n_slots)) AS BIGINT) AS slot FROM sources WHERE n_slots > 0),
+slots AS (SELECT number, blocks, slot // blocks AS epoch, slot % blocks AS x FROM numbered),
 {", ".join(rounds)},
-times AS (SELECT number, x AS block, count(*) AS times FROM r{m.ROUNDS} GROUP BY ALL),
+times AS (SELECT number, x AS block, count(*) AS times FROM r{m.ROUNDS - 1} GROUP BY ALL),
 placed AS (
   SELECT s.*, g.number, g.source_size, g.target,
          CAST(coalesce(sum(s.size) OVER (PARTITION BY g.number ORDER BY s.doc_id, s.size, s.row_id
