@@ -245,8 +245,8 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, shard: int = SHARD, radi
         .groupBy("doc_id")
         .agg(F.count("*").alias("n"), F.min(F.col("component_id") == F.col("doc_id")).alias("first"))
         .where("n > 1 OR NOT first")
-        .select(F.col("doc_id").alias("_id"), F.col("first").alias("_first"))
+        .select("doc_id", "first")
     )
-    alone = docs.join(ids, docs["doc_id"] == ids["_id"], "left_anti")
-    repeated = docs.join(ids.where("_first"), docs["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    alone = docs.join(ids, "doc_id", "left_anti")
+    repeated = docs.join(ids.where("first"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return alone.unionByName(repeated)
