@@ -58,8 +58,6 @@ RECORD = (
     "record_id string, record_type string, target_uri string, date string, page_id long, "
     "payload_bytes long, payload_digest string, refers_to_id string"
 )
-_RECORD_FIELDS = [f.split()[0] for f in RECORD.split(", ")]
-_RECORD_TYPES = [{"long": pa.int64(), "string": pa.string()}[f.split()[1]] for f in RECORD.split(", ")]
 
 
 class ArcRecord(NamedTuple):
@@ -241,11 +239,6 @@ def _opened(path: str) -> IO[bytes]:
     return gzip.GzipFile(fileobj=system.open_input_stream(place, compression=None))
 
 
-def _manifest(files: list[tuple[str, int]]) -> pa.RecordBatch:
-    paths, records = zip(*files) if files else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(records, pa.int64())], ["path", "records"])
-
-
 def write_arc(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as ARC files; (path, records) of each.
 
@@ -273,10 +266,10 @@ def write_arc(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES)
                 }
                 archive.add(arc_header(fields, version, len(content)) + content + b"\n")
                 if archive.size >= archive_bytes:
-                    yield _manifest([archive.close()])
+                    yield _batch([archive.close()], MANIFEST)
                     archive = None
         if archive is not None:
-            yield _manifest([archive.close()])
+            yield _batch([archive.close()], MANIFEST)
 
     rows = pages.select("page_id", "url", F.encode("html", "utf-8").alias("html"))
     return cut(rows.mapInArrow(write, MANIFEST))
@@ -289,7 +282,6 @@ def find_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 def index_arc(archives: DataFrame) -> DataFrame:
     """A row of ``INDEX`` for each record of ``archives`` (path)."""
-    names = [f.split()[0] for f in INDEX.split(", ")]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,15 +291,17 @@ def index_arc(archives: DataFrame) -> DataFrame:
                     for record in read_arc(stream, path):
                         header, payload = http_parts(record.content) or (b"", record.content)
                         rows.append((path, record.number, _page_id(header), len(payload), _sha256(payload)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names) if rows else _empty(INDEX)
+                yield _batch(rows, INDEX)
 
     return archives.select("path").mapInArrow(index, INDEX)
 
 
-def _empty(schema: str) -> pa.RecordBatch:
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of a schema of longs and strings."""
     kinds = {"long": pa.int64(), "string": pa.string()}
-    fields = [f.split() for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([], kinds[t]) for _, t in fields], [n for n, _ in fields])
+    names, types = zip(*[f.split() for f in schema.split(", ")])
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types)], list(names))
 
 
 def revisits(index: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -353,7 +347,7 @@ def convert(archives: DataFrame, folder: str, least: int = LEAST_REVISIT) -> Dat
                             # Equal payloads were captured from one place and time as far as ARC tells.
                             original = record_id(first[0].rsplit("/", 1)[1], first[1]), record.fields["URL"], record.fields["Archive-date"]
                         archive.add(to_warc(record, stem, original))
-                yield _manifest([archive.close()])
+                yield _batch([archive.close()], MANIFEST)
 
     return cut(jobs.mapInArrow(write, MANIFEST))
 
@@ -369,8 +363,7 @@ def read_records(archives: DataFrame) -> DataFrame:
                     for headers, block in read_warc(stream, path):
                         if headers["WARC-Type"] != "warcinfo":
                             rows.append(_described(headers, block, path))
-                columns = zip(*rows) if rows else [()] * len(_RECORD_FIELDS)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _RECORD_TYPES)], _RECORD_FIELDS)
+                yield _batch(rows, RECORD)
 
     return archives.select("path").mapInArrow(read, RECORD)
 
