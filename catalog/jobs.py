@@ -442,7 +442,7 @@ def size_profile(t: Tables):
         SELECT schema_name, table_name, SUM(current_size_bytes) AS current, AVG(current_size_bytes) AS average
         FROM ({SQL_PROFILE}) GROUP BY 1, 2),
     totals AS (SELECT SUM(current)::DOUBLE / 1073741824.0 AS current, SUM(average / 1073741824.0) AS average FROM per_table)
-    SELECT months, round(current + average * months, 9) AS total_size_gb,
+    SELECT months, round(current + average * months / 3.0, 9) AS total_size_gb,
            CAST(CAST(DATE '2024-01-31' + to_months(CAST(months AS INTEGER)) AS DATE) AS VARCHAR) AS future_date
     FROM totals, (VALUES (3), (6), (9), (12)) h(months)
     """,

@@ -413,7 +413,7 @@ def _sizes(t: Tables):
 @query(
     "size_projection",
     f"""
-    SELECT months, CAST(current_size + average * months AS DOUBLE) AS total_size_gb,
+    SELECT months, current_size::DOUBLE + (average * months)::DOUBLE / 3::DOUBLE AS total_size_gb,
            CAST(CAST(DATE '2024-01-31' + to_months(CAST(months AS INTEGER)) AS DATE) AS VARCHAR) AS future_date
     FROM ({SIZES}), (VALUES (3), (6), (9), (12)) h(months)
     """,

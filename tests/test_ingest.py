@@ -5,11 +5,13 @@ import hashlib
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_jobs import REPO
 from tidemark.plans import ingest
+from tidemark.sources.documents import read_documents
 
 NOW = "timestamp '2024-01-01 00:00:00'"
 
@@ -22,7 +24,8 @@ def test_bank_table_from_responses(spark, tmp_path):
         ]
         (tmp_path / f"{page}.json").write_text(json.dumps({"meta": {"total": 3}, "data": records}))
     raw = ingest.raw_bank_table(spark, str(tmp_path), "bank_financials", F.expr(NOW))
-    assert raw.columns == ["cert", "namefull", "asset", "dep", "repdte", "scraped_at"]
+    assert raw.columns == ["cert", "namefull", "asset", "dep", "repdte", "financials_id", "unused", "scraped_at"]
+    assert rows(raw, "financials_id", "unused")[0] == ("x1", "1")
     assert [(int(c), float(a), d) for c, a, d in rows(raw, "cert", "asset", "dep")] == [(1, 12.5, None), (2, 12.5, None), (3, 12.5, None)]
 
 
@@ -35,7 +38,8 @@ def test_call_report_layouts_may_differ_by_archive(spark, tmp_path):
     archive(tmp_path / "2023-03.zip", '"CU_Number","CYCLE_DATE","ACCT_IS0020","OTHER"', '"1","3/31/2023","5.50","é"', encoding="latin-1")
     archive(tmp_path / "2023-06.zip", "OTHER,ACCT_IS0020,CU_NUMBER", '"multi\r\nline, text",7,2', "short")
     raw = ingest.raw_call_report_table(spark, str(tmp_path / "*.zip"), "cu_fs220n", F.expr(NOW))
-    assert raw.columns == ["cu_number", "cycle_date", "acct_is0020", "scraped_at"]
+    assert raw.columns[:3] == ["cu_number", "cycle_date", "acct_is0020"] and raw.columns[-1] == "scraped_at"
+    assert set(raw.columns[3:-1]) == {"other"} and "é" in {r.other for r in raw.collect()}
     got = [(None if c is None else int(c), d, a) for c, d, a in rows(raw, "cu_number", "cycle_date", "acct_is0020")]
     assert sorted(got, key=repr) == sorted([(1, "3/31/2023", "5.50"), (2, None, "7"), (None, None, None)], key=repr)
 
@@ -53,6 +57,32 @@ def test_only_new_periods_are_appended(spark, tmp_path):
     assert land(("2023-03-31", 3), ("6/30/2023", 4)) == [("3/31/2023", 1), ("3/31/2023", 2), ("6/30/2023", 4)]
 
 
+def test_responses_must_be_whole_and_all_there(spark, tmp_path):
+    page = {"meta": {"total": 2}, "data": [{"data": {"CERT": "1"}}, {"data": {"CERT": "2"}}]}
+    for name, text in {"whole": json.dumps(page), "cut": json.dumps(page)[:-20], "short": json.dumps(page | {"data": page["data"][:1]})}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "0.json").write_text(text)
+    read = lambda name, **k: ingest.raw_bank_table(spark, str(tmp_path / name), "bank_financials", **k)
+    assert read("whole").count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read("cut", complete=False).count()
+    with pytest.raises(ValueError, match="1 records landed of 2"):
+        read("short")
+    assert read("short", complete=False).count() == 1
+
+
+def test_rows_without_a_period_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([("3/31/2023", 1), (None, 2)], "cycle_date string, v int")
+    with pytest.raises(Exception, match="without cycle_date"):
+        ingest.land_new_periods(df, str(tmp_path / "raw"), "cycle_date")
+
+
+def test_cut_documents_are_errors(spark, tmp_path):
+    (tmp_path / "0.json").write_text('{"url": "u", "body": "b')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_documents(spark, str(tmp_path)).count()
+
+
 def test_page_table_from_documents(spark, tmp_path):
     folder = tmp_path / "repos" / "job7"
     folder.mkdir(parents=True)

@@ -127,11 +127,12 @@ def test_bucketed_growth_is_growth(spark):
         "o_orderstatus", "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("v")
     ).filter("o_orderkey % 7 < 5")
     holes = orders.withColumn("v", F.when(F.col("o_orderkey") % 11 != 0, F.col("v")))
+    holes = holes.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")))
+    lost = holes.filter("o_orderkey % 20 = 1").groupBy("o_orderstatus").agg(F.max("v").alias("v"))
+    holes = holes.unionByName(lost.select("o_orderstatus", F.lit(None).cast("bigint").alias("o_orderkey"), "v"))
     args = (["o_orderstatus"], "o_orderkey", "v", "g")
-    bucket = F.floor(F.col("o_orderkey") / 50)
-    plainly = growth.growth_vs_prev(holes, *args)
-    bucketed = growth.growth_vs_prev_bucketed(holes, *args, bucket)
-    assert rows(bucketed, "o_orderkey", "g") == rows(plainly, "o_orderkey", "g")
+    plainly = rows(growth.growth_vs_prev(holes, *args), "o_orderstatus", "o_orderkey", "g")
+    assert rows(growth.growth_vs_prev_bucketed(holes, *args), "o_orderstatus", "o_orderkey", "g") == plainly
 
 
 def test_row_bytes(spark):
@@ -162,9 +163,9 @@ def test_align_schema_fills_and_drops(spark):
 def test_size_projection_modes(spark):
     totals = spark.createDataFrame([(10.0, 3.0)], "now double, average double")
     today = F.lit("2024-01-31").cast("date")
-    published = metrics.size_projection(totals, "now", "average", today)
+    published = metrics.size_projection(totals, "now", "average", today, months_per_report=1)
     assert [r.total_size_gb for r in published.orderBy("months").collect()] == [19.0, 28.0, 37.0, 46.0]
-    quarterly = metrics.size_projection(totals, "now", "average", today, months_per_report=3)
+    quarterly = metrics.size_projection(totals, "now", "average", today)
     assert [r.total_size_gb for r in quarterly.orderBy("months").collect()] == [13.0, 16.0, 19.0, 22.0]
     assert str(published.orderBy("months").first().future_date) == "2024-04-30"
 

@@ -222,3 +222,25 @@ def test_incremental_latest_survives_late_rows_and_repeats(spark, tmp_path):
     assert run() == [("a", 1, 5), ("b", 7, 2)]
     # The same batches again, as after a lost checkpoint.
     assert run(str(tmp_path / "again")) == [("a", 1, 5), ("b", 7, 2)]
+
+
+def test_partition_values_keep_their_types(spark, tmp_path):
+    df = spark.createDataFrame([("007", "20230331", 1), ("010", "20230630", 2)], "code string, day string, v int")
+    for name, temporary in (("coded", True), ("coded_for_good", False)):
+        published = tables.write_audit_publish(df, name, str(tmp_path), key=None, partition_by=["day", "code"], temporary=temporary)
+        assert dict(published.dtypes) == dict(df.dtypes)
+        assert rows(published, "code", "day", "v") == rows(df)
+    tables.append_load(df, str(tmp_path / "plain"), ["code"])
+    assert rows(tables.read_typed(spark, str(tmp_path / "plain"), df.schema), "code", "day", "v") == rows(df)
+    assert tables.partition_values(spark, str(tmp_path / "plain"), "code") == ["007", "010"]
+
+
+def test_old_and_failed_versions_go(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, dim_id string")
+    for _ in range(4):
+        tables.write_audit_publish(df, "again", str(tmp_path), temporary=True)
+    assert len(list((tmp_path / "again").glob("version=*"))) == 2
+    broken = df.withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_audit_publish(broken, "again", str(tmp_path), temporary=True)
+    assert len(list((tmp_path / "again").glob("version=*"))) == 2 and spark.table("again").count() == 2

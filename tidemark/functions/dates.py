@@ -30,14 +30,16 @@ def parse_day(text: ColumnOrName, strict: bool = True) -> Column:
     """
     value = as_col(text)
     slashed = F.regexp_replace(value, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-    compact = (F.length(value) == 8) & ~F.contains(value, F.lit("-"))
     pieces = [F.substring(value, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
     iso = (
-        F.when(F.contains(value, F.lit("/")), slashed)
-        .when(compact, F.concat_ws("-", *pieces))
-        .otherwise(value)
+        F.when(value.rlike(r"^\d{8}$"), F.concat_ws("-", *pieces))
+        .when(value.rlike(r"^\d{1,2}/\d{1,2}/\d{4}([ T].*)?$"), slashed)
+        .when(value.rlike(r"^\d{4}-\d{2}-\d{2}([ T].*)?$"), value)
     )
-    return iso.cast("date") if strict else iso.try_cast("date")
+    if not strict:
+        return iso.try_cast("date")
+    unknown = F.raise_error(F.concat(F.lit("not a report day: "), value)).cast("string")
+    return F.when(value.isNull() | iso.isNotNull(), iso).otherwise(unknown).cast("date")
 
 
 def quarter_end(day: ColumnOrName) -> Column:

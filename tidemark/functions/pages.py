@@ -7,30 +7,32 @@ after an opening tag whose attribute contains a word".
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions._columns import ColumnOrName, as_col
 
-# The named references that occur in text and link attributes.
-NAMED_REFERENCES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&middot;": "·",
-    "&copy;": "©",
-}
+#: All named references of HTML that end in a semicolon, except the ampersand's own.
+NAMED_REFERENCES = {f"&{name}": char for name, char in html5.items() if name.endswith(";") and char != "&"}
+
+
+def without_hidden(html: ColumnOrName) -> Column:
+    """The page less its comments, scripts and styles, whose text is no part of it."""
+    out = as_col(html)
+    for pattern in (r"(?s)<!--.*?(?:-->|\z)", r"(?is)<script\b.*?(?:</script\s*>|\z)", r"(?is)<style\b.*?(?:</style\s*>|\z)"):
+        out = F.regexp_replace(out, pattern, "")
+    return out
 
 
 def unescape_html(text: ColumnOrName) -> Column:
-    """Resolve character references: the named ones above and all numeric ones."""
+    """Resolve character references, named and numeric."""
     text = as_col(text)
-    resolved = text
-    for name, char in NAMED_REFERENCES.items():
-        resolved = F.replace(resolved, F.lit(name), F.lit(char))
+    names = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")  # folded to a constant
+    used = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&[A-Za-z][A-Za-z0-9]{1,31};"), F.lit(0)))
+    resolved = F.reduce(used, text, lambda done, name: F.replace(done, name, F.coalesce(F.try_element_at(names, name), name)))
     resolved = _resolve_numbers(resolved, r"&#([0-9]{1,7});", 10)
     resolved = _resolve_numbers(resolved, r"&#[xX]([0-9a-fA-F]{1,6});", 16)
     resolved = F.replace(resolved, F.lit("&amp;"), F.lit("&"))
@@ -81,15 +83,29 @@ def first_attribute(html: ColumnOrName, tag: str, attribute: str) -> Column:
 
 
 def attribute_of(opening_tag: ColumnOrName, attribute: str) -> Column:
-    """Value of an attribute in the text of one opening tag."""
+    """Value of an attribute in the text of one opening tag, its references resolved."""
     name = rf"(?i:\s{re.escape(attribute)}\s*=\s*)"
-    return F.coalesce(
-        first_text(opening_tag, name + r'"([^"]*)"'),
-        first_text(opening_tag, name + r"'([^']*)'"),
-        first_text(opening_tag, name + r"""([^\s"'>]+)"""),
+    return unescape_html(
+        F.coalesce(
+            first_text(opening_tag, name + r'"([^"]*)"'),
+            first_text(opening_tag, name + r"'([^']*)'"),
+            first_text(opening_tag, name + r"""([^\s"'>]+)"""),
+        )
     )
 
 
+def child_text(html: ColumnOrName, opening: str, tag: str, child: str) -> Column:
+    """Text of the first ``child`` inside an element that the pattern ``opening`` opens.
+
+    An element is first cut out, up to its end, the next of its kind or the
+    page's end, by one lazy step that does not recurse; the child is looked for
+    in the pieces.
+    """
+    pieces = F.regexp_extract_all(as_col(html), F.lit(opening + rf"(?s:(.*?))(?i:</{tag}\s*>|<{tag}\b|\z)"), F.lit(1))
+    texts = F.transform(pieces, lambda piece: first_text(piece, rf"(?i:<{child}\b)[^>]*>([^<]*)"))
+    return F.get(F.filter(texts, lambda x: x.isNotNull()), F.lit(0))
+
+
 def struct_list(html: ColumnOrName, pattern: str, names: tuple[str, ...]) -> Column:
     """One struct per match, field *i* holding group *i*."""
     html = as_col(html)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numbers import guarded_divide
+from tidemark.session import settled
 
 
 def growth_vs_prev(
@@ -35,35 +36,33 @@ def growth_vs_prev_bucketed(
     period: str,
     value: str,
     into: str,
-    bucket: Column,
     base: str = "current",
 ) -> DataFrame:
     """``growth_vs_prev`` for entities with too many rows for one task.
 
-    ``bucket`` must grow with ``period`` (a year, a month). Rows are compared
-    inside their bucket; a bucket's first row takes its predecessor from the
-    last row of the bucket before it, found on one pre-aggregated row per
-    entity and bucket.
+    Rows are dealt by range of entity and period, and compared inside their
+    partition. The first row that an entity has in a partition takes its
+    predecessor from the entity's last row in the partition before, found on one
+    row per entity and partition. No window is longer than a partition, or than
+    the number of partitions.
     """
     entity = list(entity)
-    cut = df.withColumn("_bucket", bucket)
-    within = Window.partitionBy(*entity, "_bucket").orderBy(F.col(period).asc_nulls_last())
-    last = cut.groupBy(*entity, "_bucket").agg(
-        F.max_by(F.struct(value), F.col(period)).alias("_last")
-    )
+    order = F.col(period).asc_nulls_last()
+    dealt = settled(df.repartitionByRange(*entity, order).withColumn("_part", F.spark_partition_id()))
+    late = F.struct(F.col(period).isNull().alias("none"), F.col(period).alias("day"))
+    last = dealt.groupBy(*entity, "_part").agg(F.max_by(F.struct(value), late).alias("_last"))
+    before_part = F.lag("_last", 1).over(Window.partitionBy(*entity).orderBy("_part"))[value]
     carried = last.select(
-        *entity,
-        "_bucket",
-        F.lag("_last", 1).over(_timeline(entity, "_bucket"))[value].alias("_carried"),
-    )
-    rows = cut.withColumn("_before", F.lag(F.struct(value), 1).over(within))
-    joined = rows.join(carried, [*entity, "_bucket"], "left")
-    before = F.when(F.col("_before").isNull(), F.col("_carried")).otherwise(
-        F.col("_before")[value]
-    )
-    return joined.withColumn(into, _growth(df, value, before, base)).drop(
-        "_bucket", "_before", "_carried"
+        *[F.col(c).alias(f"_e{i}") for i, c in enumerate(entity)], F.col("_part").alias("_p"), before_part.alias("_carried")
     )
+    within = Window.partitionBy(*entity, "_part").orderBy(order)
+    rows = dealt.withColumn("_before", F.lag(F.struct(value), 1).over(within))
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(entity):
+        same &= F.col(c).eqNullSafe(F.col(f"_e{i}"))
+    before = F.when(F.col("_before").isNull(), F.col("_carried")).otherwise(F.col("_before")[value])
+    grown = rows.join(carried, same, "left").withColumn(into, _growth(df, value, before, base))
+    return grown.drop("_part", "_p", "_before", "_carried", *[f"_e{i}" for i in range(len(entity))])
 
 
 def _timeline(entity: Sequence[str], order: str):

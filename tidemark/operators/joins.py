@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join to a ``right`` that holds at most one row per key.
+    """Left join to a ``right`` without keys that hold very many of its rows.
 
     Spark broadcasts ``right`` if its measured size allows; otherwise both sides
     are shuffled and a hot key of ``left`` is split at run time.

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.dates import load_stamp, parse_day
 from tidemark.functions.keys import md5_key
 from tidemark.operators.columns import align_schema
-from tidemark.operators.joins import new_periods
 from tidemark.plans.page_extracts import EXTRACTORS
-from tidemark.sources.archives import read_member_records
+from tidemark.sources.archives import member_columns, read_member_records
 from tidemark.sources.documents import read_documents, stamp_lineage
-from tidemark.sources.envelopes import read_envelopes
-from tidemark.sources.tables import append_load
+from tidemark.sources.envelopes import read_envelopes, record_fields, require_complete
+from tidemark.sources.tables import append_load, partition_values
 
 BANK_TABLES = {
     "bank_institutions": schemas.RAW_BANK_INSTITUTIONS,
@@ -40,29 +38,69 @@ PAGE_TABLES = {
 }
 
 
+# What the source calls its own id, by table.
+RENAMED = {
+    "bank_institutions": schemas.BANK_INSTITUTIONS_RENAME,
+    "bank_financials": schemas.BANK_FINANCIALS_RENAME,
+}
+
+
+def widened(known: T.StructType, names: list[str]) -> T.StructType:
+    """``known`` with every further name as text, before the load time."""
+    have = set(known.names)
+    more = [T.StructField(n, schemas.TEXT) for n in names if n not in have]
+    stamp = [f for f in known.fields if f.name == "scraped_at"]
+    return T.StructType([f for f in known.fields if f.name != "scraped_at"] + more + stamp)
+
+
 def raw_bank_table(
-    spark: SparkSession, path: str | list[str], table: str, now: Column | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    table: str,
+    now: Column | None = None,
+    schema: T.StructType | None = None,
+    complete: bool = True,
 ) -> DataFrame:
-    """A bank table from API responses, whose records have upper-case text keys."""
-    schema = BANK_TABLES[table]
-    names = [f.name for f in schema.fields if f.name != "scraped_at"]
-    landed = read_envelopes(
-        spark, path, schemas.record(**{n.upper(): schemas.TEXT for n in names})
-    )
-    return _stamped(landed, schema, now)
+    """A bank table from API responses, whose records have upper-case text keys.
+
+    Every field that a record has becomes a column: the declared ones typed, the
+    rest as text, the source's own ``id`` under its name in the table. Pass
+    ``schema`` to say which columns to keep. Unless ``complete`` is False, the
+    responses must hold as many records as they declare.
+    """
+    if complete:
+        require_complete(spark, path)
+    rename = RENAMED[table]
+    found = record_fields(spark, path)
+    if schema is None:
+        schema = widened(BANK_TABLES[table], [rename.get(n.lower(), n.lower()) for n in found])
+    landed = read_envelopes(spark, path, schemas.record(**dict.fromkeys(found, schemas.TEXT)))
+    return _stamped(landed, schema, now, rename)
 
 
 def raw_call_report_table(
-    spark: SparkSession, path: str | list[str], table: str, now: Column | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    table: str,
+    now: Column | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A credit-union table from quarterly archives."""
-    member, schema = CALL_REPORT_TABLES[table]
+    """A credit-union table from quarterly archives, with every column that any of them has.
+
+    Pass ``schema`` to say which columns to keep; the archives' headers are then
+    not read beforehand.
+    """
+    member, known = CALL_REPORT_TABLES[table]
+    if schema is None:
+        schema = widened(known, member_columns(spark, path, member))
     names = [f.name for f in schema.fields if f.name != "scraped_at"]
     return _stamped(read_member_records(spark, path, member, names), schema, now)
 
 
-def _stamped(landed: DataFrame, schema: T.StructType, now: Column | None) -> DataFrame:
-    aligned = align_schema(landed, schema, generated=("scraped_at",))
+def _stamped(
+    landed: DataFrame, schema: T.StructType, now: Column | None, rename: dict[str, str] | None = None
+) -> DataFrame:
+    aligned = align_schema(landed, schema, rename, generated=("scraped_at",))
     return aligned.withColumn("scraped_at", load_stamp(now))
 
 
@@ -85,19 +123,12 @@ def land_new_periods(
 ) -> None:
     """Append the report periods that ``target`` does not hold yet.
 
-    The table is laid out by the parsed period, so finding what is loaded reads
-    no column and later period filters prune files.
+    The table is laid out by the parsed period: what is loaded is read from the
+    names of its folders, one per report, and later period filters prune files.
+    A row without a period is an error, since no run could tell it is loaded.
     """
-    dated = incoming.withColumn(partition, parse_day(period))
-    loaded = _stored(incoming.sparkSession, target)
-    fresh = dated if loaded is None else new_periods(dated, loaded, partition)
-    append_load(fresh, target, [partition])
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    missing = F.raise_error(F.lit(f"a row without {period} cannot be landed by period")).cast("date")
+    dated = incoming.withColumn(partition, F.coalesce(parse_day(period), missing))
+    loaded = partition_values(incoming.sparkSession, target, partition)
+    known = [F.lit(day).cast("date") for day in loaded]
+    append_load(dated.filter(~F.col(partition).isin(*known)) if known else dated, target, [partition])

@@ -157,13 +157,13 @@ def size_projection(
     current: str,
     average: str,
     today: Column | None = None,
-    months_per_report: int = 1,
+    months_per_report: int = 3,
 ) -> DataFrame:
     """Size at each horizon: ``current + average * months``.
 
-    ``average`` is the growth per ``months_per_report`` months. The published
-    projection treats a report's average as a month's; pass 3 for quarterly
-    reports.
+    ``average`` is the growth per ``months_per_report`` months; reports are
+    quarterly. The older projection took a report's average for a month's: pass
+    1 for its figures.
     """
     today = F.current_date() if today is None else today
     horizons = F.explode(F.array(*[F.lit(m) for m in HORIZONS])).alias("months")

@@ -35,17 +35,19 @@ def _text_in(pattern: str) -> str:
     return pattern + _TEXT_AFTER_TAG
 
 
-def _link_child_text(href_word: str, child: str) -> str:
+def _link_child_text(page: str, href_word: str, child: str) -> Column:
     """Text of the first ``child`` inside an anchor whose target has a word."""
-    anchor = P.element("a", "href", href_word)
-    # Steps from tag to tag and stops at the anchor's own end.
-    inside = r"[^<]*(?:<(?:[^/a]|/[^a])[^>]*>[^<]*)*?"
-    return anchor + inside + rf"<{child}\b[^>]*>" + _TEXT_AFTER_TAG
+    return _clean(P.child_text(page, P.element("a", "href", href_word), "a", child))
 
 
-def _block_after(heading: str, closing: str) -> str:
-    """What follows an ``h2`` with ``heading`` in it, up to ``closing``."""
-    return rf"(?s)<h2\b[^>]*>[^<]*{heading}[^<]*</h2>(.*?){closing}"
+def _section(heading: str) -> str:
+    """What follows an ``h2`` with ``heading`` in it, up to the next heading or part of the page."""
+    return rf"(?is)<h2\b[^>]*>[^<]*{heading}[^<]*</h2>(.*?)(?:<h[12]\b|</main\b|</aside\b|<footer\b|\z)"
+
+
+def _shown(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``_page``: the body less what a reader does not see."""
+    return pages.withColumn("_page", P.without_hidden("body"))
 
 
 def _clean(value: Column) -> Column:
@@ -54,15 +56,15 @@ def _clean(value: Column) -> Column:
 
 def extract_repos(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per repository page."""
-    body = "body"
-    blocks = pages.withColumns(
+    body = "_page"
+    blocks = _shown(pages).withColumns(
         {
-            "_about": F.regexp_extract(body, _block_after("About", "</div>"), 1),
-            "_languages": F.regexp_extract(body, _block_after("Languages", "</ul>"), 1),
+            "_about": F.regexp_extract(body, _section("About"), 1),
+            "_languages": F.regexp_extract(body, _section("Languages"), 1),
         }
     )
     language = r"(?s)<li\b[^>]*>\s*<a\b[^>]*>.*?<span\b[^>]*>([^<]*)</span>\s*<span\b[^>]*>([^<]*)</span>"
-    overview = P.embedded_json(body, EMBEDDED_DATA, 2)
+    overview = P.embedded_json("body", EMBEDDED_DATA, 2)
     return blocks.select(
         *keep,
         url_path_segment("url", 2).alias("name"),
@@ -72,14 +74,17 @@ def extract_repos(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.transform(
             P.all_text(body, _text_in(P.element("a", "class", "topic-tag"))), _clean
         ).alias("tags"),
-        P.struct_list("_languages", language, ("name", "pct")).alias("languages"),
-        P.first_text(body, _text_in(P.element("span", "id", "pull-requests-repo-tab-count"))).alias(
+        F.transform(
+            P.struct_list("_languages", language, ("name", "pct")),
+            lambda x: F.struct(_clean(x["name"]).alias("name"), _clean(x["pct"]).alias("pct")),
+        ).alias("languages"),
+        _clean(P.first_text(body, _text_in(P.element("span", "id", "pull-requests-repo-tab-count")))).alias(
             "pull_requests"
         ),
         json_text(overview, OVERVIEW + ".commitCount").alias("commits"),
-        P.first_text(body, _link_child_text("/stargazers", "strong")).alias("stargazers"),
-        P.first_text(body, _link_child_text("/forks", "strong")).alias("forks"),
-        P.first_text(body, _link_child_text("/graphs/contributors", "span")).alias("contributors"),
+        _link_child_text(body, "/stargazers", "strong").alias("stargazers"),
+        _link_child_text(body, "/forks", "strong").alias("forks"),
+        _link_child_text(body, "/graphs/contributors", "span").alias("contributors"),
         P.first_attribute(body, "relative-time", "datetime").alias("last_updated"),
     )
 
@@ -94,7 +99,7 @@ def extract_contributors(pages: DataFrame, keep: Sequence[str] = ()) -> DataFram
         "repo_name": "meta.repo_name",
         "source_repo_link": "meta.source_repo_link",
     }
-    rows = explode_with(pages.withColumn("_pieces", F.split("body", person)), kept, items, "item")
+    rows = explode_with(_shown(pages).withColumn("_pieces", F.split("_page", person)), kept, items, "item")
     rows = rows.withColumn("item", F.split_part("item", F.lit("</ol>"), F.lit(1)))
     profile_tag = F.regexp_extract("item", P.element("a", "data-hovercard-type", "user"), 0)
     commits = P.element("a", "href", "commits?author") + _TEXT_AFTER_TAG
@@ -109,24 +114,23 @@ def extract_contributors(pages: DataFrame, keep: Sequence[str] = ()) -> DataFram
 
 def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per profile page, with the employer and organisations it names."""
-    body = "body"
+    body = "_page"
 
     def tab(name: str) -> Column:
-        return P.first_text(body, _link_child_text(f"tab={name}", "span"))
+        return _link_child_text(body, f"tab={name}", "span")
 
     def percent(side: str) -> Column:
         return P.first_text("_graph", _text_in(P.element("text", "class", f"js-highlight-percent-{side}")))
 
     graph = P.element("svg", "class", "js-activity-overview-graph") + r"(.*?)</svg>"
-    employer = (
-        P.element("li", "itemprop", "worksFor")
-        + r'.*?<span\b[^>]*\sclass="p-org"[^>]*>\s*<div\b[^>]*>(.*?)</div>'
-    )
-    blocks = pages.withColumns(
+    # The employer's own list item, and in it the organisation's block.
+    works_for = P.element("li", "itemprop", "worksFor") + r"(?s:(.*?))(?i:</li\s*>|<li\b|\z)"
+    employer = P.element("span", "class", "p-org") + r"\s*<div\b[^>]*>(.*?)</div>"
+    blocks = _shown(pages).withColumns(
         {
             "_graph": F.regexp_extract(body, graph, 1),
-            "_employer": F.regexp_extract(body, employer, 1),
-            "_organisations": F.regexp_extract(body, _block_after("Organizations", "</div>"), 1),
+            "_employer": F.regexp_extract(F.regexp_extract(body, works_for, 1), employer, 1),
+            "_organisations": F.regexp_extract(body, _section("Organizations"), 1),
         }
     )
     employer_link = r'(?s)<a\b[^>]*\shref="([^"]*)"[^>]*>([^<]*)'
@@ -171,8 +175,8 @@ def extract_profiles(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def extract_companies(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per company home page, with its first link to each network."""
-    body, domain = "body", F.col("meta.domain")
-    return pages.select(
+    body, domain = "_page", F.col("meta.domain")
+    return _shown(pages).select(
         *keep,
         F.col("meta.og_company_name").alias("name"),
         F.col("url").alias("website"),

@@ -1,8 +1,8 @@
 """Declared schemas of the raw tables.
 
-Raw tables may be far wider than this (the regulators publish up to 250
-columns); these are the columns that staging reads. Pass a wider ``StructType``
-to ``align_schema`` to keep more.
+Raw tables are far wider than this (the regulators publish up to 250 columns);
+these are the columns that staging reads, and their types. Ingest keeps every
+column that the source has, those not named here as text.
 """
 
 from __future__ import annotations

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     # The scrape day is cut from a timestamp, so the zone is part of the result.
@@ -21,7 +23,6 @@ SESSION_CONF = {
 }
 
 PARTITION_BYTES = 256 << 20
-MOST_PARTITIONS = 50_000
 
 
 def shuffle_conf(shuffle_bytes: int) -> dict[str, str]:
@@ -31,8 +32,7 @@ def shuffle_conf(shuffle_bytes: int) -> dict[str, str]:
     starts with enough for its largest shuffle to fit in memory.
     """
     wanted = -(-shuffle_bytes // PARTITION_BYTES)
-    width = min(max(wanted, 200), MOST_PARTITIONS)
-    return {"spark.sql.shuffle.partitions": str(width)}
+    return {"spark.sql.shuffle.partitions": str(max(wanted, 200))}
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,15 +47,17 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 @cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    root = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     Where the setting is absent and the session is local (tests, laptops) a
-    temporary folder takes its place; a cluster without it is refused, because
-    its executors could not see a folder of the driver's own.
+    temporary folder takes its place until the process ends; a cluster without
+    it is refused, because its executors could not see a folder of the driver's.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -63,3 +65,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` as computed now, kept in the shared checkpoint folder.
+
+    For rows that are read twice and must be the same both times, such as those
+    that carry the number of their partition.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

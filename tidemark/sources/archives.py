@@ -17,6 +17,8 @@ from tidemark.sources.delimited import snake_case
 LINE_SCHEMA = "archive string, member string, line_no long, line string"
 LINES_PER_BATCH = 10_000
 BLOCK_BYTES = 1 << 20
+#: Longest field of a delimited member; the csv module stops at 128 KiB by itself.
+FIELD_BYTES = 1 << 30
 
 
 def read_members(spark: SparkSession, path: str | list[str], members: list[str]) -> DataFrame:
@@ -58,6 +60,23 @@ def read_member_records(
     return archives.mapInPandas(records, record(**dict.fromkeys(columns, TEXT)))
 
 
+def member_columns(spark: SparkSession, path: str | list[str], member: str) -> list[str]:
+    """Snake-case names of all columns that any archive's ``member`` has, in order of their names."""
+
+    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, _, opened, info in _members(batches, [member]):
+            with opened.open(info) as text:
+                lines = csv.reader(io.TextIOWrapper(text, _encoding(opened, info), newline=""))
+                yield pd.DataFrame({"name": _header(next(lines, []))})
+
+    archives = spark.read.format("binaryFile").load(path).select("path", "content")
+    return sorted(r["name"] for r in archives.mapInPandas(headers, "name string").distinct().collect())
+
+
+def _header(names: list[str]) -> list[str]:
+    return [snake_case(name.strip("'")) for name in names]
+
+
 def _members(
     batches: Iterator[pd.DataFrame], members: list[str]
 ) -> Iterator[tuple[str, str, zipfile.ZipFile, zipfile.ZipInfo]]:
@@ -76,8 +95,9 @@ def _record_batches(
 ) -> Iterator[pd.DataFrame]:
     with opened.open(info) as member:
         text = io.TextIOWrapper(member, _encoding(opened, info), newline="")
+        csv.field_size_limit(FIELD_BYTES)
         rows = csv.reader(text)
-        header = [snake_case(name.strip("'")) for name in next(rows, [])]
+        header = _header(next(rows, []))
         places = [header.index(c) if c in header else None for c in columns]
         held = []
         for row in rows:

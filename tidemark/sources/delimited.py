@@ -53,7 +53,7 @@ def parse_delimited(
     """
     names = [snake_case(h.strip().strip("\"'"), legacy_names) for h in header.split(",")]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    options = {"quote": '"', "escape": '"'}
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
     record = F.from_csv(F.col(column), F.lit(_ddl(schema)), options).alias("record")
     return lines.select(*keep, record).select(*keep, "record.*")
 

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import TEXT, record
 
 PAGE_META = ("link", "project_link", "repo_name", "source_repo_link", "domain", "og_company_name")
-PAGE_SCHEMA = record(url=TEXT, body=TEXT, meta=record(**dict.fromkeys(PAGE_META, TEXT)))
+
+
+def page_schema(meta: Sequence[str] = PAGE_META) -> T.StructType:
+    """Schema of a crawled page whose ``meta`` has the given keys."""
+    return record(url=TEXT, body=TEXT, meta=record(**dict.fromkeys(meta, TEXT)))
+
+
+PAGE_SCHEMA = page_schema()
 
 # Fixed value: landed keys read <kind>/<job id>.json.gz or <kind>/<job id>/...
 JOB_KEY_PATTERN = r"([^/]+)/([^/.]+)(?:\.json\.gz|/[^/]*)$"
@@ -23,9 +32,11 @@ def read_documents(
     """Documents of one file, a folder, or a glob, with the file's path.
 
     gzip is recognised by suffix. A folder is listed and read in parallel and
-    has no limit on its number of files.
+    has no limit on its number of files. A document that does not parse is an
+    error.
     """
-    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line)
+    docs = reader.json(path)
     return docs.withColumn("source_path", F.col("_metadata.file_path"))
 
 

@@ -25,17 +25,51 @@ def read_envelopes(
 ) -> DataFrame:
     """Records of all responses under ``path``; the pages of a request are files.
 
-    Set ``multi_line=False`` for one response per line, which Spark can split.
+    Set ``multi_line=False`` for one response per line, which Spark can split. A
+    response that does not parse (one cut short, say) is an error.
     """
-    responses = (
-        spark.read.schema(envelope_schema(record)).option("multiLine", multi_line).json(path)
+    return unwrap(_responses(spark, path, envelope_schema(record), multi_line), "data")
+
+
+def _responses(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool
+) -> DataFrame:
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
+
+
+def record_fields(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> list[str]:
+    """Names of all fields that any record under ``path`` has.
+
+    Records are read as maps for this, and one row per name reaches the driver.
+    """
+    keys = T.MapType(T.StringType(), T.StringType())
+    element = T.StructType([T.StructField("data", keys)])
+    schema = T.StructType([T.StructField("data", T.ArrayType(element))])
+    found = _responses(spark, path, schema, multi_line).select(F.explode("data").alias("e"))
+    names = found.select(F.explode(F.map_keys("e.data")).alias("name")).distinct()
+    return sorted(r["name"] for r in names.collect())
+
+
+def require_complete(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> None:
+    """Raise unless every request's responses hold the number of records they declare.
+
+    The responses of a request are the files of one folder; each repeats the
+    request's ``meta.total``. Requests without a total are not judged.
+    """
+    schema = envelope_schema(T.StructType([]))
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    found = _responses(spark, path, schema, multi_line).select(
+        folder.alias("request"), F.col("meta.total").alias("total"), F.coalesce(F.size("data"), F.lit(0)).alias("n")
     )
-    return unwrap(responses, "data")
+    sums = found.groupBy("request").agg(F.max("total").alias("declared"), F.sum("n").alias("landed"))
+    short = sums.where("declared <> landed").first()
+    if short is not None:
+        raise ValueError(f"{short['request']}: {short['landed']} records landed of {short['declared']} declared")
 
 
 def parse_envelopes(df: DataFrame, column: str, record: T.StructType) -> DataFrame:
     """Records of responses held as text in a column."""
-    parsed = F.from_json(F.col(column), envelope_schema(record))
+    parsed = F.from_json(F.col(column), envelope_schema(record), {"mode": "FAILFAST"})
     return unwrap(df.select(parsed["data"].alias("data")), "data")
 
 

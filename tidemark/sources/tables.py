@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.quality import require_key
 
@@ -35,6 +37,17 @@ def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     )
 
 
+def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table as it was written: folder names give partition values of the declared types, none guessed."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's first partition column, from the names of its folders alone."""
+    marks = [name for name in _folders(spark, path) if name.startswith(f"{column}=")]
+    return sorted(name.partition("=")[2] for name in marks)
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     """Expose a DataFrame to SQL in this session."""
     df.createOrReplaceTempView(name)
@@ -48,20 +61,22 @@ def write_audit_publish(
     audit: Callable[[DataFrame], None] | None = None,
     partition_by: Sequence[str] = (),
     temporary: bool = False,
+    keep: int = 2,
 ) -> DataFrame:
     """Write a new version of ``table``, audit what was written, then publish it.
 
     The table is a view over its newest audited version below ``root``, so
     publishing moves no data and readers see either the old version or the new
-    one. If the audit fails the new version is deleted, the view still shows the
-    old one, and the audit's exception is passed on.
+    one. If the write or the audit fails the new version is deleted, the view
+    still shows the old one, and the exception is passed on. The newest ``keep``
+    versions stay, for readers that began before; older ones are deleted.
     """
     spark = df.sparkSession
-    version = f"{root.rstrip('/')}/{table}/version={uuid.uuid4().hex}"
-    laid_out = _laid_out(df, partition_by)
-    laid_out.write.mode("errorifexists").partitionBy(*partition_by).parquet(version)
-    written = spark.read.parquet(version)
+    folder = f"{root.rstrip('/')}/{table}"
+    version = f"{folder}/version={time.time_ns():020d}-{uuid.uuid4().hex}"
     try:
+        _laid_out(df, partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(version)
+        written = read_typed(spark, version, df.schema)
         if key is not None:
             require_key(written, key)
         if audit is not None:
@@ -69,11 +84,45 @@ def write_audit_publish(
     except Exception:
         _delete(spark, version)
         raise
-    kind = "TEMPORARY VIEW" if temporary else "VIEW"
-    spark.sql(f"CREATE OR REPLACE {kind} {table} AS SELECT * FROM parquet.`{version}`")
+    if temporary:
+        publish_view(written, table)
+    else:
+        _publish(spark, table, version, df.schema, partition_by)
+    for old in sorted(n for n in _folders(spark, folder) if n.startswith("version="))[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {_version_table(table, old)}")
+        _delete(spark, f"{folder}/{old}")
     return spark.table(table)
 
 
+def _publish(
+    spark: SparkSession, table: str, version: str, schema: T.StructType, partition_by: Sequence[str]
+) -> None:
+    """A view over the version's files; over a table with declared types where folder names hold values."""
+    source = f"parquet.`{version}`"
+    if partition_by:
+        source = _version_table(table, version.rsplit("/", 1)[1])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = ", ".join(f"`{c}`" for c in partition_by)
+        spark.sql(f"CREATE TABLE {source} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{version}'")
+        spark.sql(f"ALTER TABLE {source} RECOVER PARTITIONS")
+    names = ", ".join(f"`{f.name}`" for f in schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {names} FROM {source}")
+
+
+def _version_table(table: str, version: str) -> str:
+    """Name of the table over one version's folder."""
+    return f"{table}_{version.partition('=')[2].replace('-', '_')}"
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()]
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
