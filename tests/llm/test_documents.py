@@ -220,6 +220,16 @@ def test_blocks_score_each_id_once():
         at += rows
 
 
+def test_words_spelled_together_as_alone():
+    speller = attention_lm.Speller(attention_lm.VOCABULARY)
+    found = ["the", "'s", "don't,", "a\u00a0b", "\u00a0", "\u3000x\u2003", "42nd", "ünï", "###", "😀😀", "x" * 250, "!'ll", "\x00", "ﬁ"]
+    for own in (found, [*found, "y" * 900], ["z"]):
+        raw = [w.encode() for w in own]
+        ids, sizes = speller.spell_all(raw)
+        each = [speller.spell(w) for w in raw]
+        assert ids.tolist() == [i for e in each for i in e] and sizes.tolist() == [len(e) for e in each]
+
+
 def test_blocks_do_not_depend_on_their_batch():
     rng = np.random.default_rng(0)
     class_of, log_share = attention_lm.classes(rng.integers(0, 50, 300).astype(np.int64))
