@@ -232,9 +232,9 @@ def test_words_spelled_together_as_alone():
 
 def test_blocks_do_not_depend_on_their_batch():
     rng = np.random.default_rng(0)
-    class_of, log_share = attention_lm.classes(rng.integers(0, 50, 300).astype(np.int64))
-    ids, sizes = rng.integers(0, 300, 9000), np.array([3000, 1, 5999])
-    inputs, targets, first = attention_lm.blocked(ids, sizes, 299)
+    class_of, log_share = attention_lm.classes(rng.integers(0, 50, 1400).astype(np.int64))
+    ids, sizes = rng.integers(0, 1400, 9000), np.array([3000, 1, 5999])
+    inputs, targets, first = attention_lm.blocked(ids, sizes, 1399)
     weights, row = attention_lm.fit(inputs, targets, first, class_of, epochs=0)
     model = attention_lm.Model(weights, row, class_of, log_share)
     whole = attention_lm.log_probabilities(model, inputs, targets, first)
@@ -248,7 +248,7 @@ def test_blocks_do_not_depend_on_their_batch():
     np.testing.assert_allclose(whole[5, :9], again[5, :9], rtol=1e-4, atol=1e-5)
     # over all ids, the probabilities of a place add up to 1
     total = sum(
-        np.exp(attention_lm.log_probabilities(model, inputs[:1], np.full((1, attention_lm.STRIDE), i), first[:1])[0, 3]) for i in range(300)
+        np.exp(attention_lm.log_probabilities(model, inputs[:1], np.full((1, attention_lm.STRIDE), i), first[:1])[0, 3]) for i in range(1400)
     )
     assert total == pytest.approx(1, abs=1e-3)
 
