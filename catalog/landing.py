@@ -196,8 +196,19 @@ def full_refresh_write(t: Tables):
     return t.spark.sql("SELECT o_orderkey, o_orderstatus FROM refreshed_orders")
 
 
-_CODES = ", ".join(f"'{code}'" for code in lookups.STATES.values())
-_PAIRS = ", ".join(f"('{name}', '{code}')" for name, code in lookups.STATES.items())
+# Fixed values, written out apart from the library's own: every state's code and name.
+_STATES = """
+    AL Alabama, AK Alaska, AZ Arizona, AR Arkansas, CA California, CO Colorado, CT Connecticut, DE Delaware,
+    DC District of Columbia, FL Florida, GA Georgia, HI Hawaii, ID Idaho, IL Illinois, IN Indiana, IA Iowa, KS Kansas,
+    KY Kentucky, LA Louisiana, ME Maine, MD Maryland, MA Massachusetts, MI Michigan, MN Minnesota, MS Mississippi,
+    MO Missouri, MT Montana, NE Nebraska, NV Nevada, NH New Hampshire, NJ New Jersey, NM New Mexico, NY New York,
+    NC North Carolina, ND North Dakota, OH Ohio, OK Oklahoma, OR Oregon, PA Pennsylvania, RI Rhode Island,
+    SC South Carolina, SD South Dakota, TN Tennessee, TX Texas, UT Utah, VT Vermont, VA Virginia, WA Washington,
+    WV West Virginia, WI Wisconsin, WY Wyoming
+"""
+_NAMED = [state.split(maxsplit=1) for state in _STATES.split(",")]
+_CODES = ", ".join(f"'{code}'" for code, _ in _NAMED)
+_PAIRS = ", ".join(f"('{name.strip()}', '{code}')" for code, name in _NAMED)
 
 
 @query(
@@ -209,7 +220,7 @@ _PAIRS = ", ".join(f"('{name}', '{code}')" for name, code in lookups.STATES.item
     """,
 )
 def lookup_dimension(t: Tables):
-    codes = F.array(*[F.lit(c) for c in lookups.STATES.values()])
+    codes = F.array(*[F.lit(code) for code, _ in _NAMED])
     placed = t.customer.select(
         "c_custkey", F.get(codes, (F.col("c_custkey") % 51).cast("int")).alias("state_code")
     )

@@ -118,16 +118,29 @@ def coalesce_pick(t: Tables):
     )
 
 
-ASSET_LADDER = (
-    " ".join(f"WHEN total_assets < {bound} THEN '{label}'" for bound, label in numbers.ASSET_TIERS)
-    + f" ELSE '{numbers.TOP_ASSET_TIER}'"
-)
+# Fixed values, written out apart from the library's own so that either can catch the other's mistake.
+ASSET_LADDER = """
+    WHEN total_assets < 500000000 THEN 'Less than $500M'
+    WHEN total_assets < 1000000000 THEN '$500M to $1B'
+    WHEN total_assets < 5000000000 THEN '$1B to $5B'
+    WHEN total_assets < 10000000000 THEN '$5B to $10B'
+    WHEN total_assets < 50000000000 THEN '$10B to $50B'
+    WHEN total_assets < 100000000000 THEN '$50B to $100B'
+    WHEN total_assets < 500000000000 THEN '$100B to $500B'
+    WHEN total_assets < 1000000000000 THEN '$500B to $1T'
+    WHEN total_assets < 3000000000000 THEN '$1T to $3T'
+    ELSE 'Greater than $3T'
+"""
 
 
 def growth_ladder(column: str) -> str:
     """The growth tiers as CASE branches; NULL meets none of them."""
-    lower = " ".join(f"WHEN {column} <= {bound} THEN '{label}'" for bound, label in numbers.GROWTH_TIERS)
-    return f"{lower} WHEN {column} > {numbers.GROWTH_TIERS[-1][0]} THEN '{numbers.TOP_GROWTH_TIER}'"
+    return f"""
+        WHEN {column} <= -0.05 THEN '>5% decline'
+        WHEN {column} <= 0.0 THEN '0% to 5% decline'
+        WHEN {column} <= 0.05 THEN '0% to 5% growth'
+        WHEN {column} > 0.05 THEN '>5% growth'
+    """
 
 
 @query(
@@ -426,7 +439,7 @@ def size_projection(t: Tables):
 _COSTS = ", ".join(
     f"CAST(current_size + average * {m} AS BIGINT) AS gb_in_{m}_months, "
     f"(current_size + average * {m})::DOUBLE * 0.4::DOUBLE AS cost_in_{m}_months_usd"
-    for m in metrics.HORIZONS
+    for m in (3, 6, 9, 12)
 )
 
 
