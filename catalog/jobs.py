@@ -385,20 +385,20 @@ def metric_repo_company_share(t: Tables):
 
 
 # Row sizes: a 24-byte header, 8 bytes per long, double or time, 4 per int,
-# 10 per 18-digit decimal, and text by its length.
+# 10 per 18-digit decimal, 14 per 26-digit one, and text by its length.
 _PROFILED = {
     ("raw", "orders"): ("orders", X.quarter("o_orderdate"), "24 + 32 + strlen(o_orderstatus) + strlen(o_orderpriority)"),
     ("raw", "lineitem"): ("lineitem", X.quarter("l_shipdate"), "24 + 68 + strlen(l_returnflag) + strlen(l_linestatus)"),
     ("raw", "events"): ("events", "CAST(ts AS DATE)", "24 + 32 + strlen(event_type) + strlen(props)"),
     ("staging", "bank_financials"): (
-        f"{X.SQL_FINANCIALS} f", "report_date", "24 + 30 + 8 + strlen(name) + strlen(report_date) + strlen(dim_id)",
+        f"{X.SQL_FINANCIALS} f", "report_date", "24 + 10 + 2 * 14 + 8 + strlen(name) + strlen(report_date) + strlen(dim_id)",
     ),
     ("staging", "cu_fs220n"): (
-        f"{X.SQL_FS220N} n", "cycle_date", "24 + 20 + 8 + strlen(cycle_date) + strlen(dim_id)",
+        f"{X.SQL_FS220N} n", "cycle_date", "24 + 10 + 14 + 8 + strlen(cycle_date) + strlen(dim_id)",
     ),
     ("data_marts", "banks"): (
         f"{SQL_BANKS} b", "report_date",
-        "24 + 30 + " + " + ".join(
+        "24 + 10 + 2 * 14 + " + " + ".join(
             f"COALESCE(strlen({c}), 0)"
             for c in ("name", "city", "state", "state_code", "website", "domain", "report_date", "dim_id")
         ),

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# 18 digits is the widest decimal Spark keeps in one machine word; it holds ten
-# quadrillion dollars to the cent, and an overflow is an error.
-MONEY = T.DecimalType(18, 2)
+# Wider than any amount the regulators publish, with more places than they use; an
+# overflow is an error.
+MONEY = T.DecimalType(26, 6)
 ENTITY_ID = T.DecimalType(18, 0)
 TEXT = T.StringType()
 INT = T.IntegerType()
