@@ -190,12 +190,17 @@ def test_bank_mart_takes_newest_attributes_and_reports(spark):
     mart = marts.mart_banks(financials, staging.stage_bank_institutions(raw["bank_institutions"]), states(spark))
     got = rows(mart, "cert", "report_date", "city", "state_code", "domain", "total_deposits")
     assert [tuple(map(str, r)) for r in got] == [
-        ("1", "20230331", "New", "OH", "new.com", "100000.00"),
-        ("1", "20230630", "New", "OH", "new.com", "100000.00"),
-        ("2", "20230630", "None", "None", "None", "0.00"),
+        ("1", "20230331", "New", "OH", "new.com", "100000.000000"),
+        ("1", "20230630", "New", "OH", "new.com", "100000.000000"),
+        ("2", "20230630", "None", "None", "None", "0.000000"),
     ]
 
 
+def test_amounts_keep_their_places(spark):
+    raw = regulator_raw(spark)["bank_financials"].limit(1).withColumn("asset", F.lit("6.505").cast(schemas.MONEY))
+    assert str(staging.stage_bank_financials(raw).first().total_assets) == "6505.000000"
+
+
 def test_institution_keys_tell_periods_apart(spark):
     raw = regulator_raw(spark)["bank_institutions"].limit(1)
     two = raw.unionByName(raw.withColumn("repdte", F.lit("06/30/2023")))
