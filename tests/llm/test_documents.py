@@ -147,6 +147,7 @@ def test_language_without_training_rows(spark):
     assert language_id.train(documents(spark, [])) is None
     out = language_id.predict(documents(spark, odd_rows()), None)
     assert {r.lang_pred for r in out.collect()} == {"und"}
+    assert language_id.keep_known(documents(spark, odd_rows()), None).count() == len(odd_rows())
 
 
 # -- quality classifier -----------------------------------------------------

@@ -281,7 +281,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` in a language of the model, with a score of at least ``least``; columns as they are."""
+    """The rows of ``docs`` in a language of the model, with a score of at least ``least``; columns as they are.
+
+    Without a model nothing tells languages apart, and every row stays.
+    """
+    if model is None:
+        return docs
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
