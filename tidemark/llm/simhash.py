@@ -221,16 +221,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, shard: int = SHARD,
     component_id is the smallest doc_id that links reach, the row's own included.
     """
     printed = cut(fingerprints(docs, shingle))
+    found = component_ids(printed, links(printed.select("fp").distinct(), shard, radius))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def component_ids(printed: DataFrame, edges: DataFrame) -> DataFrame:
+    """doc_id, fp and component_id for every row of ``printed`` (doc_id, fp), given edges of fp."""
     nodes = cut(printed.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    roots = components(links(nodes.select("fp"), shard, radius))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    rooted = nodes.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_print = rooted.join(named, "root").select("fp", "component_id")
-    return printed.join(by_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return printed.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, shard: int = SHARD, radius: int = RADIUS) -> DataFrame:
@@ -239,7 +242,11 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, shard: int = SHARD, radi
     Of rows that repeat a kept id, one stays. Rows without an id are kept, since
     no id tells them apart.
     """
-    found = near_duplicates(docs, shingle, shard, radius)
+    return first_of_groups(docs, near_duplicates(docs, shingle, shard, radius))
+
+
+def first_of_groups(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay by ``found`` (doc_id, component_id)."""
     ids = cut(
         found.where("doc_id IS NOT NULL")
         .groupBy("doc_id")
