@@ -41,6 +41,24 @@ def test_main_text(html, text):
     assert extraction.main_text(html) == text
 
 
+ITEMS = "".join(f"<li>{LONG} {i}</li>" for i in range(40))
+ITEM_LINES = "\n".join(f"{LONG} {i}" for i in range(40))
+CELLS = ITEMS.replace("<li>", "<tr><td>").replace("</li>", "</td></tr>")
+
+
+@pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>"), ("<body>", "</body>")])
+@pytest.mark.parametrize("body", [f"<ul>{ITEMS}</ul>", f"<table>{CELLS}</table>", f'<div class="body"><ul>{ITEMS}</ul></div>', f"<section>{ITEMS.replace('li>', 'p>')}</section>"])
+def test_title_and_intro_beside_a_dominant_block(open_, close, body):
+    page = f"<nav>menu</nav>{open_}<h1>T</h1><p>intro</p>{body}<p>end</p>{close}<footer>f</footer>"
+    assert extraction.main_text(page) == f"T\nintro\n{ITEM_LINES}\nend"
+    page = f"<nav>menu</nav>{open_}<h1>T</h1>{body}{close}<footer>f</footer>"
+    assert extraction.main_text(page) == f"T\n{ITEM_LINES}"
+
+
+def test_title_of_main_around_an_article():
+    assert extraction.main_text(f"<main><h1>T</h1><article><ul>{ITEMS}</ul></article></main>") == f"T\n{ITEM_LINES}"
+
+
 def test_page_of_very_many_tags():
     html = "<article>" + "<div>" * 300 + LONG + "<a href='/x'>" + "<b>x" * 20_000
     assert extraction.main_text(html).startswith(LONG)

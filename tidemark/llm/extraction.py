@@ -4,8 +4,10 @@ Every piece of text has a path of tags (with their classes) from the root. For
 each path the text length and the punctuation are averaged over its pieces, the
 two ratios are fused, smoothed along the page, and compared with the page's
 length-weighted mean: pieces on paths above ``CUT`` of it are content. The
-deepest element that holds ``MASS`` of the content's length is the article, and
-all of its text is kept, so that titles and short paragraphs stay. Elements that
+outermost article or main element around all content is the article; without
+one it is the deepest element around all content, or the highest above it with
+headings or paragraphs of its own, since short ones may be below the cut. All
+text of the article is kept, whatever its length. Elements that
 are boilerplate by their tag, role or class (menus, page headers, footers,
 sidebars, notices, adverts, forms, reader comments) never take part.
 
@@ -28,7 +30,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 CUT = 0.3
-MASS = 0.9
 #: Weights of a piece's neighbours, by distance, when its ratio is smoothed.
 SMOOTHING = (0.5, 0.2, 0.05)
 
@@ -57,6 +58,9 @@ BOILERPLATE_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
     "disqus respond reply replies widget toolbar pagination pager".split()
 )
+#: What is never an article on its own, and what makes the element around it one.
+PARTS = frozenset("p li td th pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl dt dd menu table caption thead tbody tfoot tr".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 hgroup header".split())
 #: Whose class says what else the page has, not what they are.
 FRAMES = frozenset("html body main article".split())
 
@@ -179,6 +183,29 @@ def path_ratios(nodes: list[tuple[Element, str]]) -> list[float]:
     return [sum(means[e.path]) / len(means[e.path]) for e, _ in nodes]
 
 
+def _article(nodes: list[tuple[Element, str]], children: dict[Element, list[Element]], total: float) -> Element:
+    """The element whose text is the page's; masses are of content, ``total`` in all."""
+    article = nodes[0][0]
+    while article.parent is not None:
+        article = article.parent
+    while inner := next((c for c in children[article] if c.tag in BLOCK and c.tag not in PARTS and c.mass == total), None):
+        article = inner
+    around = [article]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    named = [e for e in around if e.tag in ("article", "main")]
+    if named:
+        return named[-1]
+    hosts, seen = set(), set()
+    for element, _ in nodes:
+        while element.parent is not None and element not in seen:
+            seen.add(element)
+            if element.tag in PROSE:
+                hosts.add(element.parent)
+            element = element.parent
+    return next((e for e in reversed(around) if e in hosts), article)
+
+
 def main_text(html: str | None) -> str:
     """The article of one page: blocks in page order, one to a line."""
     found = [(e, t, b) for e, t, b in pieces(html or "") if not e.left_out]
@@ -198,19 +225,17 @@ def main_text(html: str | None) -> str:
                     children[element.parent].append(element)
                 element.mass += length
                 element = element.parent
-    article = found[0][0]
-    while article.parent is not None:
-        article = article.parent
-    while inner := next((c for c in children[article] if c.tag in BLOCK and c.mass >= MASS * total), None):
-        if inner.tag not in ("p", "li", "td", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"):
-            article = inner
-        else:
-            break
+    article = _article(nodes, children, total)
     blocks: dict[int, list[str]] = defaultdict(list)
+    inside = {article: True}
     for element, text, block in found:
-        while element is not None and element is not article:
+        way = []
+        while element is not None and element not in inside:
+            way.append(element)
             element = element.parent
-        if element is article:
+        held = element is not None and inside[element]
+        inside.update((e, held) for e in way)
+        if held:
             blocks[block].append(text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
