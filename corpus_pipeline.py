@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, mixing, near_copies, quality_rules
+from tidemark.llm import decontamination, language_id, mixing, quality_rules, simhash
 from tidemark.session import scratch_dir
 
 
@@ -29,8 +29,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with five-word Jaccard similarity 0.8 or more, that of the smallest id."""
-    return near_copies.keep_first(docs)
+    """One document of each group whose fingerprints link, that of the smallest id."""
+    return simhash.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
