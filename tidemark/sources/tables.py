@@ -82,7 +82,7 @@ def write_audit_publish(
         if audit is not None:
             audit(written)
     except Exception:
-        _delete(spark, version)
+        delete_folder(spark, version)
         raise
     if temporary:
         publish_view(written, table)
@@ -90,7 +90,7 @@ def write_audit_publish(
         _publish(spark, table, version, df.schema, partition_by)
     for old in sorted(n for n in _folders(spark, folder) if n.startswith("version="))[:-keep]:
         spark.sql(f"DROP TABLE IF EXISTS {_version_table(table, old)}")
-        _delete(spark, f"{folder}/{old}")
+        delete_folder(spark, f"{folder}/{old}")
     return spark.table(table)
 
 
@@ -123,6 +123,7 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whichever file system it is; nothing if it is not there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
