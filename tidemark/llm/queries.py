@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, mixing, quality_cnn, quality_rules, simhash, transcripts
+from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, line_dedup, mixing, quality_cnn, quality_rules, simhash, transcripts
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,3 +151,29 @@ SELECT doc_id, source, size, source_size, target, coalesce(taken, 0) AS taken FR
 @query("op10_mixing_to_target_weights", _mixing_sql())
 def mixing_to_weights(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
+
+
+LINES_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT row_id, doc_id, CAST(unnest(range(len(lines))) AS BIGINT) AS place, unnest(lines) AS line FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+common AS (
+  SELECT key, max(doc_id) AS owner FROM keyed WHERE length(key) >= {line_dedup.LEAST_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.LEAST_DOCS}),
+marked AS (
+  SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.owner AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY row_id
+"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.drop_common_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
