@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, line_dedup, mixing, quality_cnn, quality_rules, simhash, transcripts
+from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, line_dedup, mixing, quality_cnn, quality_rules, simhash, transcripts, vector_codes
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +177,49 @@ FROM marked GROUP BY row_id
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.drop_common_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _codes_sql() -> str:
+    """Every round's assignment against all entries, then its floors of means."""
+    v = vector_codes
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""parts AS MATERIALIZED (
+  SELECT row_id, part, list_slice(v, part * len(v) // {v.PARTS} + 1, (part + 1) * len(v) // {v.PARTS}) AS p
+  FROM kept, (SELECT unnest(range({v.PARTS})) AS part)),
+first AS (SELECT row_id, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM kept),
+book0 AS MATERIALIZED (SELECT part, entry, p AS c FROM parts JOIN first USING (row_id) WHERE entry < {v.ENTRIES})""",
+    ]
+    nearest = """near{r} AS MATERIALIZED (
+  SELECT row_id, part, any_value(p) AS p, min({{'d': d, 'entry': entry}}) AS best
+  FROM (SELECT row_id, s.part, p, entry, list_sum(list_transform(list_zip(p, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM parts s JOIN book{r} b ON s.part = b.part) GROUP BY row_id, part)"""
+    mean = """mean{r} AS (
+  SELECT part, entry, list(m ORDER BY i) AS c
+  FROM (SELECT part, entry, i,
+               CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+        FROM (SELECT part, best.entry AS entry, unnest(range(len(p))) AS i, unnest(p) AS x FROM near{r})
+        GROUP BY part, entry, i) GROUP BY part, entry),
+book{n} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m ON b.part = m.part AND b.entry = m.entry)"""
+    for r in range(v.ROUNDS):
+        steps += [nearest.format(r=r), mean.format(r=r, n=r + 1)]
+    steps.append(nearest.format(r=v.ROUNDS))
+    return f"""
+WITH {", ".join(steps)},
+coded AS (
+  SELECT row_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near{v.ROUNDS} GROUP BY row_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book{v.ROUNDS}) AS codebooks_sha256
+FROM kept JOIN coded USING (row_id)
+"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def vector_code(spark: SparkSession, folder: str) -> DataFrame:
+    found, books = vector_codes.compress(table(spark, folder, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
