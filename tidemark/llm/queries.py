@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, line_dedup, mixing, quality_cnn, quality_rules, simhash, transcripts, vector_codes
+from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, line_dedup, mixing, quality_cnn, quality_rules, simhash, spelling, transcripts, vector_codes
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,11 @@ def mixing_to_weights(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+@query("op11_spelling_variants")
+def spellings(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents")))
+
+
 LINES_SQL = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
