@@ -487,5 +487,5 @@ def incremental_latest(t: Tables):
     target, checkpoint = scratch_dir(t.spark, "latest"), scratch_dir(t.spark, "latest-progress")
     stream = incremental.file_stream(t.spark, landed, schema)
     incremental.incremental_latest(stream, target, checkpoint, ["user_id"], "ts", ["event_id"])
-    newest = incremental.read_latest(t.spark, target, ["user_id"], "ts", ["event_id"])
+    newest = incremental.read_latest(t.spark, target)
     return newest.select("user_id", "event_id", "event_type")

@@ -50,7 +50,7 @@ def test_only_new_periods_are_appended(spark, tmp_path):
     def land(*records):
         df = spark.createDataFrame(records, "cycle_date string, v int")
         ingest.land_new_periods(df, target, "cycle_date")
-        return rows(spark.read.parquet(target), "cycle_date", "v")
+        return rows(ingest.landed_periods(spark, target).read(), "cycle_date", "v")
 
     assert land(("3/31/2023", 1), ("3/31/2023", 2)) == [("3/31/2023", 1), ("3/31/2023", 2)]
     # The first quarter under another spelling is known already.

@@ -15,6 +15,7 @@ from tidemark.operators.joins import lookup_join, new_periods
 from tidemark.operators.quality import AuditFailed
 from tidemark.session import scratch_dir
 from tidemark.sources import archives, delimited, documents, envelopes, lookups, tables
+from tidemark.sources.part_tables import PartTable
 from tidemark.streaming import incremental
 
 
@@ -208,20 +209,67 @@ def test_landing_takes_every_file_once(spark, tmp_path):
     assert run() == [("a", 1), ("a", 3), ("b", 2)]
 
 
-def test_incremental_latest_survives_late_rows_and_repeats(spark, tmp_path):
-    landed, target, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+def _latest(spark, tmp_path, checkpoint="progress", **options):
+    stream = incremental.file_stream(spark, str(tmp_path / "in"), EVENT, "json", maxFilesPerTrigger="1")
+    incremental.incremental_latest(stream, str(tmp_path / "out"), str(tmp_path / checkpoint), ["k"], "ts", ["v"], **options)
+    return rows(incremental.read_latest(spark, str(tmp_path / "out")))
 
-    def run(checkpoint=progress):
-        stream = incremental.file_stream(spark, str(landed), EVENT, "json", maxFilesPerTrigger="1")
-        incremental.incremental_latest(stream, target, checkpoint, ["k"], "ts", ["v"])
-        return rows(incremental.read_latest(spark, target, ["k"], "ts", ["v"]))
-
-    _land(landed, "1.json", [("a", 1, 5), ("a", 2, 3), ("b", 1, 1)])
-    assert run() == [("a", 1, 5), ("b", 1, 1)]
-    _land(landed, "2.json", [("a", 9, 4), ("b", 7, 2)])
-    assert run() == [("a", 1, 5), ("b", 7, 2)]
-    # The same batches again, as after a lost checkpoint.
-    assert run(str(tmp_path / "again")) == [("a", 1, 5), ("b", 7, 2)]
+
+def test_incremental_latest_survives_late_rows_and_repeats(spark, tmp_path):
+    _land(tmp_path / "in", "1.json", [("a", 1, 5), ("a", 2, 3), ("b", 1, 1), (None, 4, 4)])
+    assert _latest(spark, tmp_path) == [("a", 1, 5), ("b", 1, 1), (None, 4, 4)]
+    _land(tmp_path / "in", "2.json", [("a", 9, 4), ("b", 7, 2), (None, 3, 3)])
+    newest = [("a", 1, 5), ("b", 7, 2), (None, 4, 4)]
+    assert _latest(spark, tmp_path) == newest
+    # Another checkpoint counts its batches from 0 again: refused, unless it is to take over.
+    with pytest.raises(incremental.ForeignCheckpoint):
+        _latest(spark, tmp_path, "again")
+    assert _latest(spark, tmp_path, "again", adopt=True) == newest
+    with pytest.raises(incremental.ForeignCheckpoint):
+        _latest(spark, tmp_path)
+
+
+def test_fifty_batches_leave_one_set_of_files_a_bucket(spark, tmp_path):
+    want = {}
+    for i in range(50):
+        lines = [(f"k{(i * 7 + j) % 20}", i, (i * 13 + j) % 40) for j in range(3)]
+        _land(tmp_path / "in", f"{i:02}.json", lines)
+        for k, v, ts in lines:
+            want[k] = max(want.get(k, (-1, -1)), (ts, v))
+    assert _latest(spark, tmp_path, buckets=4, grace=0) == sorted((k, v, ts) for k, (ts, v) in want.items())
+    live = [p for p in (tmp_path / "out" / "data").rglob("key_bucket=*")]
+    assert len(live) <= 4 and len({p.name for p in live}) == len(live)
+    assert len(list((tmp_path / "out" / "_commits").glob("*.json"))) == 1
+
+
+def test_a_batch_that_dies_or_is_repeated_changes_nothing(spark, tmp_path, monkeypatch):
+    _land(tmp_path / "in", "1.json", [("a", 1, 5), ("b", 1, 1)])
+    before = _latest(spark, tmp_path)
+    _land(tmp_path / "in", "2.json", [("a", 2, 6), ("c", 1, 1)])
+    commit = PartTable._commit
+
+    def killed(*_):
+        raise RuntimeError("killed before the record")
+
+    monkeypatch.setattr(PartTable, "_commit", killed)
+    with pytest.raises(Exception, match="killed"):
+        _latest(spark, tmp_path)
+    assert rows(incremental.read_latest(spark, str(tmp_path / "out"))) == before
+
+    def dies_after(*args):
+        commit(*args)
+        raise RuntimeError("killed after the record")
+
+    monkeypatch.setattr(PartTable, "_commit", dies_after)
+    with pytest.raises(Exception, match="killed"):
+        _latest(spark, tmp_path)
+    monkeypatch.setattr(PartTable, "_commit", commit)
+    after = [("a", 2, 6), ("b", 1, 1), ("c", 1, 1)]
+    assert rows(incremental.read_latest(spark, str(tmp_path / "out"))) == after
+    version = incremental.latest_table(spark, str(tmp_path / "out")).state().version
+    # The stream does its batch again, finds it recorded, and leaves the table alone.
+    assert _latest(spark, tmp_path) == after
+    assert incremental.latest_table(spark, str(tmp_path / "out")).state().version == version
 
 
 def test_partition_values_keep_their_types(spark, tmp_path):

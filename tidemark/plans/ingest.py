@@ -13,7 +13,7 @@ from tidemark.plans.page_extracts import EXTRACTORS
 from tidemark.sources.archives import member_columns, read_member_records
 from tidemark.sources.documents import read_documents, stamp_lineage
 from tidemark.sources.envelopes import read_envelopes, record_fields, require_complete
-from tidemark.sources.tables import append_load, partition_values
+from tidemark.sources.part_tables import PartTable
 
 BANK_TABLES = {
     "bank_institutions": schemas.RAW_BANK_INSTITUTIONS,
@@ -118,17 +118,22 @@ def raw_page_table(
     return align_schema(rows.withColumn("id", md5_key(["job_id", *natural_key])), schema)
 
 
+def landed_periods(spark: SparkSession, target: str, partition: str = "report_period") -> PartTable:
+    """The table that ``land_new_periods`` keeps at ``target``."""
+    return PartTable(spark, target, partition)
+
+
 def land_new_periods(
     incoming: DataFrame, target: str, period: str, partition: str = "report_period"
-) -> None:
-    """Append the report periods that ``target`` does not hold yet.
-
-    The table is laid out by the parsed period: what is loaded is read from the
-    names of its folders, one per report, and later period filters prune files.
-    A row without a period is an error, since no run could tell it is loaded.
+) -> list[str]:
+    """Append the report periods that the table does not hold yet; the names of their parts.
+
+    The table is cut by the parsed period, and its records tell what is loaded.
+    A run's periods become visible together when it is done: one that dies hides
+    nothing from the next and adds nothing twice, and of two runs that bring the
+    same period one is refused. A row without a period is an error, since no run
+    could tell it is loaded.
     """
     missing = F.raise_error(F.lit(f"a row without {period} cannot be landed by period")).cast("date")
     dated = incoming.withColumn(partition, F.coalesce(parse_day(period), missing))
-    loaded = partition_values(incoming.sparkSession, target, partition)
-    known = [F.lit(day).cast("date") for day in loaded]
-    append_load(dated.filter(~F.col(partition).isin(*known)) if known else dated, target, [partition])
+    return landed_periods(incoming.sparkSession, target, partition).append(dated)

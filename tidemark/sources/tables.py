@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.quality import require_key
+from tidemark.sources.files import delete_folder, names_in
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -44,7 +45,7 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a table's first partition column, from the names of its folders alone."""
-    marks = [name for name in _folders(spark, path) if name.startswith(f"{column}=")]
+    marks = [name for name in names_in(spark, path) if name.startswith(f"{column}=")]
     return sorted(name.partition("=")[2] for name in marks)
 
 
@@ -88,7 +89,7 @@ def write_audit_publish(
         publish_view(written, table)
     else:
         _publish(spark, table, version, df.schema, partition_by)
-    for old in sorted(n for n in _folders(spark, folder) if n.startswith("version="))[:-keep]:
+    for old in [n for n in names_in(spark, folder) if n.startswith("version=")][:-keep]:
         spark.sql(f"DROP TABLE IF EXISTS {_version_table(table, old)}")
         delete_folder(spark, f"{folder}/{old}")
     return spark.table(table)
@@ -112,18 +113,3 @@ def _publish(
 def _version_table(table: str, version: str) -> str:
     """Name of the table over one version's folder."""
     return f"{table}_{version.partition('=')[2].replace('-', '_')}"
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder; none if it is not there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(target):
-        return []
-    return [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()]
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder, on whichever file system it is; nothing if it is not there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.snapshots import latest_per_key
+from tidemark.sources.files import read_text
+from tidemark.sources.part_tables import PartTable
 
 
 def file_stream(
@@ -41,6 +44,25 @@ def incremental_land(
     query.awaitTermination()
 
 
+class ForeignCheckpoint(Exception):
+    """The table is kept by a stream with another checkpoint; nothing was changed."""
+
+
+BUCKET = "key_bucket"
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the stream that a checkpoint belongs to; None before its first run."""
+    told = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return None if told is None else json.loads(told)["id"]
+
+
+def latest_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> PartTable:
+    """The newest rows of a stream, cut by bucket of key; ``schema`` is the stream's."""
+    with_bucket = schema and T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return PartTable(spark, target, BUCKET, with_bucket)
+
+
 def incremental_latest(
     stream: DataFrame,
     target: str,
@@ -48,17 +70,42 @@ def incremental_latest(
     keys: Sequence[str],
     ts: str,
     tiebreak: Sequence[str | Column] = (),
+    buckets: int = 64,
+    grace: float = 3600,
+    adopt: bool = False,
 ) -> None:
     """Keep each key's newest row as files arrive; read it with ``read_latest``.
 
-    A batch is cut down to its own newest rows and written as one partition
-    named after the batch, so its cost follows the batch and not the table, and
-    a repeated batch replaces itself.
+    Keys are dealt over ``buckets`` parts of a table. A batch is cut down to its
+    own newest rows, and only the parts it touches are read and written anew; one
+    record publishes them, with the stream's id and the batch's number. So the
+    table holds one row a key and one set of files a part, a batch that died or
+    is repeated changes nothing, and a stream with another checkpoint is refused
+    (``ForeignCheckpoint``): its batches would count from 0 again. ``adopt`` lets
+    it take the table over, for a checkpoint that is lost: rows met twice change
+    nothing. Files that no record reads go ``grace`` seconds after they were
+    written. The number of buckets stays what it was when the table began.
     """
+    spark = stream.sparkSession
+    table = latest_table(spark, target, stream.schema)
+    own, notes = stream_id(spark, checkpoint), table.state().notes
+    if notes and notes["stream"] != own and not adopt:
+        raise ForeignCheckpoint(f"{target} is kept by stream {notes['stream']}, {checkpoint} has {own}")
+    buckets = notes.get("buckets", buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, ts, tiebreak)
-        newest.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        state, own = table.state(), stream_id(spark, checkpoint)
+        if state.notes.get("stream") == own and state.notes["batch"] >= batch_id:
+            return
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        newest = latest_per_key(batch.withColumn(BUCKET, bucket), [BUCKET, *keys], ts, tiebreak).persist()
+        try:
+            touched = {f"{BUCKET}={row[0]}" for row in newest.select(BUCKET).distinct().collect()}
+            both = table.read(touched, state).unionByName(newest)
+            merged = latest_per_key(both, [BUCKET, *keys], ts, tiebreak)
+            table.replace(merged, state, {"stream": own, "batch": batch_id, "buckets": buckets})
+        finally:
+            newest.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -67,14 +114,9 @@ def incremental_latest(
         .start()
     )
     query.awaitTermination()
+    table.vacuum(grace)
 
 
-def read_latest(
-    spark: SparkSession,
-    target: str,
-    keys: Sequence[str],
-    ts: str,
-    tiebreak: Sequence[str | Column] = (),
-) -> DataFrame:
-    """The newest row of every key over all batches written so far."""
-    return latest_per_key(spark.read.parquet(target).drop("batch"), keys, ts, tiebreak)
+def read_latest(spark: SparkSession, target: str) -> DataFrame:
+    """The newest row of every key over all batches so far."""
+    return latest_table(spark, target).read().drop(BUCKET)
