@@ -26,7 +26,8 @@ def _unstamped(df: DataFrame) -> DataFrame:
 @query(
     "stg_financials",
     f"""
-    SELECT {_doubles('cert', 'total_assets', 'total_deposits')}, name, report_date, dim_id, {X.DAY_START}
+    SELECT {_doubles('cert', 'total_assets', 'total_deposits')}, name, report_date, dim_id,
+           CAST(CAST(strptime(report_date, '%Y%m%d') AS DATE) AS VARCHAR) AS period, {X.DAY_START}
     FROM {X.SQL_FINANCIALS}
     """,
 )
@@ -37,7 +38,8 @@ def stg_financials(t: Tables):
 @query(
     "stg_institutions",
     f"""
-    SELECT {_doubles('cert')}, name, city, state, website, report_date, date_updated, dim_id, {X.DAY_START}
+    SELECT {_doubles('cert')}, name, city, state, website, report_date, date_updated, dim_id,
+           CAST(CAST(strptime(report_date, '%m/%d/%Y') AS DATE) AS VARCHAR) AS period, {X.DAY_START}
     FROM {X.SQL_INSTITUTIONS}
     """,
 )
@@ -48,7 +50,7 @@ def stg_institutions(t: Tables):
 @query(
     "stg_branch_info",
     f"""
-    SELECT {_doubles('cu_number')}, name, city, state_code, cycle_date, dim_id, {X.DAY_START}
+    SELECT {_doubles('cu_number')}, name, city, state_code, cycle_date, CAST(period AS VARCHAR) AS period, dim_id, {X.DAY_START}
     FROM {X.SQL_BRANCHES}
     """,
 )
@@ -63,7 +65,7 @@ _FS220A = ("dda_div_shr_dft_cnt", "total_int_inc_ytd", "total_int_exp_ytd", "ser
 @query(
     "stg_fs220",
     f"""
-    SELECT {_doubles('cu_number', *_FS220)}, cycle_date, update_date, dim_id, {X.DAY_START}
+    SELECT {_doubles('cu_number', *_FS220)}, cycle_date, update_date, CAST(period AS VARCHAR) AS period, dim_id, {X.DAY_START}
     FROM {X.SQL_FS220}
     """,
 )
@@ -73,7 +75,7 @@ def stg_fs220(t: Tables):
 
 @query(
     "stg_fs220a",
-    f"SELECT {_doubles('cu_number', *_FS220A)}, cycle_date, dim_id, {X.DAY_START} FROM {X.SQL_FS220A}",
+    f"SELECT {_doubles('cu_number', *_FS220A)}, cycle_date, CAST(period AS VARCHAR) AS period, dim_id, {X.DAY_START} FROM {X.SQL_FS220A}",
 )
 def stg_fs220a(t: Tables):
     return _unstamped(staging.stage_fs220a(X.cu_fs220a(t)))
@@ -81,7 +83,7 @@ def stg_fs220a(t: Tables):
 
 @query(
     "stg_fs220d",
-    f"SELECT {_doubles('cu_number')}, cycle_date, website, dim_id, {X.DAY_START} FROM {X.SQL_FS220D}",
+    f"SELECT {_doubles('cu_number')}, cycle_date, CAST(period AS VARCHAR) AS period, website, dim_id, {X.DAY_START} FROM {X.SQL_FS220D}",
 )
 def stg_fs220d(t: Tables):
     return _unstamped(staging.stage_fs220d(X.cu_fs220d(t)))
@@ -90,7 +92,7 @@ def stg_fs220d(t: Tables):
 @query(
     "stg_fs220n",
     f"""
-    SELECT {_doubles('cu_number', 'other_non_int_inc_ytd')}, cycle_date, dim_id, {X.DAY_START}
+    SELECT {_doubles('cu_number', 'other_non_int_inc_ytd')}, cycle_date, CAST(period AS VARCHAR) AS period, dim_id, {X.DAY_START}
     FROM {X.SQL_FS220N}
     """,
 )
@@ -226,7 +228,7 @@ def _banks(t: Tables) -> DataFrame:
     "mart_banks",
     f"""
     SELECT {_doubles('cert', 'total_assets', 'total_deposits')}, name, city, state, state_code, website, domain,
-           report_date, dim_id
+           report_date, CAST(CAST(strptime(report_date, '%Y%m%d') AS DATE) AS VARCHAR) AS period, dim_id
     FROM {SQL_BANKS}
     """,
 )
@@ -266,7 +268,7 @@ def _unions(t: Tables) -> DataFrame:
     "mart_credit_unions",
     f"""
     SELECT {_doubles('cu_number', *_FS220, *_FS220A, 'other_non_int_inc_ytd')}, name, city, state, state_code,
-           website, domain, report_date, dim_id
+           website, domain, report_date, CAST(period AS VARCHAR) AS period, dim_id
     FROM {SQL_UNIONS}
     """,
 )
@@ -417,9 +419,9 @@ def _profile(t: Tables) -> DataFrame:
             ("raw", "orders"): (t.orders, quarter_end("o_orderdate")),
             ("raw", "lineitem"): (t.lineitem, quarter_end("l_shipdate")),
             ("raw", "events"): (t.events, F.to_date("ts")),
-            ("staging", "bank_financials"): (stg_financials(t), "report_date"),
-            ("staging", "cu_fs220n"): (stg_fs220n(t), "cycle_date"),
-            ("data_marts", "banks"): (_banks(t), "report_date"),
+            ("staging", "bank_financials"): (stg_financials(t).drop("period"), "report_date"),
+            ("staging", "cu_fs220n"): (stg_fs220n(t).drop("period"), "cycle_date"),
+            ("data_marts", "banks"): (_banks(t).drop("period"), "report_date"),
         }
     )
 

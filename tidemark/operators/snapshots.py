@@ -14,14 +14,17 @@ def snapshot_distinct(
     columns: Sequence[str],
     scraped_at: str = "scraped_at",
     day_column: str | None = None,
+    keep_day: str | None = None,
 ) -> DataFrame:
     """One row per distinct version and scrape day.
 
     Only ``columns`` are read, and repeats are dropped before the shuffle, so a
-    record scraped a billion times costs each task one row.
+    record scraped a billion times costs each task one row. The day is text;
+    ``keep_day`` names a column for it as a date.
     """
     versions = df.select(*columns, F.to_date(scraped_at).alias("_day")).distinct()
-    return versions.select(*columns, day_string("_day").alias(day_column or scraped_at))
+    typed = [F.col("_day").alias(keep_day)] if keep_day else []
+    return versions.select(*columns, day_string("_day").alias(day_column or scraped_at), *typed)
 
 
 def _newest_first(order: str | Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.dates import months_ahead, parse_day
+from tidemark.functions.dates import months_ahead
 from tidemark.functions.numbers import bytes_to_gib, growth_tier, ratio, tier_below
 from tidemark.operators.aggregates import sum_by, union_all, union_tagged
 from tidemark.operators.growth import growth_vs_prev
@@ -35,13 +35,12 @@ def metric_asset_deposit(banks: DataFrame, credit_unions: DataFrame, ordered: bo
     long as one institution's history. ``ordered`` adds the report's final sort;
     leave it off when the result goes to a table.
     """
-    tagged = union_tagged(
-        {
-            "bank": _institutions(banks, "cert"),
-            "credit union": _institutions(credit_unions, "cu_number"),
-        },
-        "inst_type",
-    )
+    metrics = growth_of(institutions(banks, credit_unions))
+    return metrics.orderBy("inst_type", "id_number", "report_date") if ordered else metrics
+
+
+def growth_of(tagged: DataFrame) -> DataFrame:
+    """Asset tier and deposit growth of ``institutions`` rows."""
     grown = growth_vs_prev(
         tagged,
         ["id_number", "inst_type"],
@@ -49,23 +48,26 @@ def metric_asset_deposit(banks: DataFrame, credit_unions: DataFrame, ordered: bo
         "total_deposits",
         into="deposits_growth_prev_qtr",
     )
-    metrics = grown.withColumns(
+    return grown.withColumns(
         {
             "asset_tier": tier_below("total_assets"),
             "deposits_growth_prev_qtr_tier": growth_tier("deposits_growth_prev_qtr"),
         }
     )
-    return metrics.orderBy("inst_type", "id_number", "report_date") if ordered else metrics
 
 
-def _institutions(mart: DataFrame, entity: str) -> DataFrame:
-    return mart.select(
-        F.col(entity).alias("id_number"),
-        *INSTITUTION_COLUMNS,
-        parse_day("report_date").alias("report_date"),
+def institutions(banks: DataFrame, credit_unions: DataFrame) -> DataFrame:
+    """The rows of both marts under common names, ``report_date`` as a date."""
+    return union_tagged(
+        {"bank": _institutions(banks, "cert"), "credit union": _institutions(credit_unions, "cu_number")},
+        "inst_type",
     )
 
 
+def _institutions(mart: DataFrame, entity: str) -> DataFrame:
+    return mart.select(F.col(entity).alias("id_number"), *INSTITUTION_COLUMNS, F.col("period").alias("report_date"))
+
+
 def metric_repo_totals(contributions: DataFrame) -> DataFrame:
     """Per repository: all companies' contributors and commits together."""
     described = contributions.withColumnsRenamed(

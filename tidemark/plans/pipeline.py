@@ -118,11 +118,8 @@ def regulator_size_profile(raw: Mapping[str, DataFrame], metric: DataFrame) -> D
                 spark.table("staging_bank_institutions"),
                 "report_date",
             ),
-            ("staging", "cu_branches"): (
-                spark.table("staging_cu_branches"),
-                parse_day("cycle_date"),
-            ),
-            ("staging", "cu_fs220"): (spark.table("staging_cu_fs220"), parse_day("cycle_date")),
+            ("staging", "cu_branches"): (spark.table("staging_cu_branches"), "period"),
+            ("staging", "cu_fs220"): (spark.table("staging_cu_fs220"), "period"),
             ("data_marts", "banks"): (spark.table("mart_banks"), "report_date"),
             ("data_marts", "credit_unions"): (spark.table("mart_credit_unions"), "report_date"),
             ("metrics", "asset_deposit"): (metric, "report_date"),

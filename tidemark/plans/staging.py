@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.dates import load_stamp
+from tidemark.functions.dates import load_stamp, parse_day
 from tidemark.functions.keys import md5_key, numeric_text
 from tidemark.functions.numbers import unit_scale
 from tidemark.functions.text import null_sentinel, split_first, text_to_num
@@ -22,18 +22,23 @@ from tidemark.schemas import ENTITY_ID, MONEY
 def _versions(
     raw: DataFrame,
     columns: Sequence[str],
+    period: str,
     publish: Mapping[str, Column],
     key: Sequence[Column | str],
     optional: Sequence[Column | str] = (),
     now: Column | None = None,
 ) -> DataFrame:
-    """Distinct versions per scrape day, keyed, cast and stamped."""
-    versions = snapshot_distinct(raw, columns)
+    """Distinct versions per scrape day, keyed, cast and stamped.
+
+    ``period`` is the report period as a date, parsed here and nowhere later.
+    """
+    versions = snapshot_distinct(raw, columns, keep_day="_day")
     return versions.select(
         *[value.alias(name) for name, value in publish.items()],
+        parse_day(period).alias("period"),
         md5_key(key, optional).alias("dim_id"),
         load_stamp(now).alias("loaded_at"),
-        F.to_date("scraped_at", "yyyyMMdd").cast("timestamp").alias("scraped_at"),
+        F.col("_day").cast("timestamp").alias("scraped_at"),
     )
 
 
@@ -50,6 +55,7 @@ def stage_bank_financials(raw: DataFrame, now: Column | None = None) -> DataFram
     return _versions(
         raw,
         ["cert", "namefull", "asset", "dep", "repdte"],
+        "repdte",
         {
             "cert": _entity("cert"),
             "name": F.col("namefull"),
@@ -81,6 +87,7 @@ def stage_bank_institutions(
     return _versions(
         raw,
         ["cert", "name", "city", "stname", "webaddr", "repdte", "dateupdt"],
+        "repdte",
         {
             "cert": _entity("cert"),
             "name": F.col("name"),
@@ -108,6 +115,7 @@ def stage_cu_branches(raw: DataFrame, now: Column | None = None) -> DataFrame:
     return _versions(
         raw,
         columns,
+        "cycle_date",
         {
             "cu_number": _entity("cu_number"),
             "name": F.col("cu_name"),
@@ -144,6 +152,7 @@ def _accounts(
     return _versions(
         raw,
         ["cu_number", *dates, *accounts],
+        "cycle_date",
         {
             "cu_number": _entity("cu_number"),
             **{d: F.col(d) for d in dates},
@@ -180,6 +189,7 @@ def stage_fs220d(raw: DataFrame, now: Column | None = None) -> DataFrame:
     return _versions(
         raw,
         ["cu_number", "cycle_date", "acct_891"],
+        "cycle_date",
         {
             "cu_number": _entity("cu_number"),
             "cycle_date": F.col("cycle_date"),
