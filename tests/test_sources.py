@@ -15,6 +15,7 @@ from tidemark.operators.joins import lookup_join, new_periods
 from tidemark.operators.quality import AuditFailed
 from tidemark.session import scratch_dir
 from tidemark.sources import archives, delimited, documents, envelopes, lookups, tables
+from tidemark.sources.newest import BUCKET
 from tidemark.sources.part_tables import PartTable
 from tidemark.streaming import incremental
 
@@ -266,10 +267,10 @@ def test_a_batch_that_dies_or_is_repeated_changes_nothing(spark, tmp_path, monke
     monkeypatch.setattr(PartTable, "_commit", commit)
     after = [("a", 2, 6), ("b", 1, 1), ("c", 1, 1)]
     assert rows(incremental.read_latest(spark, str(tmp_path / "out"))) == after
-    version = incremental.latest_table(spark, str(tmp_path / "out")).state().version
+    version = PartTable(spark, str(tmp_path / "out"), BUCKET).state().version
     # The stream does its batch again, finds it recorded, and leaves the table alone.
     assert _latest(spark, tmp_path) == after
-    assert incremental.latest_table(spark, str(tmp_path / "out")).state().version == version
+    assert PartTable(spark, str(tmp_path / "out"), BUCKET).state().version == version
 
 
 def test_partition_values_keep_their_types(spark, tmp_path):

@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.snapshots import latest_per_key
 from tidemark.sources.files import read_text
-from tidemark.sources.part_tables import PartTable
+from tidemark.sources.newest import NewestTable
 
 
 def file_stream(
@@ -48,21 +47,12 @@ class ForeignCheckpoint(Exception):
     """The table is kept by a stream with another checkpoint; nothing was changed."""
 
 
-BUCKET = "key_bucket"
-
-
 def stream_id(spark: SparkSession, checkpoint: str) -> str | None:
     """The id of the stream that a checkpoint belongs to; None before its first run."""
     told = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
     return None if told is None else json.loads(told)["id"]
 
 
-def latest_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> PartTable:
-    """The newest rows of a stream, cut by bucket of key; ``schema`` is the stream's."""
-    with_bucket = schema and T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    return PartTable(spark, target, BUCKET, with_bucket)
-
-
 def incremental_latest(
     stream: DataFrame,
     target: str,
@@ -87,25 +77,15 @@ def incremental_latest(
     written. The number of buckets stays what it was when the table began.
     """
     spark = stream.sparkSession
-    table = latest_table(spark, target, stream.schema)
-    own, notes = stream_id(spark, checkpoint), table.state().notes
+    newest = NewestTable(spark, target, keys, ts, tiebreak, stream.schema, buckets)
+    own, notes = stream_id(spark, checkpoint), newest.table.state().notes
     if notes and notes["stream"] != own and not adopt:
         raise ForeignCheckpoint(f"{target} is kept by stream {notes['stream']}, {checkpoint} has {own}")
-    buckets = notes.get("buckets", buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        state, own = table.state(), stream_id(spark, checkpoint)
-        if state.notes.get("stream") == own and state.notes["batch"] >= batch_id:
-            return
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        newest = latest_per_key(batch.withColumn(BUCKET, bucket), [BUCKET, *keys], ts, tiebreak).persist()
-        try:
-            touched = {f"{BUCKET}={row[0]}" for row in newest.select(BUCKET).distinct().collect()}
-            both = table.read(touched, state).unionByName(newest)
-            merged = latest_per_key(both, [BUCKET, *keys], ts, tiebreak)
-            table.replace(merged, state, {"stream": own, "batch": batch_id, "buckets": buckets})
-        finally:
-            newest.unpersist()
+        state, own = newest.table.state(), stream_id(spark, checkpoint)
+        if state.notes.get("stream") != own or state.notes["batch"] < batch_id:
+            newest.merge(batch, state, {"stream": own, "batch": batch_id})
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -114,9 +94,9 @@ def incremental_latest(
         .start()
     )
     query.awaitTermination()
-    table.vacuum(grace)
+    newest.table.vacuum(grace)
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:
     """The newest row of every key over all batches so far."""
-    return latest_table(spark, target).read().drop(BUCKET)
+    return NewestTable(spark, target).read()
