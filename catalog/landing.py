@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from datetime import date
@@ -27,7 +27,10 @@ SUPPLIER_RECORD = record(s_suppkey=LONG, s_name=TEXT, s_nationkey=INT, s_acctbal
 
 @query("json_envelope_read", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def json_envelope_read(t: Tables):
-    return envelopes.parse_envelopes(envelopes.wrap(t.supplier), "body", SUPPLIER_RECORD)
+    path = scratch_dir(t.spark, "responses")
+    envelopes.wrap(t.supplier).write.text(path)
+    landing = envelopes.land_envelopes(t.spark, path, scratch_dir(t.spark, "landed"), multi_line=False)
+    return align_schema(envelopes.landed_records(landing, SUPPLIER_RECORD.names), SUPPLIER_RECORD)
 
 
 @query(
@@ -50,13 +53,18 @@ def quoted_delimited_read(t: Tables):
     return delimited.parse_delimited(lines, "line", '"PartKey","PartName","BrandNote"')
 
 
-def _zip_each_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for i, batch in enumerate(batches):
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("quarter/ORDERS.txt", "\r\n".join(["ORDER_KEY,PRIORITY", *batch["line"]]))
-            archive.writestr("quarter/Notes.txt", "not wanted\r\n")
-        yield pd.DataFrame({"path": [f"part-{i}.zip"], "content": [held.getvalue()]})
+def _zip_each_batch(folder: str):
+    """Writes the lines of each batch to an archive in ``folder``; a row for each."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            name = f"{uuid.uuid4().hex}.zip"
+            with archives.opened(f"{folder}/{name}", "wb") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("quarter/ORDERS.txt", "\r\n".join(["ORDER_KEY,PRIORITY", *batch["line"]]))
+                archive.writestr("quarter/Notes.txt", "not wanted\r\n")
+            yield pd.DataFrame({"path": [name]})
+
+    return write
 
 
 @query(
@@ -67,10 +75,10 @@ def archive_member_read(t: Tables):
     lines = t.orders.select(
         F.format_string('"%s","%s"', F.col("o_orderkey").cast("string"), "o_orderpriority").alias("line")
     )
-    zipped = lines.mapInPandas(_zip_each_batch, "path string, content binary")
-    read = archives.member_lines(zipped, ["orders.txt"])
-    body = read.filter(F.col("line_no") > 1)
-    return delimited.parse_delimited(body, "line", "ORDER_KEY,PRIORITY")
+    folder, landed = scratch_dir(t.spark, "archives"), scratch_dir(t.spark, "members")
+    lines.mapInPandas(_zip_each_batch(folder), "path string").count()
+    archives.land_members(t.spark, f"{folder}/*.zip", ["orders.txt"], landed)
+    return archives.landed_records(t.spark, landed, "orders.txt")
 
 
 @query(
@@ -243,8 +251,14 @@ def period_filtered_scan(t: Tables):
 def paged_scan(t: Tables):
     path = scratch_dir(t.spark, "pages")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    orders.write.json(path)
-    return t.spark.read.schema(orders.schema).json(path)
+    # A page of the request is one response; each declares how many records all of them have.
+    record_ = F.struct(F.struct("*").alias("data"))
+    pages = orders.groupBy(F.expr("o_orderkey div 10000").alias("page")).agg(F.collect_list(record_).alias("data"))
+    meta = F.struct(orders.agg(F.count("*")).scalar().alias("total")).alias("meta")
+    pages.select(F.to_json(F.struct(meta, "data")).alias("body")).write.text(path)
+    landing = envelopes.land_envelopes(t.spark, path, scratch_dir(t.spark, "landed"), multi_line=False)
+    envelopes.require_complete(landing)
+    return align_schema(envelopes.landed_records(landing, orders.columns), orders.schema)
 
 
 @query(

@@ -10,9 +10,11 @@ from tidemark.functions.dates import load_stamp, parse_day
 from tidemark.functions.keys import md5_key
 from tidemark.operators.columns import align_schema
 from tidemark.plans.page_extracts import EXTRACTORS
-from tidemark.sources.archives import member_columns, read_member_records
-from tidemark.sources.documents import read_documents, stamp_lineage
-from tidemark.sources.envelopes import read_envelopes, record_fields, require_complete
+from tidemark.session import scratch_dir
+from tidemark.sources import archives
+from tidemark.sources.archives import land_members, landed_columns
+from tidemark.sources.documents import land_documents, landed_documents, stamp_lineage
+from tidemark.sources.envelopes import land_envelopes, landed_fields, landed_records, require_complete
 from tidemark.sources.part_tables import PartTable
 
 BANK_TABLES = {
@@ -60,41 +62,45 @@ def raw_bank_table(
     now: Column | None = None,
     schema: T.StructType | None = None,
     complete: bool = True,
+    landing: str | None = None,
+    limit: int = 0,
 ) -> DataFrame:
     """A bank table from API responses, whose records have upper-case text keys.
 
-    Every field that a record has becomes a column: the declared ones typed, the
-    rest as text, the source's own ``id`` under its name in the table. Pass
-    ``schema`` to say which columns to keep. Unless ``complete`` is False, the
-    responses must hold as many records as they declare.
+    Responses are parsed once and kept below ``landing`` (a scratch folder
+    unless named); up to ``limit`` of them may be dead letters. Every field that
+    a record has becomes a column: the declared ones typed, the rest as text, the
+    source's own ``id`` under its name in the table. Pass ``schema`` to say which
+    columns to keep. Unless ``complete`` is False, the responses must hold as
+    many records as they declare.
     """
+    landed = land_envelopes(spark, path, landing or scratch_dir(spark, table), limit=limit)
     if complete:
-        require_complete(spark, path)
+        require_complete(landed)
     rename = RENAMED[table]
-    found = record_fields(spark, path)
+    found = landed_fields(landed)
     if schema is None:
         schema = widened(BANK_TABLES[table], [rename.get(n.lower(), n.lower()) for n in found])
-    landed = read_envelopes(spark, path, schemas.record(**dict.fromkeys(found, schemas.TEXT)))
-    return _stamped(landed, schema, now, rename)
+    return _stamped(landed_records(landed, found), schema, now, rename)
 
 
-def raw_call_report_table(
-    spark: SparkSession,
-    path: str | list[str],
-    table: str,
-    now: Column | None = None,
-    schema: T.StructType | None = None,
+def land_call_reports(spark: SparkSession, path: str | list[str], landing: str) -> None:
+    """Land all tables' members of quarterly archives below ``landing``, opening each archive once."""
+    land_members(spark, path, [member for member, _ in CALL_REPORT_TABLES.values()], landing)
+
+
+def call_report_table(
+    spark: SparkSession, landing: str, table: str, now: Column | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """A credit-union table from quarterly archives, with every column that any of them has.
+    """A credit-union table from landed archives, with every column that any of them has.
 
-    Pass ``schema`` to say which columns to keep; the archives' headers are then
-    not read beforehand.
+    Pass ``schema`` to say which columns to keep.
     """
     member, known = CALL_REPORT_TABLES[table]
     if schema is None:
-        schema = widened(known, member_columns(spark, path, member))
+        schema = widened(known, landed_columns(spark, landing, member))
     names = [f.name for f in schema.fields if f.name != "scraped_at"]
-    return _stamped(read_member_records(spark, path, member, names), schema, now)
+    return _stamped(archives.landed_records(spark, landing, member, names), schema, now)
 
 
 def _stamped(
@@ -110,10 +116,24 @@ def raw_page_table(
     kind: str,
     now: Column | None = None,
     multi_line: bool = True,
+    landing: str | None = None,
+    limit: int = 0,
 ) -> DataFrame:
-    """A page table from crawled documents of one kind, keyed by job and page."""
+    """A page table from crawled documents of one kind, keyed by job and page.
+
+    Documents are parsed once and kept below ``landing`` (a scratch folder
+    unless named); up to ``limit`` of them may be dead letters. For other
+    ``meta`` keys, land them with ``land_documents`` and pass those on to
+    ``page_rows_of``.
+    """
+    landed = land_documents(spark, path, landing or scratch_dir(spark, kind), multi_line=multi_line, limit=limit)
+    return page_rows_of(landed_documents(landed), kind, now)
+
+
+def page_rows_of(landed: DataFrame, kind: str, now: Column | None = None) -> DataFrame:
+    """A page table from landed documents of one kind."""
     schema, natural_key = PAGE_TABLES[kind]
-    documents = stamp_lineage(read_documents(spark, path, multi_line=multi_line), now=now)
+    documents = stamp_lineage(landed, now=now)
     rows = EXTRACTORS[kind](documents, keep=("job_id", "scraped_at"))
     return align_schema(rows.withColumn("id", md5_key(["job_id", *natural_key])), schema)
 

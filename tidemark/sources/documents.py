@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import TEXT, record
+from tidemark.sources.json_landing import Landing, land_json
 
 PAGE_META = ("link", "project_link", "repo_name", "source_repo_link", "domain", "og_company_name")
 
@@ -40,6 +41,26 @@ def read_documents(
     return docs.withColumn("source_path", F.col("_metadata.file_path"))
 
 
+def land_documents(
+    spark: SparkSession,
+    path: str | list[str],
+    target: str,
+    meta: Sequence[str] = PAGE_META,
+    multi_line: bool = True,
+    limit: int = 0,
+) -> Landing:
+    """Land crawled pages with these ``meta`` keys; at most ``limit`` may be of no use.
+
+    A document that does not parse, or names no page, is a dead letter.
+    """
+    return land_json(spark, path, target, page_schema(meta), F.when(F.col("url").isNull(), "no url"), multi_line, limit)
+
+
+def landed_documents(landing: Landing) -> DataFrame:
+    """The landed pages, with the file of each as ``source_path``."""
+    return landing.rows().withColumnRenamed("file", "source_path")
+
+
 def job_id(source_path: Column | str) -> Column:
     """The job part of a landed document's path."""
     path = F.col(source_path) if isinstance(source_path, str) else source_path

@@ -7,11 +7,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.json_landing import Landing, land_json
+
 # Spellings of a report period in requests and raw tables.
 PERIOD_FORMATS = {"compact": "%Y%m%d", "us": "%m/%d/%Y", "iso": "%Y-%m-%d"}
 
 
-def envelope_schema(record: T.StructType) -> T.StructType:
+def envelope_schema(record: T.DataType) -> T.StructType:
     """Schema of a response whose records have the given fields."""
     element = T.StructType([T.StructField("data", record)])
     meta = T.StructType([T.StructField("total", T.LongType())])
@@ -28,40 +30,48 @@ def read_envelopes(
     Set ``multi_line=False`` for one response per line, which Spark can split. A
     response that does not parse (one cut short, say) is an error.
     """
-    return unwrap(_responses(spark, path, envelope_schema(record), multi_line), "data")
+    reader = spark.read.schema(envelope_schema(record)).option("mode", "FAILFAST").option("multiLine", multi_line)
+    return unwrap(reader.json(path), "data")
 
 
-def _responses(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool
-) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
+#: A response whose records have whatever fields they have, as text.
+LANDED = envelope_schema(T.MapType(T.StringType(), T.StringType()))
 
 
-def record_fields(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> list[str]:
-    """Names of all fields that any record under ``path`` has.
+def land_envelopes(
+    spark: SparkSession, path: str | list[str], target: str, multi_line: bool = True, limit: int = 0
+) -> Landing:
+    """Land all responses under ``path``, parsed once; at most ``limit`` may be of no use.
 
-    Records are read as maps for this, and one row per name reaches the driver.
+    A response that does not parse, or has no list of records, is a dead letter.
     """
-    keys = T.MapType(T.StringType(), T.StringType())
-    element = T.StructType([T.StructField("data", keys)])
-    schema = T.StructType([T.StructField("data", T.ArrayType(element))])
-    found = _responses(spark, path, schema, multi_line).select(F.explode("data").alias("e"))
+    unfit = F.when(F.col("data").isNull(), "no records")
+    return land_json(spark, path, target, LANDED, unfit, multi_line, limit)
+
+
+def landed_fields(landing: Landing) -> list[str]:
+    """Names of all fields that any landed record has; one row per name reaches the driver."""
+    found = landing.rows().select(F.explode("data").alias("e"))
     names = found.select(F.explode(F.map_keys("e.data")).alias("name")).distinct()
     return sorted(r["name"] for r in names.collect())
 
 
-def require_complete(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> None:
+def landed_records(landing: Landing, fields: list[str]) -> DataFrame:
+    """The landed records' fields of these names, as text."""
+    records = landing.rows().select(F.explode("data").alias("e"))
+    return records.select(*[F.col("e.data")[name].alias(name) for name in fields])
+
+
+def require_complete(landing: Landing) -> None:
     """Raise unless every request's responses hold the number of records they declare.
 
     The responses of a request are the files of one folder; each repeats the
-    request's ``meta.total``. Requests without a total are not judged.
+    request's ``meta.total``. Requests without a total are not judged. Dead
+    letters count as no records.
     """
-    schema = envelope_schema(T.StructType([]))
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    found = _responses(spark, path, schema, multi_line).select(
-        folder.alias("request"), F.col("meta.total").alias("total"), F.coalesce(F.size("data"), F.lit(0)).alias("n")
-    )
-    sums = found.groupBy("request").agg(F.max("total").alias("declared"), F.sum("n").alias("landed"))
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    sizes = landing.rows().select(folder.alias("request"), F.col("meta.total").alias("total"), F.size("data").alias("n"))
+    sums = sizes.groupBy("request").agg(F.max("total").alias("declared"), F.sum("n").alias("landed"))
     short = sums.where("declared <> landed").first()
     if short is not None:
         raise ValueError(f"{short['request']}: {short['landed']} records landed of {short['declared']} declared")
