@@ -185,12 +185,10 @@ def test_roles_are_recovered_and_text_kept(spark):
 
 
 def test_odd_turns(spark):
-    rows = [(1, 0, None, None), (1, 0, None, None), (1, 0, "robot", "a"), (None, None, "user", ""), (2, 0, "user", "x\n" * 3_000), (2, 1, "assistant", "y")]
+    rows = [(1, 0, None, None), (1, 0, None, None), (1, 0, None, ""), (1, 0, "robot", "a"), (1, 0, "robot", "a"), (None, None, "user", ""), (2, 0, "user", "x\n" * 3_000), (2, 1, "assistant", "y")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = transcripts.recovered(df).collect()
-    # rows that repeat whole count once
-    assert {(r.conv_id, r.turn, r.role) for r in out} == {(1, 0, None), (1, 0, "robot"), (None, None, "user"), (2, 0, "user"), (2, 1, "assistant")}
-    assert len(out) == 5
+    assert sorted(((r.conv_id, r.turn, r.role) for r in out), key=repr) == sorted((row[:3] for row in rows), key=repr)
     assert transcripts.recovered(df.limit(0)).count() == 0
 
 

@@ -13,9 +13,10 @@ more on either side that only inform: whole for all but very long ones, and
 bounded for a transcript that holds a third of all rows. Places come from a
 range partition, so no task gathers a transcript.
 
-Defined results: a null text is one empty line. Rows that repeat whole count
-once; rows that repeat a turn stand in the order of role and text. Roles other
-than the known names, and nulls, are ``other``. Null ids are one transcript.
+Defined results: a null text is one empty line. Rows that repeat whole are one
+part of the transcript, decoded once and returned as often as they stand there;
+rows that repeat a turn stand in the order of role and text. Roles other than
+the known names, and nulls, are ``other``. Null ids are one transcript.
 """
 
 from __future__ import annotations
@@ -139,20 +140,21 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 def windows(parts: DataFrame) -> DataFrame:
     """``parts`` with their window and whether they belong to it or only inform it, dealt and sorted by window."""
     key = ["conv_id", "turn", "role", "lines"]
-    parts = parts.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "lines").distinct()
+    parts = parts.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "lines")
+    parts = parts.groupBy(*key).agg(F.count("*").alias("copies"))
     ranged = cut(parts.repartitionByRange(*key).withColumn("part", F.spark_partition_id()))
     sizes = ranged.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     within = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy("turn", "role", "lines")) - 1
     placed = ranged.withColumn("within", within).join(base, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
-    placed = placed.select(*key, (F.col("base") + F.col("within")).alias("place"))
+    placed = placed.select(*key, "copies", (F.col("base") + F.col("within")).alias("place"))
     own = (F.col("place") / WINDOW).cast("long")
     reach = F.array_distinct(
         F.transform(F.array(F.lit(-CONTEXT), F.lit(0), F.lit(CONTEXT)), lambda d: (F.greatest(F.col("place") + d, F.lit(0)) / WINDOW).cast("long"))
     )
     dealt = placed.withColumn("own", own).withColumn("window", F.explode(reach)).withColumn("belongs", F.col("own") == F.col("window"))
-    return dealt.repartition("conv_id", "window").sortWithinPartitions("conv_id", "window", "place").select("conv_id", "window", "turn", "role", "lines", "belongs")
+    return dealt.repartition("conv_id", "window").sortWithinPartitions("conv_id", "window", "place").select("conv_id", "window", "turn", "role", "lines", "copies", "belongs")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -224,13 +226,13 @@ def render(lines: list[str], states: np.ndarray, opened: bool, ends: bool) -> st
 
 
 def parse(windowed: DataFrame, model: Model) -> DataFrame:
-    """conv_id, turn, role, role_found, n_turns and rendered for every part.
+    """conv_id, turn, role, role_found, n_turns and rendered for every part, as often as it stands there.
 
     role_found is the role of the part's first line with a text; n_turns counts
     the turns that begin in it.
     """
-    schema = "conv_id long, turn long, role string, role_found string, n_turns long, rendered string"
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    schema = "conv_id long, turn long, role string, role_found string, n_turns long, rendered string, copies long"
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     names = [f.split()[0] for f in schema.split(", ")]
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,14 +246,15 @@ def parse(windowed: DataFrame, model: Model) -> DataFrame:
                 if row["belongs"]:
                     text = render(part, own, at > len(part), i == len(rows) - 1)
                     role = ROLES[own[_first_line(part)] // 2]
-                    held.append((row["conv_id"], row["turn"], row["role"], role, int((own % 2 == 0).sum()), text))
+                    held.append((row["conv_id"], row["turn"], row["role"], role, int((own % 2 == 0).sum()), text, row["copies"]))
             if len(held) > 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
                 held = []
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
 
-    return windowed.mapInArrow(answer, schema)
+    found = windowed.mapInArrow(answer, schema)
+    return found.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
 
 
 def recovered(conversations: DataFrame) -> DataFrame:
