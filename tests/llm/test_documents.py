@@ -404,6 +404,7 @@ def test_tiling_against_brute_force():
 @pytest.mark.parametrize("block_bytes", [4 << 20, 200])
 def test_leaks_of_whole_and_reordered_passages(spark, block_bytes):
     items = [(i, prose(700 + i, 24)) for i in range(6)] + [(6, None), (7, ""), (8, "only three words"), (9, prose(700, 24)), (None, "x")]
+    items += [items[0], (None, "to say")]
     half = [items[1][1].split()[:12], items[1][1].split()[12:]]
     rows = odd_rows() + [
         (40, prose(41, 30) + " " + items[0][1].upper().replace(" ", ", ") + ". " + prose(42, 30), "en", "a"),
@@ -414,7 +415,7 @@ def test_leaks_of_whole_and_reordered_passages(spark, block_bytes):
     docs = documents(spark, rows)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     out = decontamination.find_leaks(docs, benchmark, block_bytes=block_bytes)
-    assert shown(out, "doc_id", "item_id", "covered_tokens") == [(40, 0, 24), (40, 9, 24), (41, 1, 24), (43, 8, 3)]
+    assert shown(out, "doc_id", "item_id", "covered_tokens") == sorted([(40, 0, 24), (40, 0, 24), (40, 9, 24), (41, 1, 24), (43, 8, 3), (43, None, 2)], key=repr)
     clean = decontamination.keep_clean(docs, benchmark, block_bytes=block_bytes)
     assert clean.columns == docs.columns
     assert sorted(r.doc_id for r in clean.where("doc_id >= 40").collect()) == [42] and clean.count() == len(rows) - 3

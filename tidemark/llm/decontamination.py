@@ -10,12 +10,12 @@ passages stand, so reordered ones are caught too. At ``COVERAGE`` or more the
 document leaks the item.
 
 The benchmark is taken in blocks of about ``BLOCK_BYTES`` of text by a hash of
-the item id, each broadcast to one scan of the documents: what is sent has a
+the item, each broadcast to one scan of the documents: what is sent has a
 bound, whatever the benchmark's size. Whole documents are compared, and no pair
 is left out.
 
 Defined results: null and empty texts, and items without tokens, match nothing.
-An item of fewer than ``LEAST`` tokens leaks where it stands whole. Repeated
+Items without an id match like any other. An item of fewer than ``LEAST`` tokens leaks where it stands whole. Repeated
 documents and repeated items give a row for each pair of them.
 """
 
@@ -195,14 +195,18 @@ def _covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, least: int = LEAST) -> Iterator:
-    """The benchmark as broadcast ``Items`` of about ``block_bytes`` of text each."""
+    """The benchmark as broadcast ``Items`` of about ``block_bytes`` of text each.
+
+    An item's id there is its id and how often it is repeated. Items are dealt by
+    id and text, so one id with very many texts is spread as well.
+    """
     spark = benchmark.sparkSession
-    rows = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    rows = benchmark.where("text IS NOT NULL").groupBy("item_id", "text").agg(F.count("*").alias("n"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(-(-size // block_bytes))
     for block in range(n):
-        own = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == block).collect()
-        items = index_items([r[0] for r in own], [r[1] for r in own], least)
+        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()
+        items = index_items([(r["item_id"], r["n"]) for r in own], [r["text"] for r in own], least)
         yield spark.sparkContext.broadcast(items)
 
 
@@ -213,7 +217,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     def scan(block) -> DataFrame:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = list(zip(*leaks(block.value, batch.column(1), coverage))) or [()] * 6
+                rows = [(row, item, *rest) for row, (item, n), *rest in leaks(block.value, batch.column(1), coverage) for _ in range(n)]
+                found = list(zip(*rows)) or [()] * 6
                 arrays = [pa.array(x, kind) for x, kind in zip(found[1:], _LEAK_TYPES)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found[0], pa.int64())), *arrays], names)
 
