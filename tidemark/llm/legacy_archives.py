@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.checkpoints import cut
 
+#: Archives that one task converts, where there are more than cores.
+TASK_ARCHIVES = 16
 ARCHIVE_BYTES = 16 << 20
 LEAST_REVISIT = 100
 CAPTURED = "20000101000000"
@@ -322,7 +324,10 @@ def convert(archives: DataFrame, folder: str, least: int = LEAST_REVISIT) -> Dat
     """
     again = revisits(cut(index_arc(archives)), least).groupBy("path")
     again = again.agg(F.collect_list(F.struct("number", "first_path", "first_number")).alias("again"))
-    jobs = archives.select("path").join(again, "path", "left").repartition("path")
+    # Paths weigh little as rows: without a set number, adaptive execution would give them all to one task.
+    n, cores = archives.count(), archives.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(n, cores), -(-n // TASK_ARCHIVES), 1)
+    jobs = archives.select("path").join(again, "path", "left").repartition(tasks)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,7 +388,11 @@ def _described(headers: dict[str, str], block: bytes, path: str) -> tuple:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """``records`` with refers_to: the page id of the record a revisit names."""
+    """``records`` with refers_to: the page id of the record a revisit names.
+
+    Archives are read once: what is told of their records is kept for the join.
+    """
+    records = cut(records)
     named = records.where("refers_to_id IS NOT NULL").select("refers_to_id").distinct()
     named = named.join(records.select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")), "refers_to_id")
     return records.join(named, "refers_to_id", "left")

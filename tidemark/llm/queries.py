@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import attention_lm, decontamination, extraction, language_id, legacy_archives, line_dedup, mixing, quality_cnn, quality_rules, simhash, spelling, transcripts, vector_codes
 from tidemark.session import scratch_dir
+from tidemark.sources.files import delete_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,8 +89,10 @@ FROM ranked
 
 @query("op9_legacy_archives", ARCHIVES_SQL)
 def archives(spark: SparkSession, folder: str) -> DataFrame:
-    arc = legacy_archives.write_arc(table(spark, folder, "pages"), scratch_dir(spark, "arc"))
+    old = scratch_dir(spark, "arc")
+    arc = legacy_archives.write_arc(table(spark, folder, "pages"), old)
     warc = legacy_archives.convert(arc, scratch_dir(spark, "warc"))
+    delete_folder(spark, old)
     found = legacy_archives.resolved(legacy_archives.read_records(warc))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
