@@ -1,5 +1,8 @@
 """The pipeline on planted documents, and every numbered query on the smallest tables."""
 
+import random
+import string
+
 import pytest
 
 import corpus_pipeline
@@ -18,6 +21,9 @@ CONTRACT = {
     "op8_html_extraction": "page_id url text n_chars",
     "op9_legacy_archives": "page_id payload_bytes payload_digest record_type refers_to",
     "op10_mixing_to_target_weights": "doc_id size source_size target taken",
+    "op11_spelling_variants": "word form root n n_near form_n",
+    "op12_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+    "op13_vector_codes": "vec_id code error label_error codebooks_sha256",
 }
 EN, FR = "the and of thing wh er on sa mi", "le la que eau ré oui çon bu zo"
 
@@ -60,6 +66,19 @@ def test_stages_keep_clean_documents_and_nothing_else(spark, tmp_path):
     assert abs(sum(r.taken for r in mixed) - 1.5 * sum(r["size"] for r in mixed)) < 4 * 2 * 64
 
 
+def test_language_stage_rejects_foreign_texts_and_noise(spark):
+    clean = planted([(i, prose(900 + i, 30, EN)) for i in range(3)])[0]
+    rng = random.Random(5)
+    noise = [" ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n)) for n in (60, 3_000)]
+    foreign = [prose(70 + n, n, "kyl jää hän mitt vuo") for n in (60, 3_000)]
+    rows = clean + [(500 + i, text, "en", "s0") for i, text in enumerate(noise + foreign)]
+    # What is to be rejected does not teach: its languages are not given.
+    docs = documents(spark, [(i, t, la if i < 500 else None, s) for i, t, la, s in rows])
+    stayed = corpus_pipeline.language_stage(spark, docs, "")
+    assert stayed.columns == docs.columns
+    assert sorted(r.doc_id for r in stayed.collect()) == [i for i, *_ in clean]
+
+
 def test_pipeline_of_odd_and_of_no_documents(spark, tmp_path):
     for name, rows in (("odd", odd_rows()), ("none", [])):
         documents(spark, rows).write.parquet(f"{tmp_path}/{name}/documents.parquet")

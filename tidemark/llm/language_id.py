@@ -5,8 +5,11 @@ frequency of its words, and of the character n-grams (n = ``MOST_N`` down to 1)
 of its words with a boundary mark at either end. A known word scores its log
 frequency; an unseen word scores the mean of its n-grams of the greatest length
 of which at least one is known. What a language lacks costs it ``penalty``. The
-sums over a text's words are compared, and the share of the best language among
-all is the score.
+sums over a text's words are compared. The score is the share of the best
+language among all, times how familiar the text is to it: over its words, one
+for each that the language is known to have, and for the others the share of
+their longest n-grams that it has. That does not grow with a text's length: a
+long text in an unlearned language, or of noise, stays low.
 
 All training texts are counted. A model keeps what makes up at least ``SHARE``
 of its language's words, or of its n-grams of one length: at most 1 / SHARE
@@ -16,7 +19,7 @@ the driver and is broadcast.
 Defined results: a null text, or one without letters, is ``und`` with score 0.
 Training rows without a text or a language teach nothing. Without any training
 row every text is ``und``. A text in letters no model knows gets the language
-with the most training words, at an even share. Of languages that tie, the one
+with the most training words, at score 0. Of languages that tie, the one
 with the most training words wins, then the first by name. Repeated rows are
 counted and answered as often as they stand there.
 """
@@ -241,10 +244,13 @@ def identify(model: Model | None, column: pa.Array) -> tuple[np.ndarray, np.ndar
         prefix = prefix_hash(words.letters)
         row = _find(model.words, span_hash(prefix, words.starts, words.ends))
         known = row >= 0
-        sums = np.zeros((n, n_langs))
+        sums, familiar = np.zeros((n, n_langs)), np.zeros((n, n_langs))
         for lang in range(n_langs):
-            sums[:, lang] = np.bincount(words.text[known], model.words.scores[row[known], lang], n)
+            scores = model.words.scores[row[known], lang]
+            sums[:, lang] = np.bincount(words.text[known], scores, n)
+            familiar[:, lang] = np.bincount(words.text[known], scores > -model.penalty, n)
         rest = np.flatnonzero(~known)
+        longest = max(model.grams)
         for size in sorted(model.grams, reverse=True):
             left = Words(words.letters, words.starts[rest], words.ends[rest], words.text[rest])
             at, word = gram_windows(left, size)
@@ -252,15 +258,20 @@ def identify(model: Model | None, column: pa.Array) -> tuple[np.ndarray, np.ndar
             found = row >= 0
             hits, all_grams = np.bincount(word[found], minlength=len(rest)), np.bincount(word, minlength=len(rest))
             for lang in range(n_langs):
-                total = np.bincount(word[found], model.grams[size].scores[row[found], lang], len(rest))
+                scores = model.grams[size].scores[row[found], lang]
+                total = np.bincount(word[found], scores, len(rest))
+                if size == longest:
+                    has = np.bincount(word[found], scores > -model.penalty, len(rest)) / np.maximum(all_grams, 1)
+                    familiar[:, lang] += np.bincount(left.text, has, n)
                 mean = (total - model.penalty * (all_grams - hits)) / np.maximum(all_grams, 1)
                 sums[:, lang] += np.bincount(left.text[hits > 0], mean[hits > 0], n)
             rest = rest[hits == 0]
-        has_words = np.bincount(words.text, minlength=n) > 0
+        n_words = np.bincount(words.text, minlength=n)
         top = sums.argmax(1)
         odds = np.power(10.0, sums - sums.max(1, keepdims=True)).sum(1)
-        best[chunk.first : chunk.last] = np.where(has_words, top, -1)
-        score[chunk.first : chunk.last] = np.where(has_words, 1 / odds, 0)
+        own = familiar[np.arange(n), top] / np.maximum(n_words, 1)
+        best[chunk.first : chunk.last] = np.where(n_words > 0, top, -1)
+        score[chunk.first : chunk.last] = np.where(n_words > 0, np.clip(own / odds, 0, 1), 0)
     return best, score
 
 
