@@ -66,6 +66,7 @@ def test_grams_left_by_an_edit_stand_in_the_other_word(spark):
     counts = clustered(7, 500, "abcd")
     dictionary = spelling.gram_dictionary(spark.createDataFrame([(w,) for w in counts], "word string"), 40)
     assert any(g.frequent for g in dictionary.values()) and not all(g.frequent for g in dictionary.values())
+    assert sorted(g.rank for g in dictionary.values()) == list(range(len(dictionary)))
     grams = {w: spelling.grams(w, dictionary) for w in counts}
     for a in counts:
         for b in counts:

@@ -20,6 +20,8 @@ allows may be missing on either side. What is left is verified letter by letter.
 A list that stays above ``SHARD`` words is dealt in shards, each against each, so
 no list is one task's alone; none is cut.
 
+Words are of code points below 256, as the runs are.
+
 Defined results: a null text has no words, a null id counts as an empty one in
 the sum that picks altered words. Rows count as often as they stand there. Of
 near words with equal counts the smallest in code-point order is the form.
@@ -61,7 +63,10 @@ def word_counts(docs: DataFrame, altered: int = ALTERED, least_length: int = LEA
     """(word, n): the words of ``docs`` (doc_id, text) that are long and frequent enough."""
     run = F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(1)))
     runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), run.alias("run"))
-    lowered = runs.select("id", F.translate("run", string.ascii_uppercase, string.ascii_lowercase).alias("run"))
+    # Lowering whole runs is much faster, and the same where all letters are ASCII.
+    ascii_ = F.octet_length("run") == F.length("run")
+    low = F.when(ascii_, F.lower("run")).otherwise(F.translate("run", string.ascii_uppercase, string.ascii_lowercase))
+    lowered = runs.select("id", low.alias("run"))
     sum_ = F.crc32(F.concat("id", F.lit(":"), "run"))
     at = F.pmod(sum_, F.length("run")).cast("int")
     shorter = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
@@ -73,7 +78,9 @@ def word_counts(docs: DataFrame, altered: int = ALTERED, least_length: int = LEA
 
 
 class Gram(NamedTuple):
-    n: int
+    """Its rank by rarity, whether it is frequent, and its bit."""
+
+    rank: int
     frequent: bool
     bit: int
 
@@ -87,7 +94,7 @@ def gram_dictionary(words: DataFrame, common: int = COMMON) -> dict[str, Gram]:
     """
     marked = words.select(F.concat(F.lit(BEGIN), "word", F.lit(END)).alias("word"))
     least = marked.agg(F.coalesce(F.sum(F.length("word")), F.lit(0))).first()[0] / common
-    found: dict[str, Gram] = {}
+    found: dict[str, int] = {}
     frequent: list[str] = []
     for length in range(LEAST, MOST + 1):
         places = F.explode(F.sequence(F.lit(1), F.length("word") - (length - 1)))
@@ -95,23 +102,26 @@ def gram_dictionary(words: DataFrame, common: int = COMMON) -> dict[str, Gram]:
         if length > LEAST:
             known = words.sparkSession.createDataFrame([(r,) for r in frequent], "start string")
             runs = runs.join(F.broadcast(known), F.substring("run", 1, length - 1) == F.col("start"), "left_semi")
-        new = {r: Gram(n, n > least, 1 << zlib.crc32(r.encode()) % 64) for r, n in runs.groupBy("run").count().collect()}
+        new = dict(runs.groupBy("run").count().collect())
         found |= new
-        frequent = [r for r, gram in new.items() if gram.frequent]
+        frequent = [r for r, n in new.items() if n > least]
         if not frequent:
             break
-    return found
+    order = sorted(found, key=lambda r: (found[r], r))
+    return {r: Gram(rank, found[r] > least, 1 << zlib.crc32(r.encode()) % 64) for rank, r in enumerate(order)}
 
 
-def grams(word: str, dictionary: dict[str, Gram]) -> tuple[list[str], int]:
+def grams(word: str, dictionary: dict[str, Gram]) -> tuple[list[Gram], int]:
     """The grams of a word by place, and how many of them one edit can change at most."""
     marked = BEGIN + word + END
     found, cover = [], [0] * (len(marked) + 1)
     for at in range(len(marked) - LEAST + 1):
         end = at + LEAST
-        while end - at < MOST and end < len(marked) and dictionary[marked[at:end]].frequent:
+        gram = dictionary[marked[at:end]]
+        while gram.frequent and end - at < MOST and end < len(marked):
             end += 1
-        found.append(marked[at:end])
+            gram = dictionary[marked[at:end]]
+        found.append(gram)
         cover[at] += 1
         cover[end] -= 1
     bound = depth = 0
@@ -121,53 +131,77 @@ def grams(word: str, dictionary: dict[str, Gram]) -> tuple[list[str], int]:
     return found, bound
 
 
-def signature(word: str, dictionary: dict[str, Gram]) -> tuple[list[tuple[str, int]], int, int]:
-    """(gram, place) in order of rarity; the bits of all; the affected bound."""
-    found, bound = grams(word, dictionary)
-    bits = 0
-    for gram in found:
-        bits |= dictionary[gram].bit
-    order = sorted((dictionary[gram].n, gram, at) for at, gram in enumerate(found))
-    return [(gram, at) for _, gram, at in order], bits, bound
-
-
 # -- lists ------------------------------------------------------------------
 
-_LISTED = "key string, size int, word string, at int, bits long, bound int"
+_LISTED = "key long, size int, word binary, n long, at int, bits long, bound int"
 
 
 def _listed(words: DataFrame, dictionary, by_pairs: bool) -> DataFrame:
-    """Rows of ``words`` in the lists of one gram or of two; a length class holds a length and the next."""
+    """Rows of ``words`` (word, n) in the lists of one gram, or of two.
+
+    A size class is an even length and the next two, so two lengths that differ
+    by one have a class in common, and odd ones just one.
+    """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = dictionary.value
         for batch in batches:
-            rows = []
-            for word in batch.column(0).to_pylist():
-                order, bits, bound = signature(word, known)
-                bits = bits - (1 << 64) if bits >> 63 else bits
+            keys, places, times, every_bits, bounds, sizes = [], [], [], [], [], []
+            texts = batch.column(0).to_pylist()
+            for word in texts:
+                found, bound = grams(word, known)
+                bits = 0
+                for gram in found:
+                    bits |= gram.bit
+                order = sorted([(gram.rank, at) for at, gram in enumerate(found)])[: bound + 1 + by_pairs]
                 if by_pairs:
-                    first = order[: bound + 2]
-                    keys = [(f"{a}\x00{b}", at) for (a, at), (b, _) in combinations(first, 2)]
-                else:
-                    keys = order[: bound + 1]
-                rows += [(key, size, word, at, bits, bound) for key, at in keys for size in (len(word) - 1, len(word))]
-            columns = zip(*rows) if rows else [[]] * 6
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in _LISTED.split(", ")])
-
-    return words.select("word").mapInArrow(listed, _LISTED)
+                    order = [((a << 32) + b, at) for (a, at), (b, _) in combinations(order, 2)]
+                keys += [key for key, _ in order]
+                places += [at for _, at in order]
+                times.append(len(order))
+                every_bits.append(bits)
+                bounds.append(bound)
+                sizes.append(len(word))
+            own = np.repeat(np.arange(len(texts)), times)
+            length = np.array(sizes, np.int64)[own]
+            at = np.concatenate([np.arange(len(own)), np.flatnonzero(length % 2 == 0)])  # even lengths stand in two classes
+            size = length[at] // 2
+            size[len(own) :] -= 1
+            row = own[at]
+            word = pa.array([w.encode("latin-1") for w in texts], pa.binary()).take(pa.array(row))
+            columns = [
+                np.array(keys, np.int64)[at], size.astype(np.int32), word, batch.column(1).take(pa.array(row)), np.array(places, np.int32)[at],
+                np.array(every_bits, np.uint64).view(np.int64)[row], np.array(bounds, np.int32)[row],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], _LISTED.replace(",", "").split()[::2])
+
+    return words.select("word", "n").mapInArrow(listed, _LISTED)
+
+
+def _letters(words: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """The letters of these rows' words, one byte each, with zeros behind and at least one at the end."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] else np.zeros(0, np.uint8)
+    lengths = np.diff(offsets)[rows]
+    out = np.zeros((len(rows), WIDE + 1), np.uint8)
+    n = lengths.sum()
+    within = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(np.arange(len(rows)), lengths), within] = data[np.repeat(offsets[rows], lengths) + within]
+    return out
 
 
 def _near(rows: pa.Table) -> pa.RecordBatch:
-    """Pairs (a, b) one edit apart of rows sorted by (group, at), where a group is a list."""
-    words = rows.column("word").to_pylist()
-    lengths = np.array([len(w) for w in words], np.int64)
-    group, at = rows.column("group").to_numpy(), rows.column("at").to_numpy()
-    bits, bound = rows.column("bits").to_numpy().view(np.uint64), rows.column("bound").to_numpy()
-    size, member, asks = (rows.column(c).to_numpy() for c in ("size", "member", "asks"))
+    """Pairs (a, b) one edit apart, each way, of rows sorted by (list, at), with b's count."""
+    rows = rows.combine_chunks()
+    column = lambda name: rows.column(name).chunk(0)
+    key, size, tree, side, at, bits, bound, member, asks = (
+        column(c).to_numpy(zero_copy_only=False) for c in ("key", "size", "tree", "side", "at", "bits", "bound", "member", "asks")
+    )
+    words, bits = column("word"), bits.view(np.uint64)
+    lengths = np.diff(np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]).astype(np.int64)
+    new = (key[1:] != key[:-1]) | (size[1:] != size[:-1]) | (tree[1:] != tree[:-1]) | (side[1:] != side[:-1])
     # Partners stand after a row, in its list, at its place or the next.
-    spot = group * (1 << 32) + at
+    spot = np.concatenate([[0], np.cumsum(new)]) * (1 << 32) + at
     n = np.searchsorted(spot, spot + 1, "right") - np.arange(len(spot)) - 1
     ends = np.cumsum(n)
     ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -177,108 +211,108 @@ def _near(rows: pa.Table) -> pa.RecordBatch:
         a = np.repeat(np.arange(low, high), n[low:high])
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n[low:high]) - n[low:high], n[low:high])
         low = high
-        # A class holds a length and the next; two of the next meet in their own class.
-        fits = (lengths[a] == size[a]) | (lengths[b] == size[a])
-        fits &= (member[a] & asks[b]) | (asks[a] & member[b])
-        a, b = a[fits], b[fits]
         fits = np.bitwise_count(bits[a] & ~bits[b]) <= bound[a]
-        fits &= np.bitwise_count(bits[b] & ~bits[a]) <= bound[b]
+        a, b = a[fits], b[fits]
+        fits = np.bitwise_count(bits[b] & ~bits[a]) <= bound[b]
+        fits &= np.abs(lengths[a] - lengths[b]) <= 1
+        # Two of the greatest length of a class meet in their other one.
+        fits &= (lengths[a] + lengths[b]) < 4 * size[a] + 4
+        fits &= (member[a] & asks[b]) | (asks[a] & member[b])
         a, b = a[fits], b[fits]
         near = one_edit(words, lengths, a, b)
-        ones.append(a[near])
-        others.append(b[near])
-    named = [pa.array([words[i] for i in np.concatenate(side).tolist()], pa.string()) for side in (ones, others)]
-    return pa.RecordBatch.from_arrays(named, ["a", "b"])
+        ones += [a[near], b[near]]
+        others += [b[near], a[near]]
+    one, other = pa.array(np.concatenate(ones)), pa.array(np.concatenate(others))
+    return pa.RecordBatch.from_arrays([words.take(one), words.take(other), column("n").take(other)], ["a", "b", "n"])
 
 
-def one_edit(words: list[str], lengths: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which pairs of words differ by exactly one inserted, deleted or replaced letter."""
+def one_edit(words: pa.Array, lengths: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of words (in Latin-1) differ by exactly one inserted, deleted or replaced letter."""
     near = np.zeros(len(a), bool)
     swap = lengths[a] > lengths[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
     long_ = lengths[b] > WIDE
     for i in np.flatnonzero(long_).tolist():
-        near[i] = _one_edit(words[a[i]], words[b[i]])
+        near[i] = _one_edit(words[a[i]].as_py(), words[b[i]].as_py())
     rest = np.flatnonzero(~long_)
     if not len(rest):
         return near
     rows, place = np.unique(np.concatenate([a[rest], b[rest]]), return_inverse=True)
-    letters = np.array([words[i] for i in rows.tolist()], f"<U{WIDE + 1}").view(np.uint32).reshape(len(rows), -1)
+    letters = _letters(words, rows)
     short, more = letters[place[: len(rest)]], letters[place[len(rest) :]]
     own, longer = lengths[a[rest]], lengths[b[rest]]
     differ = short != more
     first = np.where(differ.any(1), differ.argmax(1), own)
     # Past the first difference the longer word is one letter ahead.
-    ahead, at = np.roll(more, -1, 1), np.arange(letters.shape[1])[None]
-    moved = ((short != ahead) & (at >= first[:, None]) & (at < own[:, None])).any(1)
-    near[rest] = np.where(own == longer, differ.sum(1) == 1, (longer == own + 1) & ~moved)
+    place = np.arange(letters.shape[1])[None]
+    moved = ((short[:, :-1] != more[:, 1:]) & (place >= first[:, None])[:, :-1] & (place < own[:, None])[:, :-1]).any(1)
+    near[rest] = np.where(own == longer, differ.sum(1) == 1, ~moved)
     return near
 
 
-def _one_edit(short: str, more: str) -> bool:
+def _one_edit(short: bytes, more: bytes) -> bool:
     at = next((i for i, (x, y) in enumerate(zip(short, more)) if x != y), len(short))
     if len(short) == len(more):
         return at < len(short) and short[at + 1 :] == more[at + 1 :]
-    return len(more) == len(short) + 1 and short[at:] == more[at + 1 :]
+    return short[at:] == more[at + 1 :]
 
 
 def _pairs(listed: DataFrame, lists: DataFrame, shard: int) -> DataFrame:
-    """Near pairs (a, b) of rows that stand in one of ``lists`` (key, size, n)."""
+    """Near pairs (a, b, n) of rows that stand in one of ``lists`` (key, size, rows)."""
     dealt = (
-        listed.join(lists.where("n > 1"), ["key", "size"])
-        .withColumn("shards", F.ceil(F.col("n") / F.lit(shard)).cast("int"))
+        listed.join(lists.where("rows > 1"), ["key", "size"])
+        .withColumn("shards", F.ceil(F.col("rows") / F.lit(shard)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("word"), F.col("shards")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
         .select(
             "key", "size", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("side"),
-            "word", "at", "bits", "bound", F.expr("own <= other").alias("member"), F.expr("own >= other").alias("asks"),
+            "word", "n", "at", "bits", "bound", F.expr("own <= other").alias("member"), F.expr("own >= other").alias("asks"),
         )
         .repartition("key", "size", "tree", "side")
         .sortWithinPartitions("key", "size", "tree", "side", "at")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        last, group, n = None, -1, 0
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            groups = np.empty(batch.num_rows, np.int64)
-            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
-                if key != last:
-                    last, group = key, group + 1
-                groups[i] = group
-            table = pa.Table.from_batches([batch]).append_column("group", pa.array(groups))
+            same = np.ones(batch.num_rows, bool)
+            for i in range(4):
+                values = batch.column(i).to_numpy()
+                same &= values == values[-1]
             # Rows before the last list complete the lists that are held.
-            edge = int(np.searchsorted(groups, groups[-1]))
-            if edge and n + edge >= PAIRS // 4:
-                yield _near(pa.concat_tables([*held, table.slice(0, edge)]))
-                held, n = [table.slice(edge)], len(groups) - edge
+            last = 0 if same.all() else batch.num_rows - int(np.argmin(same[::-1]))
+            if last and sum(b.num_rows for b in held) + last >= PAIRS // 4:
+                yield _near(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = [batch.slice(last)]
             else:
-                held.append(table)
-                n += len(groups)
+                held.append(batch)
         if held:
-            yield _near(pa.concat_tables(held))
+            yield _near(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(search, "a string, b string")
+    return dealt.mapInArrow(search, "a binary, b binary, n long")
 
 
 def _lengths(listed: DataFrame) -> DataFrame:
-    return cut(listed.groupBy("key", "size").agg(F.count("*").alias("n")))
+    return cut(listed.groupBy("key", "size").agg(F.count("*").alias("rows")))
 
 
 def near_pairs(words: DataFrame, common: int = COMMON, most: int = LIST, shard: int = SHARD) -> DataFrame:
-    """Pairs (a, b), each way, of distinct ``words`` (word) that are one edit apart."""
+    """Pairs (a, b), each way, of distinct ``words`` (word, n) that are one edit apart, with b's n.
+
+    The words' code points are below 256; ``a`` and ``b`` are in Latin-1.
+    """
     dictionary = words.sparkSession.sparkContext.broadcast(gram_dictionary(words, common))
     single = cut(_listed(words, dictionary, False))
     lists = _lengths(single)
-    long_ = lists.where(F.col("n") > most).select("key", "size")
+    long_ = lists.where(F.col("rows") > most).select("key", "size")
     # Of a pair of grams the first is the rarer, the one whose list was long.
-    again = single.join(long_, ["key", "size"], "left_semi").select("word").distinct()
-    double = _listed(again, dictionary, True).withColumn("first", F.substring_index("key", "\x00", 1))
+    again = single.join(long_, ["key", "size"], "left_semi").select(F.decode("word", "ISO-8859-1").alias("word"), "n").distinct()
+    double = _listed(again, dictionary, True).withColumn("first", F.shiftright("key", 32))
     double = cut(double.join(long_.withColumnRenamed("key", "first"), ["first", "size"], "left_semi").drop("first"))
-    one_way = _pairs(single, lists.where(F.col("n") <= most), shard).union(_pairs(double, _lengths(double), shard))
-    return one_way.union(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    found = _pairs(single, lists.where(F.col("rows") <= most), shard).union(_pairs(double, _lengths(double), shard))
+    return found.distinct()
 
 
 # -- forms ------------------------------------------------------------------
@@ -303,10 +337,9 @@ def roots(forms: DataFrame) -> DataFrame:
 def variants(words: DataFrame) -> DataFrame:
     """word, form, root, n, n_near and form_n for every row of ``words`` (word, n; distinct words)."""
     words = cut(words.select("word", "n"))
-    near = near_pairs(words).join(words.select(F.col("word").alias("b"), F.col("n").alias("near_n")), "b")
-    best = near.groupBy(F.col("a").alias("word")).agg(
-        F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), F.col("b").alias("word"))).alias("best")
-    )
+    text = F.decode("b", "ISO-8859-1")
+    near = near_pairs(words).groupBy("a").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("n")).alias("n"), text.alias("word"))).alias("best"))
+    best = near.select(F.decode("a", "ISO-8859-1").alias("word"), "n_near", "best")
     most = -F.col("best.n")
     is_form: Column = most >= 2 * F.col("n")
     found = cut(
