@@ -9,7 +9,8 @@ from catalog.registry import Tables, query
 from catalog.rows import ASSET_LADDER, growth_ladder
 from tidemark.functions.dates import quarter_end
 from tidemark.functions.text import url_domain
-from tidemark.plans import maps, marts, metrics, page_extracts, staging
+from tidemark.plans import maps, marts, metrics, page_extracts, refresh, staging
+from tidemark.session import scratch_dir
 
 
 def _doubles(*names: str) -> str:
@@ -264,18 +265,32 @@ def _unions(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "mart_credit_unions",
-    f"""
+SQL_UNION_MART = f"""
     SELECT {_doubles('cu_number', *_FS220, *_FS220A, 'other_non_int_inc_ytd')}, name, city, state, state_code,
            website, domain, report_date, CAST(period AS VARCHAR) AS period, dim_id
     FROM {SQL_UNIONS}
-    """,
-)
+    """
+
+
+@query("mart_credit_unions", SQL_UNION_MART)
 def mart_credit_unions(t: Tables):
     return _unions(t)
 
 
+def _regulators(t: Tables) -> dict[str, DataFrame]:
+    return {name: getattr(X, name)(t) for name in refresh.SOURCES}
+
+
+@query("mart_credit_unions_stored", SQL_UNION_MART)
+def mart_credit_unions_stored(t: Tables):
+    """The forms stored in buckets of (charter, period), then joined as they lie."""
+    stored = refresh.RegulatorTables(t.spark, scratch_dir(t.spark, "stored"), buckets=4)
+    for name in ("cu_branches", *refresh.FORMS):
+        refresh.stage_changes(stored, name, _regulators(t)[name])
+    places = marts.newest_known(marts.union_places(stored.form("cu_branches")), "cu_number")
+    return marts.unions_of(places, *[stored.form(name) for name in refresh.FORMS], X.nations_as_states(t))
+
+
 SQL_CONTRIB = f"""(
     WITH staff AS {SQL_MAP}, contributions AS {X.SQL_CONTRIBUTORS},
     people AS (
@@ -330,9 +345,7 @@ def mart_company_contrib(t: Tables):
 _SHARED = "name, city, state, state_code, website, domain, total_assets, total_deposits"
 
 
-@query(
-    "metric_asset_deposit",
-    f"""
+SQL_ASSET_DEPOSIT = f"""
     WITH tagged AS (
         SELECT 'bank' AS inst_type, cert AS id_number, {_SHARED}, CAST(strptime(report_date, '%Y%m%d') AS DATE) AS report_date
         FROM {SQL_BANKS}
@@ -348,12 +361,24 @@ _SHARED = "name, city, state, state_code, website, domain, total_assets, total_d
            CASE {ASSET_LADDER} END AS asset_tier,
            CASE {growth_ladder('deposits_growth_prev_qtr')} END AS deposits_growth_prev_qtr_tier
     FROM grown ORDER BY inst_type, id_number, report_date
-    """,
-)
+    """
+
+
+@query("metric_asset_deposit", SQL_ASSET_DEPOSIT)
 def metric_asset_deposit(t: Tables):
     return metrics.metric_asset_deposit(_banks(t), _unions(t))
 
 
+@query("metric_asset_deposit_by_period", SQL_ASSET_DEPOSIT)
+def metric_asset_deposit_by_period(t: Tables):
+    """The metric after two runs of the refresh: scrapes up to a day, then all."""
+    root, raw = scratch_dir(t.spark, "by-period"), _regulators(t)
+    first = {name: df.where(F.col("scraped_at") < F.lit("1997-05-01").cast("timestamp_ntz")) for name, df in raw.items()}
+    for tables in (first, raw):
+        metric, _ = refresh.refresh_regulator_tables(tables, root, buckets=4, lookup=X.nations_as_states(t))
+    return metric.orderBy("inst_type", "id_number", "report_date")
+
+
 @query(
     "metric_repo_totals",
     f"""

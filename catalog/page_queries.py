@@ -195,7 +195,7 @@ def fallback_text(t: Tables):
 
 
 def _mixed_pages(t: Tables):
-    """Every given page, dressed up as one of the five kinds the extractors know."""
+    """Every given page whole, with the marks of one of the five kinds at the top of its body."""
     title = F.coalesce(P.first_text("html", TITLE), F.lit("untitled"))
     shown = F.regexp_replace(title, r"[^A-Za-z ]", "")
     key = F.col("page_id").cast("string")
@@ -231,11 +231,14 @@ def _mixed_pages(t: Tables):
     }
     kinds = F.array(*[F.lit(k) for k in bodies])
     kind = F.get(kinds, (F.col("page_id") % 5).cast("int"))
-    body = F.coalesce(*[F.when(kind == k, b) for k, b in bodies.items()])
+    marks = F.coalesce(*[F.when(kind == k, b) for k, b in bodies.items()])
+    html = F.coalesce("html", F.lit(""))
+    top = F.regexp_extract(html, r"(?is)^.*?<body\b[^>]*>", 0)
+    body = F.concat(top, marks, F.substring(html, F.length(top) + 1, F.length(html)))
     return t.pages.select(
         kind.alias("kind"),
         F.concat(F.lit("https://code.example/org/repo"), key).alias("url"),
-        F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("body"),
+        body.alias("body"),
         F.struct(
             F.lit("project").alias("project_link"),
             F.concat(F.lit("repo"), key).alias("repo_name"),

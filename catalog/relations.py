@@ -26,7 +26,7 @@ from tidemark.streaming import incremental
 def left_join_key(t: Tables):
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
     customers = t.customer.select("c_custkey", "c_mktsegment")
-    return joins.left_join_many(customers, orders, ["c_custkey"])
+    return joins.left_join(customers, orders, ["c_custkey"])
 
 
 @query(

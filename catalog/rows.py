@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.registry import Tables, query
-from tidemark.functions import dates, keys, numbers, text
+from tidemark.functions import dates, keys, numbers, sql, text
 from tidemark.operators import columns
 from tidemark.operators.growth import growth_vs_prev
 from tidemark.plans import metrics
@@ -384,9 +384,7 @@ def state_name_of(t: Tables):
     return name_of(people, "written", named, "n_name", "code", "place").drop("written")
 
 
-@query(
-    "text_to_num",
-    """
+SQL_COUNTERS = """
     SELECT p_partkey,
            CASE WHEN written = 'null' THEN NULL
                 ELSE CAST(regexp_replace(written, '[^0-9.]', '', 'g') AS DOUBLE)
@@ -394,9 +392,10 @@ def state_name_of(t: Tables):
     FROM (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '1,' || lpad(CAST(p_size AS VARCHAR), 3, '0')
                  WHEN 1 THEN p_size || '.5k' WHEN 2 THEN p_size || ' commits'
                  WHEN 3 THEN 'null' ELSE p_size || '+ likes' END AS written FROM part)
-    """,
-)
-def text_to_num(t: Tables):
+    """
+
+
+def _counters(t: Tables):
     kind, size = F.col("p_partkey") % 5, F.col("p_size").cast("string")
     written = (
         F.when(kind == 0, F.concat(F.lit("1,"), F.lpad(size, 3, "0")))
@@ -405,7 +404,20 @@ def text_to_num(t: Tables):
         .when(kind == 3, "null")
         .otherwise(F.concat(size, F.lit("+ likes")))
     )
-    return t.part.select("p_partkey", text.text_to_num(written).alias("number"))
+    return t.part.select("p_partkey", written.alias("written"))
+
+
+@query("text_to_num", SQL_COUNTERS)
+def text_to_num(t: Tables):
+    return _counters(t).select("p_partkey", text.text_to_num("written").alias("number"))
+
+
+@query("text_to_num_sql", SQL_COUNTERS)
+def text_to_num_sql(t: Tables):
+    """The counter rule as SQL calls it."""
+    sql.register(t.spark)
+    _counters(t).createOrReplaceTempView("written_counters")
+    return t.spark.sql("SELECT p_partkey, text_to_num(written) AS number FROM written_counters")
 
 
 # Customer balances stand in for table sizes: current size and average growth.
@@ -423,19 +435,29 @@ def _sizes(t: Tables):
     )
 
 
-@query(
-    "size_projection",
-    f"""
+SQL_PROJECTION = f"""
     SELECT months, current_size::DOUBLE + (average * months)::DOUBLE / 3::DOUBLE AS total_size_gb,
            CAST(CAST(DATE '2024-01-31' + to_months(CAST(months AS INTEGER)) AS DATE) AS VARCHAR) AS future_date
     FROM ({SIZES}), (VALUES (3), (6), (9), (12)) h(months)
-    """,
-)
+    """
+
+
+@query("size_projection", SQL_PROJECTION)
 def size_projection(t: Tables):
     today = F.lit("2024-01-31").cast("date")
     return metrics.size_projection(_sizes(t), "current_size", "average", today)
 
 
+@query("size_projection_sql", SQL_PROJECTION)
+def size_projection_sql(t: Tables):
+    """The projection as SQL calls it."""
+    sql.register(t.spark)
+    _sizes(t).createOrReplaceTempView("table_sizes")
+    return t.spark.sql(
+        "SELECT p.* FROM table_sizes, LATERAL size_projection(CAST(current_size AS DOUBLE), CAST(average AS DOUBLE), DATE'2024-01-31') AS p"
+    )
+
+
 _COSTS = ", ".join(
     f"CAST(current_size + average * {m} AS BIGINT) AS gb_in_{m}_months, "
     f"(current_size + average * {m})::DOUBLE * 0.4::DOUBLE AS cost_in_{m}_months_usd"

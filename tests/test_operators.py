@@ -58,36 +58,34 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_left_join_many_is_a_left_join(spark):
+def test_left_join_skewed_is_a_left_join(spark):
     left = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z"), (2, "y")], "k int, a string")
     right = spark.createDataFrame([(2, "p"), (2, "q"), (None, "r"), (3, "s")], "k int, b string")
-    assert rows(joins.left_join_many(left, right, ["k"])) == rows(left.join(right, "k", "left"))
+    for share in (0.01, 0.4, 1.0):
+        assert rows(joins.left_join_skewed(left, right, ["k"], share)) == rows(left.join(right, "k", "left"))
+    assert rows(joins.left_join_skewed(left, right.limit(0), ["k"])) == rows(left.join(right.limit(0), "k", "left"))
 
 
-def test_left_join_many_splits_a_hot_key(spark):
-    """One key owns most of the right side; the join must not leave it whole."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    saved = {key: spark.conf.get(key, None) for key in conf}
-    for key, value in conf.items():
-        spark.conf.set(key, value)
+def test_left_join_skewed_finds_and_deals_the_hot_key(spark):
+    """One key owns most of the right side; no task may be left with all of its rows."""
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         left = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("a"))
         right = spark.range(0, 60_000, 1, 8).select(
             F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 100).alias("k"),
             F.sha2(F.col("id").cast("string"), 256).alias("b"),
         )
-        joined = joins.left_join_many(left, right, ["k"])
+        hot = joins.heavy_keys(right, ["k"], 0.1)
+        assert hot == [spark.sql("SELECT xxhash64(7L)").first()[0]]
+        joined = joins.left_join_skewed(left, right, ["k"], 0.1)
+        assert "_salt" in plan(joined)
         assert joined.count() == left.join(right, "k", "left").count()
-        joined.collect()
-        assert "skew=true" in plan(joined)
+        sizes = joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in sizes) == 40_200 and max(r["count"] for r in sizes) < 30_000 and len(sizes) > 1
+        assert "_salt" not in plan(joins.left_join_skewed(left, right.where("k <> 7"), ["k"], 0.1))
     finally:
-        for key, value in saved.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
 
 
 def test_null_reject_becomes_an_inner_join(spark):
@@ -199,7 +197,8 @@ def test_no_python_outside_pages_and_archives(spark):
     python_allowed = {"archive_member_read", "page_type_dispatch"}
     eager = {
         "gz_json_document_read", "prefix_scan", "append_load", "full_refresh_write", "paged_scan",
-        "write_audit_publish", "incremental_land", "incremental_latest",
+        "write_audit_publish", "incremental_land", "incremental_latest", "json_envelope_read",
+        "mart_credit_unions_stored", "metric_asset_deposit_by_period",
     }
     for name in sorted(set(QUERIES) - python_allowed - eager):
         text = plan(QUERIES[name](spark, SMALL))

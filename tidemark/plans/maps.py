@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import json_text
 from tidemark.operators.columns import not_null
-from tidemark.operators.joins import left_join, left_join_many
+from tidemark.operators.joins import left_join_skewed
 from tidemark.operators.snapshots import latest_per_key
 
 
@@ -24,16 +24,15 @@ def enriched_companies(enrichment: DataFrame) -> DataFrame:
 
 
 def map_company_contributor(
-    enrichment: DataFrame, profiles: DataFrame, contributors: DataFrame, hot_right: bool = False
+    enrichment: DataFrame, profiles: DataFrame, contributors: DataFrame, share: float = 0.01
 ) -> DataFrame:
     """Company, its members' profiles, and the repositories they contribute to.
 
     Companies without profiles and profiles without contributions stay, with
-    NULLs. Where one company owns a large share of all profiles, or one profile
-    of all contributions, set ``hot_right``: matches then come from joins that
-    split either side, at the price of reading both sides twice.
+    NULLs. A company that owns over ``share`` of all profiles, or a profile with
+    as large a part of all contributions, is found by a scan of the key column,
+    and its rows are dealt over many tasks.
     """
-    join = left_join_many if hot_right else left_join
     companies = enriched_companies(enrichment)
     members = not_null(profiles.select("company_name", "link"), "company_name").select(
         F.col("company_name").alias("og_company_name"), F.col("link").alias("github_profile_link")
@@ -42,6 +41,6 @@ def map_company_contributor(
         F.col("profile_link").alias("github_profile_link"),
         F.col("source_repo_link").alias("contrib_on_repo_link"),
     )
-    staffed = join(companies, members, ["og_company_name"])
-    mapped = join(staffed, repos, ["github_profile_link"])
+    staffed = left_join_skewed(companies, members, ["og_company_name"], share)
+    mapped = left_join_skewed(staffed, repos, ["github_profile_link"], share)
     return mapped.select("company_name", "domain", "github_profile_link", "contrib_on_repo_link")
