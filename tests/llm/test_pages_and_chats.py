@@ -55,6 +55,63 @@ def test_title_and_intro_beside_a_dominant_block(open_, close, body):
     assert extraction.main_text(page) == f"T\n{ITEM_LINES}"
 
 
+STORY = f"<h1>T</h1><p>{LONG}</p><p>{LONG} 2</p>"
+STORY_LINES = f"T\n{LONG}\n{LONG} 2"
+MENU = '<ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">About us</a></li><li><a href=d>Contact</a></li></ul>'
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # names that say what else the page has, and frames around the whole page
+        (f'<div class="content with-sidebar">{STORY}</div>', STORY_LINES),
+        (f'<div class="page has-comments">{STORY}</div>', STORY_LINES),
+        (f'<div class="has-nav"><article>{STORY}</article></div>', STORY_LINES),
+        (f'<form id="aspnetForm"><div class="menu">{MENU}</div>{STORY}</form>', STORY_LINES),
+        (f'<div class="widget-container">{STORY}</div>', STORY_LINES),
+        # a listed word within another name
+        (f'<div id="share-price">{STORY}</div>', STORY_LINES),
+        (f'<article>{STORY}<section class="related-work"><h2>R</h2><p>{LONG} 3</p></section></article>', f"{STORY_LINES}\nR\n{LONG} 3"),
+        (f'<article>{STORY}<div class="social-history"><p>{LONG} 3</p></div></article>', f"{STORY_LINES}\n{LONG} 3"),
+        (f'<article>{STORY}<div class="related-pieces">{MENU}</div></article>', STORY_LINES),
+        # menus without a name
+        (f"<body>{MENU}{STORY}</body>", STORY_LINES),
+        (f"<article>{MENU}{STORY}</article>", STORY_LINES),
+        (f'<body><div class="topbar"><p>Call us now</p></div>{STORY}</body>', STORY_LINES),
+        # more comments than article, a form beside it, a link within it
+        (f'<div class="post">{STORY}</div><div id="comments">{f"<p>{LONG} c</p>" * 20}</div>', STORY_LINES),
+        (f"<main>{STORY}<form><p>{LONG} f</p></form></main>", STORY_LINES),
+        (f'<article>{STORY}<p><a href="/n">Next</a></p></article>', f"{STORY_LINES}\nNext"),
+    ],
+)
+def test_names_are_no_verdict(html, text):
+    assert extraction.main_text(html) == text
+
+
+def brute_ratios(nodes):
+    """Path ratios of (path, text) pieces, written out one by one."""
+    def mean(values):
+        values = list(values)
+        return sum(values) / len(values)
+
+    fused = []
+    for path, _ in nodes:
+        own = [t for p, t in nodes if p == path]
+        fused.append(mean(len(t) for t in own) * (1 + mean(sum(c in ".,;:!?…。、，！？；：" for c in t) for t in own)))
+    smooth = []
+    for i in range(len(fused)):
+        near = [(w, fused[i + d]) for d, w in ((-2, 0.05), (-1, 0.2), (0, 0.5), (1, 0.2), (2, 0.05)) if 0 <= i + d < len(fused)]
+        smooth.append(sum(w * x for w, x in near) / sum(w for w, _ in near))
+    return [mean(s for (p, _), s in zip(nodes, smooth) if p == path) for path, _ in nodes]
+
+
+def test_path_ratios_by_brute_force():
+    html = f"<body>{MENU}<div class='a'>{STORY}<p>x, y; z!</p></div><div class='b'><p>{LONG}</p><span>s</span></div>{MENU}</body>"
+    nodes = [(e, " ".join(t.split())) for e, t, _ in extraction.pieces(html) if t.strip()]
+    want = brute_ratios([(e.path, t) for e, t in nodes])
+    assert len(set(want)) > 3 and extraction.path_ratios(nodes) == pytest.approx(want)
+
+
 def test_title_of_main_around_an_article():
     assert extraction.main_text(f"<main><h1>T</h1><article><ul>{ITEMS}</ul></article></main>") == f"T\n{ITEM_LINES}"
 

@@ -3,13 +3,21 @@
 Every piece of text has a path of tags (with their classes) from the root. For
 each path the text length and the punctuation are averaged over its pieces, the
 two ratios are fused, smoothed along the page, and compared with the page's
-length-weighted mean: pieces on paths above ``CUT`` of it are content. The
-outermost article or main element around all content is the article; without
+length-weighted mean: pieces on paths above ``CUT`` of it are content.
+
+What a page says of its elements counts beside that. Menus, page footers, hidden
+elements and the like, told by tag or role, are left out. A class or id made of
+such words alone (``cookie-notice``), or a form, leaves its element out unless
+it is a frame: with a title or article in it, or all of the content. A name that
+only has such a word in it (``related-work``) leaves its element out if the paths
+agree, which they do where its text is no content or mostly links. So does a
+list or block without a name if it is made of links. Names that say what else a
+page has (``has-sidebar``) say nothing of their element.
+
+The outermost article or main element around all content is the article; without
 one it is the deepest element around all content, or the highest above it with
 headings or paragraphs of its own, since short ones may be below the cut. All
-text of the article is kept, whatever its length. Elements that
-are boilerplate by their tag, role or class (menus, page headers, footers,
-sidebars, notices, adverts, forms, reader comments) never take part.
+other text of the article is kept, whatever its length.
 
 Pages are parsed in one pass, in page order, one page at a time; unclosed and
 misnested tags are closed as browsers close them.
@@ -50,14 +58,26 @@ CLOSED_BY = {
 #: An open tag of these is closed no further up than this.
 SCOPES = {"li": frozenset({"ul", "ol", "menu"}), "tr": frozenset({"table"}), "td": frozenset({"table"}), "th": frozenset({"table"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"})}
 
-BOILERPLATE_TAGS = frozenset("head nav aside footer form button select dialog menu template noscript object svg canvas audio video datalist".split())
-BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+BOILERPLATE_TAGS = frozenset("head nav aside footer button select dialog menu template noscript object svg canvas audio video datalist".split())
+BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice notices popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
-    "disqus respond reply replies widget toolbar pagination pager".split()
+    "disqus respond reply replies widget toolbar topbar pagination pager".split()
 )
+#: Words that may stand beside those in a name that means nothing else.
+NEUTRAL = frozenset(
+    "site page main top bottom left right upper lower side header primary secondary global inner outer box block area section "
+    "container content wrapper wrap list item items row col column bar panel links link buttons button form field group "
+    "widget thread user post posts article entry blog the and by for in of to fixed sticky floating text body title".split()
+)
+#: Words before what else the page has.
+MODIFIERS = frozenset("has with without no is not hide show".split())
+#: Blocks that are menus if they are made of links.
+MENUS = frozenset("ul ol menu dl div section table p".split())
+LINK_SHARE = 0.7
+FRAME_SHARE = 0.5
 #: What is never an article on its own, and what makes the element around it one.
 PARTS = frozenset("p li td th pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl dt dd menu table caption thead tbody tfoot tr".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 hgroup header".split())
@@ -76,29 +96,50 @@ _NAME_PART = re.compile(r"[a-z]+")
 
 
 class Element:
-    """An open or closed element: its parent, path, and whether its text is left out."""
+    """An open or closed element: its parent, path, and what its tag and names say of it.
+
+    ``left_out`` is settled by a tag, for all below as well. ``suspect`` is
+    "named" if its name means boilerplate or it is a form, "hinted" if its name
+    has such a word in it, and else empty.
+    """
 
-    __slots__ = ("parent", "tag", "path", "left_out", "in_article", "mass")
+    __slots__ = ("parent", "tag", "path", "depth", "link", "left_out", "suspect", "in_article", "mass", "text", "links", "n_links", "framed")
 
     def __init__(self, parent: Element | None, tag: str, attributes: dict[str, str]) -> None:
         self.parent, self.tag, self.mass = parent, tag, 0.0
+        self.depth = parent.depth + 1 if parent else 0
+        self.link = self if tag == "a" else parent.link if parent else None
+        self.text = self.links = self.n_links = 0
+        self.framed = False
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
         self.path = (parent.path if parent else "") + f"/{tag}" + "".join(f".{n}" for n in sorted(names.split()))
         self.in_article = tag in ("article", "main") or bool(parent and parent.in_article)
-        self.left_out = bool(parent and parent.left_out) or _is_boilerplate(tag, attributes, names, bool(parent and parent.in_article))
+        within = bool(parent and parent.in_article)
+        self.left_out = bool(parent and parent.left_out) or _is_boilerplate(tag, attributes, within)
+        self.suspect = "" if tag in FRAMES else "named" if tag == "form" else _suspicion(names, within)
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], names: str, in_article: bool) -> bool:
+def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in FRAMES:
         return False
     if tag in BOILERPLATE_TAGS or tag == "header" and not in_article:
         return True
     if attributes.get("role", "").lower() in BOILERPLATE_ROLES or "hidden" in attributes:
         return True
-    if re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
-        return True
-    parts = set(_NAME_PART.findall(names))
-    return bool(parts & BOILERPLATE_WORDS) or "header" in parts and not in_article
+    return bool(re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I))
+
+
+def _suspicion(names: str, in_article: bool) -> str:
+    """What the class and id words of an element make of it."""
+    found = ""
+    for name in names.split():
+        parts = _NAME_PART.findall(name)
+        known = [p in BOILERPLATE_WORDS or p == "header" and not in_article for p in parts]
+        if any(known) and not MODIFIERS.intersection(parts):
+            if all(k or p in NEUTRAL for k, p in zip(known, parts)):
+                return "named"
+            found = "hinted"
+    return found
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -206,29 +247,80 @@ def _article(nodes: list[tuple[Element, str]], children: dict[Element, list[Elem
     return next((e for e in reversed(around) if e in hosts), article)
 
 
+def _inside_out(nodes: list[tuple[Element, str]]) -> list[Element]:
+    """All elements around pieces of text, each after those in it."""
+    seen: dict[Element, None] = {}
+    for element, _ in nodes:
+        while element is not None and element not in seen:
+            seen[element] = None
+            element = element.parent
+    return sorted(seen, key=lambda e: -e.depth)
+
+
+def _weigh(nodes: list[tuple[Element, str]]) -> tuple[float, list[Element]]:
+    """Give every element the content below it, and all text and links; the content in all, and the elements."""
+    ratios = path_ratios(nodes)
+    lengths = [len(t) for _, t in nodes]
+    level = sum(r * n for r, n in zip(ratios, lengths)) / sum(lengths)
+    elements = _inside_out(nodes)
+    for e in elements:
+        e.mass, e.text, e.links, e.n_links, e.framed = 0.0, 0, 0, 0, False
+    for (element, _), ratio, length in zip(nodes, ratios, lengths):
+        element.mass += length if ratio >= CUT * level else 0
+        element.text += length
+        element.links += length if element.link else 0
+    for e in elements:
+        if e.tag == "a":
+            e.n_links += 1
+        if e.parent is not None:
+            above = e.parent
+            above.mass, above.text, above.links = above.mass + e.mass, above.text + e.text, above.links + e.links
+            above.n_links += e.n_links
+            above.framed = above.framed or e.framed or e.tag in ("h1", "article", "main")
+    return elements[-1].mass, elements
+
+
+def _goes(element: Element, total: float) -> bool:
+    """Whether a weighed element's own tag, name and paths leave it out."""
+    if element.suspect == "named":
+        return not (element.mass == total or element.framed and element.mass >= FRAME_SHARE * total)
+    mostly_links = element.links >= LINK_SHARE * element.text
+    if element.suspect == "hinted":
+        return element.mass < element.text / 2 or mostly_links
+    return element.tag in MENUS and mostly_links and element.n_links > 2 and element.mass < element.text / 2
+
+
+def _stays(elements: list[Element], total: float) -> dict[Element, bool]:
+    """Whether each element stays, after those around it."""
+    stay: dict[Element, bool] = {}
+    for e in reversed(elements):
+        stay[e] = e.parent is None or stay[e.parent] and not _goes(e, total)
+    return stay
+
+
 def main_text(html: str | None) -> str:
     """The article of one page: blocks in page order, one to a line."""
     found = [(e, t, b) for e, t, b in pieces(html or "") if not e.left_out]
     nodes = [(e, " ".join(t.split())) for e, t, _ in found if t.strip()]
     if not nodes:
         return ""
-    ratios = path_ratios(nodes)
-    lengths = [len(t) for _, t in nodes]
-    level = sum(r * n for r, n in zip(ratios, lengths)) / sum(lengths)
+    total, elements = _weigh(nodes)
+    stay = _stays(elements, total)
+    nodes = [(e, t) for e, t in nodes if stay[e]]
+    if not nodes:
+        return ""
+    # Without what went, the paths are weighed anew.
+    total, elements = _weigh(nodes)
     children: dict[Element, list[Element]] = defaultdict(list)
-    total = 0.0
-    for (element, _), ratio, length in zip(nodes, ratios, lengths):
-        if ratio >= CUT * level:
-            total += length
-            while element is not None:
-                if element.mass == 0 and element.parent is not None:
-                    children[element.parent].append(element)
-                element.mass += length
-                element = element.parent
+    for e in elements:
+        if e.parent is not None and e.mass:
+            children[e.parent].append(e)
     article = _article(nodes, children, total)
     blocks: dict[int, list[str]] = defaultdict(list)
     inside = {article: True}
     for element, text, block in found:
+        if not stay.get(element, True):
+            continue
         way = []
         while element is not None and element not in inside:
             way.append(element)
