@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_jobs import frame, regulator_raw
 from tidemark import schemas
-from tidemark.plans import metrics, pipeline, refresh
+from tidemark.plans import marts, metrics, pipeline, refresh
 
 MARCH, JUNE, SEPTEMBER = date(2023, 3, 31), date(2023, 6, 30), date(2023, 9, 30)
 
@@ -61,61 +61,58 @@ def run(raw, root):
     return rows(metric.select(*sorted(metrics_columns()))), changed
 
 
-def test_first_run_equals_the_full_pipeline_and_a_second_does_nothing(spark, tmp_path):
-    raw = landed(spark)
-    got, changed = run(raw, tmp_path / "by_period")
-    assert got == full(spark, raw, tmp_path / "full")
-    assert changed["asset_deposit"] == {MARCH, JUNE}
-    before = files(tmp_path / "by_period")
-    again, changed = run(raw, tmp_path / "by_period")
-    assert again == got and not any(changed.values()) and files(tmp_path / "by_period") == before
+def moved(spark, updated="10/15/2023", at="2023-11-02 00:00:00"):
+    """A later version of bank 1's attributes."""
+    row = dict(cert="1", name="Bank 1", city="Moved", stname="Iowa", webaddr="x.com", dateupdt=updated, repdte="09/30/2023", scraped_at=at)
+    return frame(spark, schemas.RAW_BANK_INSTITUTIONS, row)
 
 
-def test_a_new_period_is_all_that_is_written(spark, tmp_path):
-    run(landed(spark), tmp_path / "by_period")
-    before = files(tmp_path / "by_period")
+def metric_loads(spark, root):
+    return refresh.RegulatorTables(spark, str(root)).metric.state().loads
+
+
+def test_run_after_run_equals_the_full_pipeline_and_writes_what_changed(spark, tmp_path):
+    root, raw = tmp_path / "by_period", landed(spark)
+    got, changed = run(raw, root)
+    assert got == full(spark, raw, tmp_path / "full") and changed["asset_deposit"] == {MARCH, JUNE}
+
+    before = files(root)
+    again, changed = run(raw, root)
+    assert again == got and not any(changed.values()) and files(root) == before
+
+    # A new period is all that is written.
     raw = landed(spark, **september(spark))
-    got, changed = run(raw, tmp_path / "by_period")
+    got, changed = run(raw, root)
     assert got == full(spark, raw, tmp_path / "full")
     assert changed["banks"] == changed["credit_unions"] == changed["asset_deposit"] == {SEPTEMBER}
-    after = files(tmp_path / "by_period")
+    after = files(root)
     assert {n: t for n, t in after.items() if n in before} == before
     assert {n.partition("=")[2] for n in set(after) - set(before)} == {"2023-09-30"}
 
-
-def test_an_old_period_takes_its_successors_along(spark, tmp_path):
-    raw = landed(spark, **september(spark))
-    run(raw, tmp_path / "by_period")
-    # Bank 1's June report is scraped again; union 1 reports in March and June, bank 1's next report is September's.
+    # Bank 1's June report is scraped again: its next report, September's, looks back on it.
     late = frame(spark, schemas.RAW_BANK_FINANCIALS, dict(cert="1", namefull="Bank 1", asset="9", dep="50", repdte="20230630", scraped_at="2023-11-01 00:00:00"))
     raw["bank_financials"] = raw["bank_financials"].unionByName(late)
-    before = refresh.RegulatorTables(spark, str(tmp_path / "by_period")).metric.state().loads
-    got, changed = run(raw, tmp_path / "by_period")
+    loads = metric_loads(spark, root)
+    got, changed = run(raw, root)
     assert got == full(spark, raw, tmp_path / "full")
     assert (changed["banks"], changed["credit_unions"], changed["asset_deposit"]) == ({JUNE}, set(), {JUNE, SEPTEMBER})
-    after = refresh.RegulatorTables(spark, str(tmp_path / "by_period")).metric.state().loads
-    assert [n for n in after if after[n] == before[n]] == ["report_date=2023-03-31"]
-
+    now = metric_loads(spark, root)
+    assert [n for n in now if now[n] == loads[n]] == ["report_date=2023-03-31"]
 
-def test_new_attributes_reach_every_period_of_their_institution(spark, tmp_path):
-    raw = landed(spark, **september(spark))
-    run(raw, tmp_path / "by_period")
-    moved = dict(cert="1", name="Bank 1", city="Moved", stname="Iowa", webaddr="x.com", dateupdt="10/15/2023", repdte="09/30/2023", scraped_at="2023-11-01 00:00:00")
-    raw["bank_institutions"] = raw["bank_institutions"].unionByName(frame(spark, schemas.RAW_BANK_INSTITUTIONS, moved))
-    got, changed = run(raw, tmp_path / "by_period")
+    # New attributes reach every period of their institution; the same ones in a later version change no mart.
+    raw["bank_institutions"] = raw["bank_institutions"].unionByName(moved(spark))
+    got, changed = run(raw, root)
     assert got == full(spark, raw, tmp_path / "full") and changed["banks"] == {MARCH, JUNE, SEPTEMBER}
-    # The same attributes in a later version change no mart.
-    raw["bank_institutions"] = raw["bank_institutions"].unionByName(frame(spark, schemas.RAW_BANK_INSTITUTIONS, dict(moved, dateupdt="10/16/2023", scraped_at="2023-11-02 00:00:00")))
-    again, changed = run(raw, tmp_path / "by_period")
+    raw["bank_institutions"] = raw["bank_institutions"].unionByName(moved(spark, "10/16/2023", "2023-11-03 00:00:00"))
+    again, changed = run(raw, root)
     assert again == got and changed["bank_institutions"] == {SEPTEMBER} and not changed["banks"]
 
 
-@pytest.mark.parametrize("dies", ["refresh_banks", "refresh_unions", "refresh_metric", "_refresh_mart"])
+@pytest.mark.parametrize("dies", ["refresh_banks", "refresh_metric"])
 def test_a_run_that_dies_leaves_the_next_all_that_is_to_do(spark, tmp_path, monkeypatch, dies):
     run(landed(spark), tmp_path / "by_period")
     raw = landed(spark, **september(spark))
-    moved = dict(cert="1", name="Bank 1", city="Moved", stname="Iowa", webaddr="x.com", dateupdt="10/15/2023", repdte="09/30/2023", scraped_at="2023-11-01 00:00:00")
-    raw["bank_institutions"] = raw["bank_institutions"].unionByName(frame(spark, schemas.RAW_BANK_INSTITUTIONS, moved))
+    raw["bank_institutions"] = raw["bank_institutions"].unionByName(moved(spark))
     with monkeypatch.context() as patched:
         patched.setattr(refresh, dies, lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
@@ -130,8 +127,6 @@ def test_stored_forms_are_joined_without_an_exchange(spark, tmp_path):
     run(landed(spark), tmp_path)
     tables = refresh.RegulatorTables(spark, str(tmp_path), buckets=2)
     forms = [tables.form(name).hint("merge") for name in refresh.FORMS]
-    from tidemark.plans import marts
-
     newest = [marts.newest_form(form, list(form.columns[2:3])) for form in forms]
     joined = newest[0].join(newest[1], ["cu_number", "period"], "left").join(newest[2], ["cu_number", "period"], "left")
     plan = joined._jdf.queryExecution().executedPlan().toString()
