@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, keys, numbers, pages, text
+from tidemark.functions import dates, keys, numbers, pages, sql, text
 from tidemark.sources.delimited import snake_case
 from tidemark.sources.lookups import state_name_of
 
@@ -218,3 +218,14 @@ def test_network_links(spark):
         (None, "HOME"),
         (None, None),
     ]
+
+
+def test_sql_calls_the_counter_rule_and_the_projection(spark):
+    sql.register(spark)
+    found = spark.sql("SELECT text_to_num(c) AS n FROM VALUES ('1,234'), ('1.2k'), ('12 commits'), ('null'), (NULL) AS t(c)")
+    assert [None if r.n is None else float(r.n) for r in found.collect()] == [1234.0, 1200.0, 12.0, None, None]
+    rows = spark.sql("SELECT * FROM size_projection(10, 3, DATE'2024-01-31')").collect()
+    assert [(r.months, r.total_size_gb, str(r.future_date)) for r in rows] == [(3, 13.0, "2024-04-30"), (6, 16.0, "2024-07-31"), (9, 19.0, "2024-10-31"), (12, 22.0, "2025-01-31")]
+    assert [r.total_size_gb for r in spark.sql("SELECT * FROM size_projection(10, 3, months_per_report => 1)").collect()] == [19.0, 28.0, 37.0, 46.0]
+    sizes = spark.sql("SELECT p.* FROM VALUES (1.0D, 2.0D), (5.0D, 6.0D) AS t(c, a), LATERAL size_projection(c, a) AS p")
+    assert sizes.count() == 8 and "NestedLoop" not in sizes._jdf.queryExecution().executedPlan().toString()

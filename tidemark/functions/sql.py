@@ -24,8 +24,8 @@ CREATE OR REPLACE TEMPORARY FUNCTION size_projection(
 RETURNS TABLE (months INT, total_size_gb DOUBLE, future_date DATE)
 COMMENT 'Size at each horizon: current + average * months / months_per_report'
 RETURN
-  SELECT h.months, current + average * h.months / months_per_report, add_months(today, h.months)
-  FROM VALUES {", ".join(f"({m})" for m in HORIZONS)} AS h(months)
+  SELECT ahead, current + average * ahead / months_per_report, add_months(today, ahead)
+  FROM (SELECT explode(array({", ".join(map(str, HORIZONS))})) AS ahead)
 """
 
 
