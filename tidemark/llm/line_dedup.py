@@ -21,6 +21,9 @@ Defined results: a null or empty text is one empty line. Rows that repeat an id
 are one document with the lines of all. A row without an id is no document: it
 counts for nothing and loses the common lines. Columns other than doc_id and
 text are not read.
+
+An empty table gives an empty result. Columns other than those that the functions
+name are not read, or pass through unread, whatever they are called.
 """
 
 from __future__ import annotations
@@ -54,7 +57,9 @@ def _key(line: Column) -> Column:
 
 def line_hashes(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, text_id, at, h1, h2) of every line of ``docs`` (doc_id, text) that is long enough to count."""
-    lines = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_id"), F.posexplode(_lines("text")).alias("at", "line"))
+    # The sum is worked out below the explode; beside it, it would be worked out for every line.
+    whole = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_id"), _lines("text").alias("lines"))
+    lines = whole.select("doc_id", "text_id", F.posexplode("lines").alias("at", "line"))
     keys = lines.select("doc_id", "text_id", "at", _key(F.col("line")).alias("key")).where(F.length("key") >= least_chars)
     return keys.select("doc_id", "text_id", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
 
