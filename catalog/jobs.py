@@ -375,7 +375,7 @@ def metric_asset_deposit_by_period(t: Tables):
     root, raw = scratch_dir(t.spark, "by-period"), _regulators(t)
     first = {name: df.where(F.col("scraped_at") < F.lit("1997-05-01").cast("timestamp_ntz")) for name, df in raw.items()}
     for tables in (first, raw):
-        metric, _ = refresh.refresh_regulator_tables(tables, root, buckets=4, lookup=X.nations_as_states(t))
+        metric, _ = refresh.refresh_regulator_tables(tables, root, buckets=2, lookup=X.nations_as_states(t))
     return metric.orderBy("inst_type", "id_number", "report_date")
 
 
