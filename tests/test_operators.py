@@ -68,8 +68,11 @@ def test_left_join_skewed_is_a_left_join(spark):
 
 def test_left_join_skewed_finds_and_deals_the_hot_key(spark):
     """One key owns most of the right side; no task may be left with all of its rows."""
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # Partitions as small as these would be put together.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
         left = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("a"))
         right = spark.range(0, 60_000, 1, 8).select(
@@ -85,7 +88,8 @@ def test_left_join_skewed_finds_and_deals_the_hot_key(spark):
         assert sum(r["count"] for r in sizes) == 40_200 and max(r["count"] for r in sizes) < 30_000 and len(sizes) > 1
         assert "_salt" not in plan(joins.left_join_skewed(left, right.where("k <> 7"), ["k"], 0.1))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+        for key, value in saved.items():
+            spark.conf.set(key, value)
 
 
 def test_null_reject_becomes_an_inner_join(spark):
