@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_jobs import frame, regulator_raw
 from tidemark import schemas
-from tidemark.plans import marts, metrics, pipeline, refresh
+from tidemark.plans import marts, metrics, pipeline, refresh, staging
 
 MARCH, JUNE, SEPTEMBER = date(2023, 3, 31), date(2023, 6, 30), date(2023, 9, 30)
 
@@ -133,3 +133,30 @@ def test_stored_forms_are_joined_without_an_exchange(spark, tmp_path):
     assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2 and plan.count("Window [") == 3
     mart = tables.unions.read()
     assert mart.count() == 2 and mart.where(F.col("other_non_int_inc_ytd") == 9).count() == 1
+
+
+def test_a_table_has_more_buckets_the_more_rows_it_has(spark, tmp_path, monkeypatch):
+    def dealt(name):
+        table = refresh.RegulatorTables(spark, str(tmp_path / "grown"), buckets=1).staged[name]
+        state = table.state()
+        return state.notes["buckets"], set(state.loads.values())
+
+    monkeypatch.setattr(refresh, "BUCKET_ROWS", 2)
+    raw = landed(spark)
+    n = raw["bank_financials"].count()
+    refresh.refresh_regulator_tables(raw, str(tmp_path / "grown"), buckets=1)
+    buckets, loads = dealt("bank_financials")
+    assert n > 2 and buckets >= n / 2 and len(loads) == 1
+
+    # Rows of a later period alone deal the whole table anew once it has outgrown its buckets.
+    def late(i):
+        return dict(cert=str(100 + i), namefull="Bank", asset="1", dep="7", repdte="20230930", scraped_at="2023-10-01 08:00:00")
+
+    more = frame(spark, schemas.RAW_BANK_FINANCIALS, *[late(i) for i in range(9 * buckets)])
+    raw["bank_financials"] = raw["bank_financials"].unionByName(more)
+    metric, _ = refresh.refresh_regulator_tables(raw, str(tmp_path / "grown"), buckets=1)
+    after, loads = dealt("bank_financials")
+    assert after > buckets and len(loads) == 1
+    assert rows(metric.select(*sorted(metrics_columns()))) == full(spark, raw, tmp_path / "full")
+    staged = refresh.RegulatorTables(spark, str(tmp_path / "grown"), buckets=1).form("bank_financials")
+    assert staged.count() == staging.stage_bank_financials(raw["bank_financials"]).count() and staged.where("cert >= 100").select("cert").distinct().count() == 9 * buckets
