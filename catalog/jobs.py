@@ -10,7 +10,7 @@ from catalog.rows import ASSET_LADDER, growth_ladder
 from tidemark.functions.dates import quarter_end
 from tidemark.functions.text import url_domain
 from tidemark.plans import maps, marts, metrics, page_extracts, refresh, staging
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, stored
 
 
 def _doubles(*names: str) -> str:
@@ -194,17 +194,19 @@ SQL_MAP = f"""(
     LEFT JOIN {X.SQL_CONTRIBUTORS} c ON c.profile_link = p.link)"""
 
 
-def _map(t: Tables) -> DataFrame:
-    return maps.map_company_contributor(
-        X.enrichment(t),
-        staging.stage_profiles(X.profiles(t)),
-        staging.stage_contributors(X.contributors(t)),
-    )
+def _contributors(t: Tables, *measures: str) -> DataFrame:
+    """Staged contributors as a table, which the map's search for hot keys, the map and the mart all read."""
+    staged = staging.stage_contributors(X.contributors(t))
+    return stored(staged.select("source_repo_link", "profile_link", *measures), "contributors")
+
+
+def _map(t: Tables, contributors: DataFrame) -> DataFrame:
+    return maps.map_company_contributor(X.enrichment(t), staging.stage_profiles(X.profiles(t)), contributors)
 
 
 @query("map_company_contributor", f"SELECT * FROM {SQL_MAP}")
 def map_company_contributor(t: Tables):
-    return _map(t)
+    return _map(t, _contributors(t))
 
 
 SQL_BANKS = rf"""(
@@ -315,15 +317,13 @@ SQL_CONTRIB = f"""(
 
 
 def _contrib(t: Tables) -> DataFrame:
-    contributors = staging.stage_contributors(X.contributors(t))
+    contributors = _contributors(t, "commits_to_source_repo")
     return marts.mart_company_contrib(
         staging.stage_repos(X.repos(t)),
         staging.stage_projects(X.projects(t)),
         contributors,
         staging.stage_companies(X.companies(t)),
-        maps.map_company_contributor(
-            X.enrichment(t), staging.stage_profiles(X.profiles(t)), contributors
-        ),
+        stored(_map(t, contributors), "company_map"),
     )
 
 

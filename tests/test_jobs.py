@@ -317,3 +317,12 @@ def test_size_profile_keeps_one_average_per_table(spark):
     totals = metrics.size_totals(profile).first()
     assert totals.total_current_size_gb == 82 / 1024**3
     assert totals.total_avg_size_gb_by_qtrly_rp_date == 41.0 / 1024**3
+
+
+def test_contributors_are_staged_once_for_map_and_mart(spark, monkeypatch):
+    from catalog import QUERIES, jobs
+
+    kept, store = [], jobs.stored
+    monkeypatch.setattr(jobs, "stored", lambda df, label: kept.append(label) or store(df, label))
+    text = QUERIES["mart_company_contrib"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert kept == ["contributors", "company_map"] and "l_orderkey" not in text and "l_partkey" not in text
