@@ -86,6 +86,14 @@ def test_numeric_text(spark):
     assert column(spark, "decimal(18,0)", [Decimal(100)], keys.numeric_text("x")) == ["100"]
 
 
+def test_parse_day_works_its_ladder_out_once(spark):
+    df = spark.createDataFrame([("1/2/2023",)], "x string").select(dates.parse_day("x").alias("day"))
+    written = df._jdf.queryExecution().optimizedPlan().toString()
+    assert written.count("RLIKE") == 3 and "regexp_replace" not in written
+    slashed = ["1/2/2023", "01/02/2023 10:00:00", "1/02/2023T1/2", "1/2/2023\n"]
+    assert column(spark, "string", slashed, dates.parse_day("x")) == [date(2023, 1, 2)] * 4
+
+
 def test_parse_day(spark):
     written = ["20230331", "3/31/2023", "03/31/2023 0:00:00", "2023-03-31", "2023-03-31 10:00:00", None]
     assert column(spark, "string", written, dates.parse_day("x")) == [date(2023, 3, 31)] * 5 + [None]

@@ -29,17 +29,19 @@ def parse_day(text: ColumnOrName, strict: bool = True) -> Column:
     exception for every format that does not fit.
     """
     value = as_col(text)
-    slashed = F.regexp_replace(value, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+    month, day = F.substring_index(value, "/", 1), F.substring_index(F.substring_index(value, "/", 2), "/", -1)
+    slashed = F.concat_ws("-", F.substring(value, F.length(month) + F.length(day) + 3, F.lit(4)), month, day)
     pieces = [F.substring(value, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
     iso = (
-        F.when(value.rlike(r"^\d{8}$"), F.concat_ws("-", *pieces))
+        F.when(~value.contains("/") & value.rlike(r"^\d{8}$"), F.concat_ws("-", *pieces))
         .when(value.rlike(r"^\d{1,2}/\d{1,2}/\d{4}([ T].*)?$"), slashed)
         .when(value.rlike(r"^\d{4}-\d{2}-\d{2}([ T].*)?$"), value)
     )
     if not strict:
         return iso.try_cast("date")
     unknown = F.raise_error(F.concat(F.lit("not a report day: "), value)).cast("string")
-    return F.when(value.isNull() | iso.isNotNull(), iso).otherwise(unknown).cast("date")
+    # The ladder stands here once: Spark works out what stands twice twice.
+    return F.coalesce(iso, F.when(value.isNotNull(), unknown)).cast("date")
 
 
 def quarter_end(day: ColumnOrName) -> Column:
