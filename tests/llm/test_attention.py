@@ -4,7 +4,9 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tests.llm.samples import documents
 from tidemark.llm import attention_lm as lm
 
 
@@ -81,3 +83,47 @@ def test_gradients_are_those_of_differences():
             down = loss(w)
             p[at] = kept
             assert g[at] == pytest.approx((up - down) / (2 * step), abs=2e-6), name
+
+
+def test_every_training_document_teaches(spark):
+    # The words of the 200 documents whose ids' hashes are largest stand in none of the 3,000 of smallest hash.
+    teaching = spark.range(3800).where("crc32(string(id)) % 7 <> 2").orderBy(F.xxhash64("id"))
+    ids = [r[0] for r in teaching.collect()]
+    assert len(ids) > 3200
+    rare = set(ids[-200:])
+    rows = [(i, "alpha beta" if i not in rare else "epsilon zeta omega kappa " * 25, "en", "a") for i in ids]
+    out = [r for r in lm.score(documents(spark, rows)).collect() if r.doc_id in rare]
+    assert len(out) == 200 and all(r.score > 0.2 * r.base_score for r in out)
+
+
+def test_training_takes_every_id_once_a_round(spark):
+    texts = ["alpha beta gamma " * (20 * i % 700) for i in range(40)]
+    own = lm.spelled(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).cache()
+    subwords = np.bincount(np.concatenate([np.frombuffer(r.ids, np.uint16) for r in own.collect()]), minlength=50257)
+    class_of, log_share = lm.classes(subwords)
+    weights, row = lm.begin(np.flatnonzero(subwords), len(subwords))
+    sums = lm.learned(own, lm.Model(weights, row, class_of, log_share), 0, 0.01, 1).toPandas()
+    by_row = sums[sums.key.between(1, len(weights.embedding) - 1)].set_index("key").n
+    # A document's inputs are an end and its ids but for the last, which is the end: each id as often as it stands there.
+    assert by_row.to_dict() == {int(row[i]): subwords[i] for i in np.flatnonzero(subwords)}
+    assert set(sums[sums.key >= len(weights.embedding)].n) == {subwords.sum()}
+
+
+def test_runs_of_blocks_have_the_gradients_of_single_ones():
+    _, _, _, model, inputs, targets, first = small(3)
+    rows, n = model.row[inputs], len(inputs) - 1 - (len(inputs) - 1) % 3
+    one = np.concatenate([rows[:n], rows[1 : n + 1]], 1)
+    runs = np.stack([rows[i : i + 4].ravel() for i in range(0, n, 3)])
+    rest = targets[1 : n + 1], first[1 : n + 1], model.class_of
+    for a, b in zip(lm._gradients(model.weights, one, *rest), lm._gradients(model.weights, runs, *rest)):
+        np.testing.assert_allclose(a, b, atol=2e-6)
+
+
+def test_words_are_told_from_their_ids():
+    speller = lm.Speller(lm.VOCABULARY)
+    texts = [["the", "a\u00a0b", "\u00a0", "the"], [], ["x" * 700, "\u3000x\u2003", "42nd", "don't,", "a\u00a0b"], ["the"]]
+    ids = [[i for word in text for i in speller.spell(word.encode())] + [speller.end] for text in texts]
+    hashes, text = lm.word_hashes(np.concatenate(ids).astype(np.uint16), np.array([len(i) for i in ids]), speller.begins)
+    assert text.tolist() == [i for i, own in enumerate(texts) for _ in own]
+    flat = [word for own in texts for word in own]
+    assert all((a == b) == (x == y) for a, x in zip(hashes, flat) for b, y in zip(hashes, flat))

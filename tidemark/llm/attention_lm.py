@@ -12,9 +12,14 @@ and the one before, so windows overlap by half, and each id is scored once, in
 the window whose last block it stands in. Scores add up to the log10 probability
 of the whole text.
 
-Counts of words and of subwords cover every training document. The weights of
-the network are fitted on at most ``SAMPLE_DOCS`` training documents (those of
-lowest id hash) and ``SAMPLE_IDS`` ids of each.
+Counts of words and of subwords cover every training document, and the weights
+of the network are fitted on every id of every training document. Training goes
+in ``ROUNDS``: each task starts from the weights of the round before, learns from
+all its documents of the round by Adam, and the weights of all tasks are averaged
+by what each has learned from. The rounds share the documents out among them, each
+taking more than the one before. Where that leaves a task fewer than
+``LEAST_STEPS`` steps, every round takes all documents. Averages depend on how
+the table is dealt to tasks, so ``score`` may differ between layouts of it.
 
 The base sums log10((c + 1) / (N + V + 1)) over tokens. Words that make up at
 least ``HEAD_SHARE`` of all training tokens (at most 1 / HEAD_SHARE of them) are
@@ -39,10 +44,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.checkpoints import cut
-from tidemark.llm.text_bytes import Chunk, chunks, prefix_hash, span_hash, words
+from tidemark.llm.text_bytes import CHUNK_BYTES, Chunk, chunks, prefix_hash, span_hash, words
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of that vocabulary.
@@ -58,12 +64,18 @@ GROUPS = 32
 MEMBERS = 32
 #: Classes of a single, frequent id, out of GROUPS * MEMBERS.
 SINGLES = 1000
-SAMPLE_DOCS = 3000
-SAMPLE_IDS = 384
+#: The rounds of training: from and to which of SLICES slices of a task's documents.
+ROUNDS = ((0, 1), (1, 2), (2, 4), (4, 8), (8, 16))
+SLICES = 16
+#: Passes of ``fit``.
 EPOCHS = 5
-#: Steps that training takes at least, however small the sample.
+#: Steps that training takes at least in a task, however few its documents.
 LEAST_STEPS = 200
+#: Ids a task draws its batches from at a time.
+DRAWN = 1 << 21
 BATCH = 256
+#: Blocks in a row that training takes together.
+RUN = 8
 RATE = 0.01
 SEED = 11
 #: Blocks scored at a time.
@@ -178,34 +190,97 @@ def _spelled(speller: Speller, found: Tokens) -> tuple[np.ndarray, np.ndarray]:
 # -- counts -----------------------------------------------------------------
 
 
-def counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(is_word, key, n): words by hash and subwords by id, over all of ``docs`` (text)."""
+_SPELLED = "doc_id long, held_out boolean, ids binary"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def spelled(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Each row's subword ids (``id_type``), the end last. Its words can be told from them."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(vocabulary)
-        subwords, held, size = np.zeros(speller.size, np.int64), [], 0
+        kind = id_type(speller.size)
+        for batch in batches:
+            for chunk in chunks(batch.column(2)):
+                found, n = tokens(chunk), chunk.last - chunk.first
+                ids, sizes = _spelled(speller, found)
+                own = np.bincount(found.text, sizes, n).astype(np.int64) + 1
+                whole = np.insert(ids, np.cumsum(own - 1), speller.end)
+                keys = [batch.column(i).slice(chunk.first, n) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*keys, _binary(whole.astype(kind), own)], [f.split()[0] for f in _SPELLED.split(", ")])
+
+    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(spell, _SPELLED)
+
+
+def id_type(size: int) -> type:
+    return np.uint16 if size <= 1 << 16 else np.int32
+
+
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Runs of ``values`` of these sizes as bytes."""
+    edges = np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(values.tobytes())]).cast(pa.binary())
+
+
+def _edges(column: pa.Array) -> np.ndarray:
+    """Where the values of a large_binary column begin and end."""
+    return np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+
+
+def _values(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``_binary`` end to end, and the size of each."""
+    column = column.cast(pa.large_binary())
+    edges, body = _edges(column), column.buffers()[2]
+    data = b"" if body is None else memoryview(body)[edges[0] : edges[-1]]
+    return np.frombuffer(data, kind), np.diff(edges) // np.dtype(kind).itemsize
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows of ``spelled`` in runs of about ``limit`` bytes of ids; a row is never cut."""
+    for batch in batches:
+        edges, low = _edges(batch.column("ids").cast(pa.large_binary())) if batch.num_rows else [], 0
+        while low < batch.num_rows:
+            high = max(int(np.searchsorted(edges, edges[low] + limit, "right")) - 1, low + 1)
+            yield batch.slice(low, high - low)
+            low = high
+
+
+def word_hashes(ids: np.ndarray, sizes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word of texts of ids, each with an end.
+
+    A word's first id, and no other, begins with the space before it, and words
+    are equal where their ids are.
+    """
+    starts = np.flatnonzero(begins[ids])
+    text = np.searchsorted(np.cumsum(sizes), starts, "right")
+    ends = np.minimum(np.append(starts[1:], len(ids)), (np.cumsum(sizes) - 1)[text])
+    return span_hash(prefix_hash(ids), starts, ends), text
+
+
+def counts(docs: DataFrame, begins: np.ndarray) -> DataFrame:
+    """(is_word, key, n): words by hash and subwords by id, over all of ``docs`` (of ``spelled``)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_ids, held, size = len(begins), [], 0
+        subwords = np.zeros(n_ids, np.int64)
 
         def passed_on() -> pa.RecordBatch:
             keys, inverse = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
             return _counted(True, keys.view(np.int64), np.bincount(inverse, np.concatenate([n for _, n in held])))
 
-        for batch in batches:
-            for chunk in chunks(batch.column(0)):
-                found = tokens(chunk)
-                ids, _ = _spelled(speller, found)
-                subwords += np.bincount(ids, minlength=speller.size)
-                subwords[speller.end] += chunk.last - chunk.first
-                held.append((found.distinct, np.bincount(found.inverse, minlength=len(found.distinct))))
-                size += len(found.distinct)
-                if size > 4 * HELD:
-                    yield passed_on()
-                    held, size = [], 0
+        for batch in _pieces(batches):
+            ids, sizes = _values(batch.column(0), id_type(n_ids))
+            subwords += np.bincount(ids, minlength=n_ids)
+            held.append(np.unique(word_hashes(ids, sizes, begins)[0], return_counts=True))
+            size += len(held[-1][0])
+            if size > 4 * HELD:
+                yield passed_on()
+                held, size = [], 0
         if held:
             yield passed_on()
         seen = np.flatnonzero(subwords)
         yield _counted(False, seen, subwords[seen])
 
-    parts = docs.select("text").mapInArrow(count, "is_word boolean, key long, n long")
+    parts = docs.select("ids").mapInArrow(count, "is_word boolean, key long, n long")
     return parts.groupBy("is_word", "key").agg(F.sum("n").alias("n"))
 
 
@@ -260,17 +335,51 @@ _AWAY = np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None]
 
 
 def _attend(w: Weights, window: np.ndarray, first: np.ndarray):
-    """Forward pass to the hidden layer for windows of embeddings (block, 2 * STRIDE, WIDTH)."""
-    last = window[:, STRIDE:]
-    query, key, value = last @ w.query, window @ w.key, window @ w.value
-    odds = (query * WIDTH**-0.5) @ key.transpose(0, 2, 1)
-    np.exp(np.clip(odds, -60, 60, out=odds), out=odds)
-    odds *= np.exp(w.position)[np.clip(_AWAY, 0, None)] * _CAUSAL
-    odds[first, :, :STRIDE] = 0  # a text's first block has none before it
-    total = odds @ np.ones((2 * STRIDE, 1), odds.dtype)
-    past = (odds @ value) / total
-    hidden = np.tanh(last @ w.from_last + past @ w.from_past + w.bias)
-    return hidden, (last, query, key, value, odds, total, past)
+    """Forward pass to the hidden layer for runs of blocks of embeddings (run, places, WIDTH).
+
+    A run's first block is only looked back to; the others follow end to end.
+    """
+    by_block = lambda x: x.reshape(-1, STRIDE, x.shape[1])
+    last = np.ascontiguousarray(window[:, STRIDE:]).reshape(-1, STRIDE, WIDTH)
+    query = by_block(_flat(last) @ (w.query * w.query.dtype.type(WIDTH**-0.5)))
+    key, value = (_overlapping((_flat(window) @ p).reshape(window.shape)) for p in (w.key, w.value))
+    share = query @ key.transpose(0, 2, 1)
+    np.exp(np.clip(share, -60, 60, out=share), out=share)
+    share *= np.exp(w.position)[np.clip(_AWAY, 0, None)] * _CAUSAL
+    share[first, :, :STRIDE] = 0  # a text's first block has none before it
+    share /= _row_sums(share)
+    past = share @ value
+    hidden = _flat(last) @ w.from_last
+    hidden += _flat(past) @ w.from_past
+    hidden += w.bias
+    return by_block(np.tanh(hidden, out=hidden)), (last, query, key, value, share, past)
+
+
+def _overlapping(x: np.ndarray) -> np.ndarray:
+    """The window (block, 2 * STRIDE, n) of every block of runs but their first."""
+    if x.shape[1] == 2 * STRIDE:
+        return x
+    blocks = x.reshape(len(x), -1, STRIDE, x.shape[2])
+    return np.concatenate([blocks[:, :-1], blocks[:, 1:]], 2).reshape(-1, 2 * STRIDE, x.shape[2])
+
+
+def _added_up(x: np.ndarray, runs: int) -> np.ndarray:
+    """The sum, for every place of runs, of its values in the windows it is in."""
+    if len(x) == runs:
+        return x
+    blocks = x.reshape(runs, -1, 2, STRIDE, x.shape[2])
+    out = np.zeros((runs, blocks.shape[1] + 1, STRIDE, x.shape[2]), x.dtype)
+    out[:, :-1] = blocks[:, :, 0]
+    out[:, 1:] += blocks[:, :, 1]
+    return out
+
+
+def _flat(x: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, x.shape[-1])
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return (_flat(x) @ np.ones(x.shape[-1], x.dtype)).reshape(*x.shape[:-1], 1)
 
 
 def _windows(rows: np.ndarray) -> np.ndarray:
@@ -379,20 +488,10 @@ def _chosen(w: Weights, hidden: np.ndarray, at: np.ndarray, class_of: np.ndarray
     return out
 
 
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        if edges[g] < edges[g + 1]:
-            yield g, order[edges[g] : edges[g + 1]]
-
-
-def fit(inputs: np.ndarray, targets: np.ndarray, first: np.ndarray, class_of: np.ndarray, epochs: int = EPOCHS) -> tuple[Weights, np.ndarray]:
-    """Train on blocks by Adam; the weights, and the embedding row of each id (0: not seen)."""
+def begin(seen: np.ndarray, n_ids: int) -> tuple[Weights, np.ndarray]:
+    """Weights before any training, and the embedding row of each id (0: not seen)."""
     rng = np.random.default_rng(SEED)
-    seen, rows = np.unique(inputs, return_inverse=True)
-    rows = rows.reshape(inputs.shape) + 1
-    row = np.zeros(len(class_of), np.int32)
+    row = np.zeros(n_ids, np.int32)
     row[seen] = np.arange(len(seen)) + 1
     d, h = WIDTH, HIDDEN
     shapes = ((len(seen) + 1, d), (d, d), (d, d), (d, d), (2 * STRIDE,), (d, h), (d, h), (h,))
@@ -400,103 +499,213 @@ def fit(inputs: np.ndarray, targets: np.ndarray, first: np.ndarray, class_of: np
     scales = (0.3, d**-0.5, d**-0.5, d**-0.5, 0, d**-0.5, d**-0.5, 0, h**-0.5, 0, h**-0.5, 0)
     w = Weights(*[(rng.normal(size=s) * k).astype(np.float32) for s, k in zip(shapes, scales)])
     w.embedding[0] = 0
-    mean, square, step = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
-    each = max(len(rows) // BATCH, 1)
+    return w, row
+
+
+class Trainer:
+    """Weights that learn from batches of blocks by Adam; of the embeddings only rows of the batch move."""
+
+    def __init__(self, weights: Weights, class_of: np.ndarray) -> None:
+        self.weights, self.class_of, self.steps = weights, class_of, 0
+        self.mean, self.square = [np.zeros_like(p) for p in weights], [np.zeros_like(p) for p in weights]
+        self.place = np.zeros(len(weights.embedding), np.int64)
+
+    def step(self, rows: np.ndarray, targets: np.ndarray, first: np.ndarray, rate: float) -> None:
+        met = np.zeros(len(self.place), bool)
+        met[rows] = True
+        own = np.flatnonzero(met)
+        self.place[own] = np.arange(len(own))
+        kept = [x[0] for x in (self.weights, self.mean, self.square)]
+        local = [x.take(own, 0) for x in kept]
+        grads = _gradients(self.weights._replace(embedding=local[0]), self.place[rows], targets, first, self.class_of)
+        self.steps += 1
+        for i, (p, g, m, v) in enumerate(zip(self.weights, grads, self.mean, self.square)):
+            p, m, v = local if i == 0 else (p, m, v)
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-8)
+        for x, part in zip(kept, local):
+            x[own] = part
+
+    def learn(self, rows: np.ndarray, targets: np.ndarray, first: np.ndarray, rates: Iterator[float], rng: np.random.Generator) -> None:
+        """One pass over blocks (embedding rows, targets, which begin a text), in batches of runs drawn without return."""
+        more = (0, -len(rows) % RUN)
+        rows, targets = np.pad(rows, (more, (0, 0))), np.pad(targets, (more, (0, 0)), constant_values=-1)
+        by_run = lambda x: x.reshape(len(x) // RUN, -1)
+        before = rows[np.maximum(np.arange(0, len(rows), RUN) - 1, 0)]
+        rows, targets, first = np.concatenate([before, by_run(rows)], 1), by_run(targets), by_run(np.pad(first, more, constant_values=True))
+        for batch in np.array_split(rng.permutation(len(rows)), max(len(rows) * RUN // BATCH, 1)):
+            self.step(rows[batch], targets[batch].reshape(-1, STRIDE), first[batch].ravel(), next(rates))
+
+
+def fit(inputs: np.ndarray, targets: np.ndarray, first: np.ndarray, class_of: np.ndarray, epochs: int = EPOCHS) -> tuple[Weights, np.ndarray]:
+    """Train on blocks in one place; the weights, and the embedding row of each id (0: not seen)."""
+    w, row = begin(np.unique(inputs), len(class_of))
+    rows, trainer, rng = row[inputs], Trainer(w, class_of), np.random.default_rng(SEED)
+    each = max(-(-len(rows) // RUN) * RUN // BATCH, 1)
     epochs = epochs and max(epochs, -(-LEAST_STEPS // each))
-    n_steps = epochs * each
+    rates = (RATE * (1 - 0.9 * step / (epochs * each)) for step in range(1, epochs * each + 1))
     for _ in range(epochs):
-        for batch in np.array_split(rng.permutation(len(rows)), each):
-            own = np.concatenate([rows[np.maximum(batch - 1, 0)], rows[batch]], 1)
-            grads = _gradients(w, own, targets[batch], first[batch], class_of)
-            step += 1
-            rate = RATE * (1 - 0.9 * step / n_steps)
-            for p, g, m, v in zip(w, grads, mean, square):
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    # An id that was not in the sample stands for an average one.
+        trainer.learn(rows, targets, first, rates, rng)
+    # An id that was not met stands for an average one.
     w.embedding[0] = w.embedding[1:].mean(0)
     return w, row
 
 
 def _gradients(w: Weights, rows: np.ndarray, targets: np.ndarray, first: np.ndarray, class_of: np.ndarray) -> list[np.ndarray]:
-    window = w.embedding[rows]
-    hidden, (last, query, key, value, odds, total, past) = _attend(w, window, first)
-    share = odds / total
-    real = targets >= 0
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    seen, classes_ = hidden[real], class_of[targets[real]]
-    group, member = classes_ // MEMBERS, classes_ % MEMBERS
-    d_group = _softmax_gradient(seen @ w.group + w.group_bias, group) / len(seen)
+    kind = w.embedding.dtype.type
+    window = w.embedding.take(rows, 0)
+    hidden, (last, query, key, value, share, past) = _attend(w, window, first)
+    at = np.flatnonzero(targets.ravel() >= 0)
+    classes_ = class_of.take(targets.ravel().take(at))
+    order = np.argsort(classes_.astype(np.uint16), kind="stable")  # by group, and so one product a group
+    at, classes_ = at.take(order), classes_.take(order)
+    seen, group, member = _flat(hidden).take(at, 0), classes_ // MEMBERS, classes_ % MEMBERS
+    edges = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+    groups = [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+    d_group = _softmax_gradient(seen @ w.group + w.group_bias, group)
     d_seen = d_group @ w.group.T
-    d_member, d_member_bias = np.zeros_like(w.member), np.zeros_like(w.member_bias)
-    for g, rows_of in _by_group(group):
-        part = _softmax_gradient(seen[rows_of] @ w.member[g] + w.member_bias[g], member[rows_of]) / len(seen)
-        d_member[g], d_member_bias[g] = seen[rows_of].T @ part, part.sum(0)
-        d_seen[rows_of] += part @ w.member[g].T
-    d_hidden = np.zeros_like(hidden)
-    d_hidden[real] = d_seen * (1 - seen**2)
-    d_past = d_hidden @ w.from_past.T
-    d_share = d_past @ value.transpose(0, 2, 1)
-    d_scores = share * (d_share - (d_share * share).sum(2, keepdims=True))
-    d_query, d_key = d_scores @ key * WIDTH**-0.5, d_scores.transpose(0, 2, 1) @ query * WIDTH**-0.5
-    d_value = share.transpose(0, 2, 1) @ d_past
-    d_window = d_key @ w.key.T + d_value @ w.value.T
-    d_window[:, STRIDE:] += d_hidden @ w.from_last.T + d_query @ w.query.T
+    part = np.empty((len(seen), MEMBERS), seen.dtype)
+    for g, own in groups:
+        np.matmul(seen[own], w.member[g], out=part[own])
+        part[own] += w.member_bias[g]
+    part = _softmax_gradient(part, member)
+    d_member, d_member_bias, ones = np.zeros_like(w.member), np.zeros_like(w.member_bias), np.ones(len(seen), seen.dtype)
+    d_inner = np.empty_like(d_seen)
+    for g, own in groups:
+        np.matmul(seen[own].T, part[own], out=d_member[g])
+        np.matmul(ones[own], part[own], out=d_member_bias[g])
+        np.matmul(part[own], w.member[g].T, out=d_inner[own])
+    d_seen += d_inner
+    d_seen *= 1 - seen * seen
+    d_hidden = np.zeros_like(_flat(hidden))
+    d_hidden[at] = d_seen
+    d_past = (d_hidden @ w.from_past.T).reshape(past.shape)
+    d_scores = d_past @ value.transpose(0, 2, 1)
+    d_scores -= _row_sums(d_past * past)
+    d_scores *= share
+    d_query = d_scores @ key * kind(WIDTH**-0.5)
+    d_key, d_value = (_added_up(x.transpose(0, 2, 1) @ y, len(rows)) for x, y in ((d_scores, query), (share, d_past)))
+    d_window = (_flat(d_key) @ w.key.T + _flat(d_value) @ w.value.T).reshape(window.shape)
+    d_window[:, STRIDE:] += (d_hidden @ w.from_last.T + _flat(d_query) @ w.query.T).reshape(len(rows), -1, WIDTH)
+    d_embedding = np.zeros_like(w.embedding)
     own = rows.ravel()
-    d_embedding = np.stack([np.bincount(own, flat(d_window)[:, e], len(w.embedding)) for e in range(WIDTH)], 1)
+    by_row = np.argsort(own.astype(np.uint16) if len(w.embedding) <= 1 << 16 else own, kind="stable")
+    starts = np.flatnonzero(np.diff(own.take(by_row), prepend=-1))
+    d_embedding[own.take(by_row.take(starts))] = np.add.reduceat(_flat(d_window).take(by_row, 0), starts, 0)
     d_position = np.bincount(np.clip(_AWAY, 0, None).ravel(), d_scores.sum(0).ravel(), 2 * STRIDE)
     return [
-        d_embedding.astype(np.float32), flat(last).T @ flat(d_query), flat(window).T @ flat(d_key), flat(window).T @ flat(d_value),
-        d_position.astype(np.float32), flat(last).T @ flat(d_hidden), flat(past).T @ flat(d_hidden), flat(d_hidden).sum(0),
+        d_embedding, _flat(last).T @ _flat(d_query), _flat(window).T @ _flat(d_key), _flat(window).T @ _flat(d_value),
+        d_position.astype(kind), _flat(last).T @ d_hidden, _flat(past).T @ d_hidden, d_hidden.sum(0),
         seen.T @ d_group, d_group.sum(0), d_member, d_member_bias,
     ]
 
 
 def _softmax_gradient(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    odds = np.exp(logits - logits.max(1, keepdims=True))
-    odds /= odds.sum(1, keepdims=True)
-    odds[np.arange(len(at)), at] -= 1
+    """The gradient of the mean negative log probability of the classes ``at``."""
+    odds, scale = np.exp(logits, out=logits), logits.dtype.type(1 / len(logits))
+    odds *= scale / _row_sums(odds)
+    odds[np.arange(len(at)), at] -= scale
     return odds
 
 
 # -- Spark ------------------------------------------------------------------
 
 
-def training_ids(docs: DataFrame, vocabulary: str = VOCABULARY, sample: int = SAMPLE_DOCS) -> list[np.ndarray]:
-    """Subword ids of the sampled training documents: a run of at most ``SAMPLE_IDS`` of each, by its id's hash."""
-    chosen = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen.select(F.col("doc_id").alias("id"))), "id")
+def _packed(w: Weights) -> np.ndarray:
+    """All weights as rows of ``WIDTH``: the embeddings, then the others end to end."""
+    rest = np.concatenate([p.ravel() for p in w[1:]])
+    return np.concatenate([w.embedding, np.pad(rest, (0, -len(rest) % WIDTH)).reshape(-1, WIDTH)])
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            speller = speller or Speller(vocabulary)
-            keys, out = batch.column(0).to_pylist(), []
-            for chunk in chunks(batch.column(1)):
-                found = tokens(chunk)
-                ids, n = _spelled(speller, found)
-                edge = np.concatenate([[0], np.cumsum(np.bincount(found.text, n, chunk.last - chunk.first))]).astype(np.int64)
-                for i in range(chunk.last - chunk.first):
-                    own = np.append(ids[edge[i] : edge[i + 1]], speller.end).astype(np.int32)
-                    at = keys[chunk.first + i] * 2654435761 % max(len(own) - SAMPLE_IDS + 1, 1)
-                    out.append(own[at : at + SAMPLE_IDS].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "ids"])
-
-    found = rows.mapInArrow(spell, "id long, ids binary").groupBy("id").agg(F.min("ids")).collect()
-    return [np.frombuffer(r[1], np.int32) for r in sorted(found)]
-
-
-def train(docs: DataFrame, subwords: np.ndarray, vocabulary: str = VOCABULARY) -> Model | None:
-    """The model of training documents (doc_id, text) with these subword counts; None without documents."""
-    ids = training_ids(docs, vocabulary)
-    if not ids:
+
+def _unpacked(rows: np.ndarray, like: Weights) -> Weights:
+    rest, out, at = rows[len(like.embedding) :].ravel(), [rows[: len(like.embedding)]], 0
+    for p in like[1:]:
+        out.append(rest[at : at + p.size].reshape(p.shape))
+        at += p.size
+    return Weights(*[np.ascontiguousarray(p, np.float32) for p in out])
+
+
+_LEARNED = ", ".join(["key long", "n double", *(f"v{i} double" for i in range(WIDTH))])
+
+
+def learned(docs: DataFrame, model: Model, start: float, share: float, steps: float) -> DataFrame:
+    """One round of training on all of ``docs`` (ids): rows of ``_packed`` weights, summed by how often each was learned from.
+
+    ``start`` and ``share`` are the parts of all training before and in the
+    round, and ``steps`` is about what a task takes in it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        end, kind = len(model.row) - 1, id_type(len(model.row))
+        trainer = Trainer(Weights(*[p.copy() for p in model.weights]), model.class_of)
+        rng = np.random.default_rng([SEED, TaskContext.get().partitionId()])
+        least = -(-LEAST_STEPS * share // 1)
+        used = np.zeros(len(model.weights.embedding), np.int64)
+
+        def rates() -> Iterator[float]:
+            while True:  # the first steps of Adam, whose means are fresh, are small ones
+                done = min(start + share * trainer.steps / max(steps, least), 1)
+                yield RATE * (1 - 0.9 * done) * min(1, (trainer.steps + 1) / 10)
+
+        rate = rates()
+
+        def drawn(held: list[tuple[np.ndarray, np.ndarray]], is_last: bool) -> None:
+            ids, sizes = (np.concatenate(x) for x in zip(*held))
+            inputs, targets, first = blocked(ids.astype(np.int64), sizes, end)
+            rows = model.row[inputs]
+            used[:] += np.bincount(rows[targets >= 0], minlength=len(used))
+            trainer.learn(rows, targets, first, rate, rng)
+            while is_last and trainer.steps < least:
+                trainer.learn(rows, targets, first, rate, rng)
+
+        held, size = [], 0
+        for batch in _pieces(batches):
+            held.append(_values(batch.column(0), kind))
+            size += len(held[-1][0])
+            if size >= DRAWN:
+                drawn(held, False)
+                held, size = [], 0
+        if held:
+            drawn(held, True)
+        elif not trainer.steps:
+            return
+        rows = _packed(trainer.weights).astype(np.float64)
+        n = np.concatenate([used, np.full(len(rows) - len(used), used.sum())]).astype(np.float64)
+        keys = np.flatnonzero(n)
+        values = rows[keys] * n[keys, None]
+        arrays = [pa.array(keys), pa.array(n[keys]), *(pa.array(np.ascontiguousarray(v)) for v in values.T)]
+        yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _LEARNED.split(", ")])
+
+    sums = [F.sum(f.split()[0]).alias(f.split()[0]) for f in _LEARNED.split(", ")[1:]]
+    return docs.select("ids").mapInArrow(learn, _LEARNED).groupBy("key").agg(*sums)
+
+
+def train(docs: DataFrame, subwords: np.ndarray) -> Model | None:
+    """The model of training documents (row, ids) with these subword counts; None without documents."""
+    if not subwords[-1]:
         return None
     class_of, log_share = classes(subwords)
-    inputs, targets, first = blocked(np.concatenate(ids), np.array([len(i) for i in ids]), len(subwords) - 1)
-    weights, row = fit(inputs, targets, first, class_of)
+    weights, row = begin(np.flatnonzero(subwords), len(subwords))
+    steps = int(subwords.sum()) / (STRIDE * BATCH * docs.rdd.getNumPartitions())
+    done = 0
+    for low, high in ROUNDS:
+        share = (high - low) / SLICES
+        own = docs
+        if steps >= LEAST_STEPS:
+            own = docs.where((F.col("row") % SLICES >= low) & (F.col("row") % SLICES < high))
+        else:
+            share = 1 / len(ROUNDS)
+        sums = learned(own, Model(weights, row, class_of, log_share), done, share, steps * share).toArrow()
+        done += share
+        keys, n, *values = (column.to_numpy() for column in sums.columns)
+        rows = _packed(weights).astype(np.float64)
+        rows[keys] = np.stack(values, 1) / n[:, None]
+        weights = _unpacked(rows, weights)
+    # An id that was not met stands for an average one.
+    weights.embedding[0] = weights.embedding[1:].mean(0)
     return Model(weights, row, class_of, log_share)
 
 
@@ -508,67 +717,52 @@ class Shared(NamedTuple):
     head_base: np.ndarray
 
 
-_PART = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<long>"
+_PART = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<long>, row long"
 
 
-def _parts(docs: DataFrame, shared, vocabulary: str, end_count: int, denominator: float) -> DataFrame:
-    """Scores of ``docs`` with the words whose counts are still to be found."""
+def _parts(docs: DataFrame, shared, begins: np.ndarray, end_count: int, denominator: float) -> DataFrame:
+    """Scores of ``docs`` (of ``spelled``) with the words whose counts are still to be found."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, head, head_base = shared.value
-        speller = Speller(vocabulary)
+        n_ids = len(begins)
         products = None if model is None else tables(model.weights)
         end_base = np.log10((end_count + 1) / denominator)
-        for batch in batches:
-            parts = []
-            for chunk in chunks(batch.column(2)):
-                found, n = tokens(chunk), chunk.last - chunk.first
-                at = np.searchsorted(head, found.distinct)
-                at = np.where(at < len(head), at, 0)
-                known = head[at] == found.distinct if len(head) else np.zeros(len(found.distinct), bool)
-                base = np.where(known, head_base[at] if len(head) else 0, 0)
-                is_known = known[found.inverse]
-                tail = np.flatnonzero(~is_known)
-                ids, sizes = _spelled(speller, found)
-                own = np.bincount(found.text, sizes, n).astype(np.int64) + 1
-                whole = np.insert(ids, np.cumsum(own - 1), speller.end)
-                if model is None:
-                    score = -own * np.log10(speller.size)
-                else:
-                    inputs, targets, first = blocked(whole, own, speller.end)
-                    logs = log_probabilities(model, inputs, targets, first, products).sum(1)
-                    score = np.add.reduceat(logs, np.flatnonzero(first)) / np.log(10)
-                parts.append(
-                    (
-                        np.bincount(found.text, minlength=n) + 1,
-                        np.bincount(found.text[is_known], minlength=n) + int(end_count > 0),
-                        np.bincount(found.text, base[found.inverse], n) + end_base,
-                        score,
-                        np.bincount(found.text[tail], minlength=n),
-                        found.hashes[tail].view(np.int64),
-                    )
-                )
-            if not parts:
-                continue
-            n_tokens, n_known, base, score, n_tail, tail = map(np.concatenate, zip(*parts))
-            edges = pa.array(np.concatenate([[0], np.cumsum(n_tail)]).astype(np.int32))
+        for batch in _pieces(batches):
+            n = batch.num_rows
+            whole, own = _values(batch.column(2), id_type(n_ids))
+            hashes, text = word_hashes(whole, own, begins)
+            at = np.searchsorted(head, hashes)
+            at = np.where(at < len(head), at, 0)
+            known = head[at] == hashes if len(head) else np.zeros(len(hashes), bool)
+            base = np.where(known, head_base[at] if len(head) else 0, 0)
+            tail = np.flatnonzero(~known)
+            if model is None:
+                score = -own * np.log10(n_ids)
+            else:
+                inputs, targets, first = blocked(whole.astype(np.int64), own, n_ids - 1)
+                logs = log_probabilities(model, inputs, targets, first, products).sum(1)
+                score = np.add.reduceat(logs, np.flatnonzero(first)) / np.log(10)
+            edges = np.concatenate([[0], np.cumsum(np.bincount(text[tail], minlength=n))]).astype(np.int32)
             arrays = [
-                batch.column(0), batch.column(1), pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(score),
-                pa.ListArray.from_arrays(edges, pa.array(tail)),
+                batch.column(0), batch.column(1), pa.array(np.bincount(text, minlength=n) + 1),
+                pa.array(np.bincount(text[known], minlength=n) + int(end_count > 0)),
+                pa.array(np.bincount(text, base, n) + end_base), pa.array(score),
+                pa.ListArray.from_arrays(pa.array(edges), pa.array(hashes[tail].view(np.int64))), batch.column(3),
             ]
             yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _PART.split(", ")])
 
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(measure, _PART)
+    return docs.select("doc_id", "held_out", "ids", "row").mapInArrow(measure, _PART)
 
 
 def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_share: float = HEAD_SHARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row of ``docs``."""
-    teaching = docs.where(~held_out())
-    counted = cut(counts(teaching, vocabulary))
+    own = cut(spelled(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
+    teaching, begins = own.where("NOT held_out"), Speller(vocabulary).begins
+    counted = cut(counts(teaching, begins))
     word_counts = counted.where("is_word").select(F.col("key").alias("word"), "n")
     n_words, n_distinct = word_counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    size = Speller(vocabulary).size
-    subwords = np.zeros(size, np.int64)
+    subwords = np.zeros(len(begins), np.int64)
     for key, n in counted.where("NOT is_word").select("key", "n").collect():
         subwords[key] = n
     end_count = int(subwords[-1])
@@ -579,10 +773,10 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_share: float = HEA
     order = np.argsort(frequent["word"].to_numpy(np.int64).view(np.uint64))
     head = frequent["word"].to_numpy(np.int64).view(np.uint64)[order]
     head_base = np.log10((frequent["n"].to_numpy(np.int64)[order] + 1) / denominator)
-    model = train(teaching, subwords, vocabulary)
+    model = train(teaching, subwords)
     shared = docs.sparkSession.sparkContext.broadcast(Shared(model, head, head_base))
 
-    parts = cut(_parts(docs, shared, vocabulary, end_count, denominator).withColumn("row", F.monotonically_increasing_id()))
+    parts = cut(_parts(own, shared, begins, end_count, denominator))
     tails = parts.select("row", F.explode("tail").alias("word")).join(word_counts, "word", "left").groupBy("row")
     tails = tails.agg(
         F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(denominator))).alias("tail_base"),
