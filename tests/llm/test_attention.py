@@ -3,11 +3,14 @@
 import math
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.samples import documents
 from tidemark.llm import attention_lm as lm
+from tidemark.llm.text_bytes import chunks
 
 
 def small(seed=0, n_ids=60, texts=5, wide=False):
@@ -127,3 +130,43 @@ def test_words_are_told_from_their_ids():
     assert text.tolist() == [i for i, own in enumerate(texts) for _ in own]
     flat = [word for own in texts for word in own]
     assert all((a == b) == (x == y) for a, x in zip(hashes, flat) for b, y in zip(hashes, flat))
+
+
+def test_as_many_words_are_frequent_as_may_be():
+    times = pd.DataFrame({"n": [1, 40, 3, 7], "words": [5000, 2, 90, 8]})
+    # By share alone, a hundredth of the tokens, two words would be: 5,406 tokens.
+    assert [lm.frequent_from(times, most) for most in (1, 2, 10, 99, 100, 6000)] == [41, 40, 7, 7, 3, 1]
+    assert lm.frequent_from(times.iloc[:0], 100) == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 700])
+def test_hashes_are_found_where_they_are_held(n):
+    rng = np.random.default_rng(n)
+    some = np.concatenate([rng.integers(0, 1 << 64, 2000, np.uint64), np.arange(9, dtype=np.uint64), ~np.arange(9, dtype=np.uint64)])
+    held = np.unique(rng.choice(some, n))
+    want = {h: i for i, h in enumerate(held.tolist())}
+    assert lm.Lookup(held).at(some).tolist() == [want.get(h, -1) for h in some.tolist()]
+
+
+def test_words_met_again_keep_their_spelling(monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 6)
+    speller, rng = lm.Speller(lm.VOCABULARY), np.random.default_rng(5)
+    known = ["the", "don't,", "a\u00a0b", "x" * 700, "42nd", "\u3000x", "\x00", "gone", "ing", "zeta"]
+    for _ in range(20):
+        text = [known[i] for i in rng.integers(0, len(known), rng.integers(1, 9))]
+        found = lm.tokens(next(chunks(pa.array([" ".join(text)]))))
+        ids, sizes = lm._spelled(speller, found)
+        each = [speller.spell(w.encode()) for w in text]
+        assert ids.tolist() == [i for e in each for i in e] and sizes.tolist() == [len(e) for e in each]
+
+
+def test_a_step_moves_every_weight_it_learns_from():
+    _, _, _, model, inputs, targets, first = small(3)
+    rows = np.concatenate([np.concatenate([np.zeros_like(inputs[:1]), inputs[:-1]]), inputs], 1)
+    trainer = lm.Trainer(lm.Weights(*[p.copy() for p in model.weights]), model.class_of)
+    grads = lm._gradients(model.weights, model.row[rows], targets, first, model.class_of)
+    trainer.step(model.row[rows], targets, first, 0.01)
+    for name, before, after, g in zip(model.weights._fields, model.weights, trainer.weights, grads):
+        # Adam's first step is the rate, against the gradient's sign.
+        sure = np.abs(g) > 1e-5
+        np.testing.assert_allclose((after - before)[sure], -0.01 * np.sign(g)[sure], rtol=2e-2, err_msg=name)

@@ -21,10 +21,11 @@ taking more than the one before. Where that leaves a task fewer than
 ``LEAST_STEPS`` steps, every round takes all documents. Averages depend on how
 the table is dealt to tasks, so ``score`` may differ between layouts of it.
 
-The base sums log10((c + 1) / (N + V + 1)) over tokens. Words that make up at
-least ``HEAD_SHARE`` of all training tokens (at most 1 / HEAD_SHARE of them) are
-broadcast and settle most tokens in place; the others join their counts by hash,
-and no key of that join can be hot by its training count.
+The base sums log10((c + 1) / (N + V + 1)) over tokens. The 1 / HEAD_SHARE most
+frequent words of the training documents (fewer where the last ones tie) are
+broadcast and settle most tokens in place. Among them is every word that makes up
+at least ``HEAD_SHARE`` of all training tokens; the others join their counts by
+hash, and no key of that join can be hot by its training count.
 
 Defined results: null and empty texts are one end. Without training documents
 the counts are zero and every id is equally likely. Rows without an id teach and
@@ -42,6 +43,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
@@ -109,7 +111,7 @@ class Speller:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.pool = np.zeros(1 << 16, np.int32)
         self.starts, self.sizes, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
 
@@ -120,15 +122,19 @@ class Speller:
         return [i for at in range(0, len(text), LONGEST) for i in self.encode(text[at : at + LONGEST])]
 
     def places(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> np.ndarray:
-        """Numbers of the words with these (distinct) hashes, in the order in which they were met."""
-        if len(self.place) > HELD:
+        """Numbers of the words with these hashes (distinct, ascending), in the order in which they were met."""
+        if len(self.hashes) > HELD:
             self.forget()
-        found = np.fromiter((self.place.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
-        new = np.flatnonzero(found < 0)
+        at = np.searchsorted(self.hashes, hashes)
+        near = np.minimum(at, len(self.hashes) - 1)
+        held = self.hashes[near] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        found, new = np.zeros(len(hashes), np.int64), np.flatnonzero(~held)
+        found[held] = self.number[near[held]]
         if len(new):
-            found[new] = np.arange(len(new)) + len(self.place)
-            self.place.update(zip(hashes[new].tolist(), found[new].tolist()))
-            ids, sizes = self.spell_all([data[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            found[new] = np.arange(len(new)) + len(self.hashes)
+            self.hashes = np.insert(self.hashes, at[new], hashes[new])
+            self.number = np.insert(self.number, at[new], found[new])
+            ids, sizes = self._spell_run(*_spaced(data, starts[new], ends[new]))
             if self.used + len(ids) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.int32)])
             self.pool[self.used : self.used + len(ids)] = ids
@@ -138,17 +144,21 @@ class Speller:
         return found
 
     def spell_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of many words, end to end, and how many each has.
+        """Ids of many words, end to end, and how many each has."""
+        return self._spell_run(b"".join(b" " + word for word in words), np.array([len(word) for word in words]))
+
+    def _spell_run(self, text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``spell_all`` of words of these lengths, each after a space.
 
         They are spelled as one text: the first id of a word, and no other,
         begins with the space before it.
         """
-        if max(map(len, words)) <= LONGEST:
-            ids = np.array(self.encode(" " + b" ".join(words).decode("utf-8")), np.int32)
+        if lengths.max() <= LONGEST:
+            ids = np.array(self.encode(text.decode("utf-8")), np.int32)
             edges = np.flatnonzero(self.begins[ids])
-            if len(edges) == len(words):
+            if len(edges) == len(lengths):
                 return ids, np.diff(edges, append=len(ids))
-        each = [self.spell(word) for word in words]
+        each = [self.spell(word) for word in text.split(b" ")[1:]]
         return np.array([i for ids in each for i in ids], np.int32), np.array([len(ids) for ids in each], np.int64)
 
     def ids(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,6 +168,16 @@ class Speller:
         return self.pool[at], n
 
 
+def _spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words at these places of ``data``, each after a space, and their lengths."""
+    lengths = ends - starts
+    edges = np.cumsum(lengths + 1)
+    at = np.repeat(ends - edges, lengths + 1) + np.arange(edges[-1])
+    text = data.take(at, mode="clip")
+    text[edges - lengths - 1] = 32
+    return text.tobytes(), lengths
+
+
 class Tokens(NamedTuple):
     """Words of a chunk: hash and text of each, its distinct hashes, and where each is among them."""
 
@@ -256,6 +276,36 @@ def word_hashes(ids: np.ndarray, sizes: np.ndarray, begins: np.ndarray) -> tuple
     return span_hash(prefix_hash(ids), starts, ends), text
 
 
+def frequent_from(times: pd.DataFrame, most: int) -> int:
+    """The least count that no more than ``most`` words reach; ``times`` has how many ``words`` have each count ``n``."""
+    times = times.sort_values("n", ascending=False)
+    reached = times["n"][times["words"].cumsum() <= most]
+    return int(reached.iloc[-1]) if len(reached) else int(times["n"].max() if len(times) else 0) + 1
+
+
+class Lookup:
+    """Where hashes are in an ascending array of them: what begins with the same bits is next to each other."""
+
+    def __init__(self, held: np.ndarray) -> None:
+        bits = len(held).bit_length() + 1
+        self.held, self.shift = held, np.uint64(64 - bits)
+        self.begins = np.searchsorted(held, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def at(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 where it is not held."""
+        if not len(self.held):
+            return np.full(len(hashes), -1)
+        at, last = self.begins.take((hashes >> self.shift).astype(np.int64)), len(self.held) - 1
+        np.minimum(at, last, out=at)
+        left = np.flatnonzero(self.held.take(at) < hashes)
+        while len(left):
+            left = left[at.take(left) < last]
+            at[left] += 1
+            left = left[self.held.take(at.take(left)) < hashes.take(left)]
+        at[self.held.take(at) != hashes] = -1
+        return at
+
+
 def counts(docs: DataFrame, begins: np.ndarray) -> DataFrame:
     """(is_word, key, n): words by hash and subwords by id, over all of ``docs`` (of ``spelled``)."""
 
@@ -331,46 +381,70 @@ def classes(subwords: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 #: (query, key): a place of a block sees itself and what stands before it.
 _CAUSAL = np.arange(2 * STRIDE)[None] <= np.arange(STRIDE)[:, None] + STRIDE
-_AWAY = np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None]
+#: How far back a key stands, 0 where it stands ahead.
+_BACK = np.clip(np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None], 0, None)
 
 
 def _attend(w: Weights, window: np.ndarray, first: np.ndarray):
     """Forward pass to the hidden layer for runs of blocks of embeddings (run, places, WIDTH).
 
     A run's first block is only looked back to; the others follow end to end.
+    Queries meet embeddings, and embeddings are averaged: keys and values are
+    products of them alone, so ``_folded`` takes their part.
+    """
+    meets, inward = _folded(w)
+    seen = np.ones((*window.shape[:2], WIDTH + 1), window.dtype)  # a one beside every embedding adds up the odds
+    seen[..., :-1] = window
+    seen = _overlapping(seen)
+    last = np.ascontiguousarray(window[:, STRIDE:]).reshape(-1, WIDTH)
+    query = _by_block(last @ meets, len(window))
+    # Below the odds stand their gradients, in time.
+    pair = np.empty((*seen.shape[:2], 2 * STRIDE, 2 * STRIDE), window.dtype)
+    odds = query @ seen[..., :WIDTH].swapaxes(2, 3)
+    np.exp(np.clip(odds, -60, 60, out=odds), out=odds)
+    odds = np.multiply(odds, np.exp(w.position)[_BACK] * _CAUSAL, out=pair[:, :, :STRIDE])
+    pair.reshape(-1, 2 * STRIDE, 2 * STRIDE)[first, :STRIDE, :STRIDE] = 0  # a text's first block has none before it
+    past = _flat(odds @ seen)
+    total = past[:, -1:].copy()
+    known = np.empty((len(past), 2 * WIDTH + 1), past.dtype)  # embedding, past and a one
+    known[:, :WIDTH] = last
+    np.divide(past, total, out=known[:, WIDTH:])
+    hidden = known @ inward
+    np.tanh(hidden, out=hidden)
+    hidden[:, -1] = 1
+    return hidden[:, :-1].reshape(-1, STRIDE, HIDDEN), (meets, inward, last, query, seen, pair, total, known, hidden)
+
+
+def _folded(w: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """What a place's embedding becomes to meet earlier ones, and what embedding, past and a one add to the hidden layer.
+
+    The hidden layer has a one of its own at its end.
     """
-    by_block = lambda x: x.reshape(-1, STRIDE, x.shape[1])
-    last = np.ascontiguousarray(window[:, STRIDE:]).reshape(-1, STRIDE, WIDTH)
-    query = by_block(_flat(last) @ (w.query * w.query.dtype.type(WIDTH**-0.5)))
-    key, value = (_overlapping((_flat(window) @ p).reshape(window.shape)) for p in (w.key, w.value))
-    share = query @ key.transpose(0, 2, 1)
-    np.exp(np.clip(share, -60, 60, out=share), out=share)
-    share *= np.exp(w.position)[np.clip(_AWAY, 0, None)] * _CAUSAL
-    share[first, :, :STRIDE] = 0  # a text's first block has none before it
-    share /= _row_sums(share)
-    past = share @ value
-    hidden = _flat(last) @ w.from_last
-    hidden += _flat(past) @ w.from_past
-    hidden += w.bias
-    return by_block(np.tanh(hidden, out=hidden)), (last, query, key, value, share, past)
+    inward = np.zeros((2 * WIDTH + 1, HIDDEN + 1), w.bias.dtype)
+    inward[:WIDTH, :-1], inward[WIDTH:-1, :-1], inward[-1, :-1] = w.from_last, w.value @ w.from_past, w.bias
+    return w.query @ w.key.T * w.query.dtype.type(WIDTH**-0.5), inward
+
+
+def _by_block(x: np.ndarray, runs: int) -> np.ndarray:
+    return x.reshape(runs, -1, STRIDE, x.shape[-1])
 
 
 def _overlapping(x: np.ndarray) -> np.ndarray:
-    """The window (block, 2 * STRIDE, n) of every block of runs but their first."""
-    if x.shape[1] == 2 * STRIDE:
-        return x
-    blocks = x.reshape(len(x), -1, STRIDE, x.shape[2])
-    return np.concatenate([blocks[:, :-1], blocks[:, 1:]], 2).reshape(-1, 2 * STRIDE, x.shape[2])
+    """The window (run, block, 2 * STRIDE, n) of every block of runs but their first: a view, not a copy."""
+    run, place, value = x.strides
+    shape = len(x), x.shape[1] // STRIDE - 1, 2 * STRIDE, x.shape[2]
+    return np.lib.stride_tricks.as_strided(x, shape, (run, place * STRIDE, place, value))
 
 
-def _added_up(x: np.ndarray, runs: int) -> np.ndarray:
+def _added_up(x: np.ndarray) -> np.ndarray:
     """The sum, for every place of runs, of its values in the windows it is in."""
-    if len(x) == runs:
-        return x
-    blocks = x.reshape(runs, -1, 2, STRIDE, x.shape[2])
-    out = np.zeros((runs, blocks.shape[1] + 1, STRIDE, x.shape[2]), x.dtype)
-    out[:, :-1] = blocks[:, :, 0]
-    out[:, 1:] += blocks[:, :, 1]
+    runs, blocks, _, n = x.shape
+    if blocks == 1:
+        return x.reshape(runs, 2 * STRIDE, n)
+    out = np.empty((runs, blocks + 1, STRIDE, n), x.dtype)
+    out[:, :-1] = x[:, :, :STRIDE]
+    out[:, -1] = 0
+    out[:, 1:] += x[:, :, STRIDE:]
     return out
 
 
@@ -382,12 +456,6 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return (_flat(x) @ np.ones(x.shape[-1], x.dtype)).reshape(*x.shape[:-1], 1)
 
 
-def _windows(rows: np.ndarray) -> np.ndarray:
-    """Each block of embedding rows with the block before it."""
-    before = np.concatenate([np.zeros_like(rows[:1]), rows[:-1]])
-    return np.concatenate([before, rows], 1)
-
-
 def blocked(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs and targets of each text in blocks of ``STRIDE``, and which blocks begin a text.
 
@@ -408,86 +476,93 @@ def blocked(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, n
 
 
 class Tables(NamedTuple):
-    """What each embedding row comes to at its places: scoring looks it up instead of multiplying."""
+    """What each embedding row comes to at its places: scoring looks it up instead of multiplying.
 
-    query: np.ndarray
-    key: np.ndarray
-    value: np.ndarray
-    last: np.ndarray
+    A row of ``place`` is what meets earlier embeddings, the embedding, a one and its part of the
+    hidden layer. That is kept as h = 1 / (1 + exp(2 x)), where tanh x is 1 - 2 h, with a half at its
+    end; the products around it are made to fit, and hold the biases.
+    """
+
+    place: np.ndarray
+    from_past: np.ndarray
+    group: np.ndarray
+    member: np.ndarray
     weight: np.ndarray
     bounded: bool
 
 
 def tables(w: Weights) -> Tables:
-    """The products of all embedding rows; a one beside every value adds up the odds."""
-    ones = np.ones((len(w.embedding), 1), w.embedding.dtype)
-    weight = np.exp(w.position)[np.clip(_AWAY, 0, None)] * _CAUSAL
-    query, key = w.embedding @ w.query * w.query.dtype.type(WIDTH**-0.5), w.embedding @ w.key
-    bounded = np.linalg.norm(query, axis=1).max() * np.linalg.norm(key, axis=1).max() < 60
-    return Tables(query, key, np.concatenate([w.embedding @ w.value, ones], 1), w.embedding @ w.from_last + w.bias, weight, bool(bounded))
-
-
-def _hidden(w: Weights, t: Tables, rows: np.ndarray, skip: int, first: np.ndarray) -> np.ndarray:
-    """The hidden layer, by place, of blocks of embedding rows but the first ``skip``, which are only looked back to."""
-    own = rows[skip:]
-    window = np.concatenate([rows[:-1], rows[1:]], 1) if skip else _windows(rows)
-    odds = t.query.take(own, 0) @ t.key.take(window, 0).transpose(0, 2, 1)
+    """The products of all embedding rows; a one beside every embedding adds up the odds."""
+    meets, inward = _folded(w)
+    query, ones = w.embedding @ meets, np.ones((len(w.embedding), 1), w.embedding.dtype)
+    bounded = np.linalg.norm(query, axis=1).max() * np.linalg.norm(w.embedding, axis=1).max() < 60
+    inner = 2 * (w.embedding @ inward[:WIDTH] + inward[-1])
+    outward = lambda x, bias: np.concatenate([-2 * x, 2 * (bias + x.sum(-2))[..., None, :]], -2)
+    return Tables(
+        np.concatenate([query, w.embedding, ones, inner], 1), 2 * inward[WIDTH:-1],
+        outward(w.group, w.group_bias), outward(w.member, w.member_bias), np.exp(w.position)[_BACK] * _CAUSAL, bool(bounded),
+    )
+
+
+def _hidden(t: Tables, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The hidden layer of ``Tables``, by place, of blocks of embedding rows but the first, which is only looked back to."""
+    found = t.place.take(rows.ravel(), 0)
+    own, window = found[STRIDE:].reshape(len(first), STRIDE, -1), _overlapping(found[None])[0]
+    odds = own[..., :WIDTH] @ window[..., WIDTH : 2 * WIDTH].swapaxes(1, 2)
     if not t.bounded:
         np.clip(odds, -60, 60, out=odds)
     np.exp(odds, out=odds)
     odds *= t.weight
     odds[first, :, :STRIDE] = 0  # a text's first block has none before it
-    past = odds @ t.value.take(window, 0)
-    past = (past[..., :-1] / past[..., -1:]).reshape(-1, WIDTH)
-    hidden = past @ w.from_past
-    hidden += t.last.take(own.ravel(), 0)
-    # The hyperbolic tangent, by one exponential.
-    np.clip(hidden, -12, 12, out=hidden)
-    hidden *= 2
-    np.exp(hidden, out=hidden)
-    return (hidden - 1) / (hidden + 1)
+    past = _flat(odds @ window[..., WIDTH : 2 * WIDTH + 1])
+    hidden = (past[:, :-1] / past[:, -1:]) @ t.from_past
+    hidden += _flat(own)[:, 2 * WIDTH + 1 :]
+    with np.errstate(over="ignore"):
+        np.exp(hidden, out=hidden)
+    hidden += 1
+    return np.reciprocal(hidden, out=hidden)
 
 
 def log_probabilities(model: Model, inputs: np.ndarray, targets: np.ndarray, first: np.ndarray, known: Tables | None = None) -> np.ndarray:
     """Natural-log probability of every target, by block and place; 0 beyond a text's end."""
-    w, out = model.weights, np.zeros(targets.shape)
-    known = known or tables(w)
+    out, known = np.zeros(targets.shape), known or tables(model.weights)
     rows = model.row[inputs]
-    for at in range(0, len(rows), BLOCKS):
-        low = max(at - 1, 0)  # the first window reaches one block back
-        hidden = _hidden(w, known, rows[low : at + BLOCKS], at - low, first[at : at + BLOCKS])
+    rows = np.concatenate([np.zeros_like(rows[:1]), rows])  # every window reaches one block back
+    for at in range(0, len(targets), BLOCKS):
+        hidden = _hidden(known, rows[at : at + BLOCKS + 1], first[at : at + BLOCKS])
         part = targets[at : at + BLOCKS].ravel()
         real = np.flatnonzero(part >= 0)
         own = part.take(real)
-        out[at : at + BLOCKS].ravel()[real] = _chosen(w, hidden, real, model.class_of.take(own)) + model.log_share.take(own)
+        out[at : at + BLOCKS].ravel()[real] = _chosen(known, hidden, real, model.class_of.take(own)) + model.log_share.take(own)
     return out
 
 
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    chosen = logits[np.arange(len(at)), at]
+    chosen = logits.ravel().take(np.arange(0, logits.size, logits.shape[1]) + at)
     return chosen - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype))
 
 
-def _chosen(w: Weights, hidden: np.ndarray, at: np.ndarray, class_of: np.ndarray) -> np.ndarray:
+def _chosen(t: Tables, hidden: np.ndarray, at: np.ndarray, class_of: np.ndarray) -> np.ndarray:
     """Log probability of a class for each of the rows ``at`` of the hidden layer."""
     order = np.argsort(class_of.astype(np.uint16), kind="stable")  # by group, and so one product a group
     hidden, class_of = hidden.take(at.take(order), 0), class_of.take(order)
     group, member = class_of // MEMBERS, class_of % MEMBERS
-    edges = np.searchsorted(group, np.arange(GROUPS + 1))
     logits = np.empty((len(hidden), MEMBERS), hidden.dtype)
-    for g in range(GROUPS):
-        if edges[g] < edges[g + 1]:
-            own = slice(edges[g], edges[g + 1])
-            np.matmul(hidden[own], w.member[g], out=logits[own])
-            logits[own] += w.member_bias[g]
+    for g, own in _by_group(group):
+        np.matmul(hidden[own], t.member[g], out=logits[own])
     found = _log_softmax_at(logits, member)
-    np.matmul(hidden, w.group, out=logits)
-    logits += w.group_bias
+    np.matmul(hidden, t.group, out=logits)
     out = np.empty(len(hidden))
     out[order] = found + _log_softmax_at(logits, group)
     return out
 
 
+def _by_group(group: np.ndarray) -> list[tuple[int, slice]]:
+    """Where each group stands in a sorted column of them."""
+    edges = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+    return [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+
+
 def begin(seen: np.ndarray, n_ids: int) -> tuple[Weights, np.ndarray]:
     """Weights before any training, and the embedding row of each id (0: not seen)."""
     rng = np.random.default_rng(SEED)
@@ -506,8 +581,13 @@ class Trainer:
     """Weights that learn from batches of blocks by Adam; of the embeddings only rows of the batch move."""
 
     def __init__(self, weights: Weights, class_of: np.ndarray) -> None:
-        self.weights, self.class_of, self.steps = weights, class_of, 0
-        self.mean, self.square = [np.zeros_like(p) for p in weights], [np.zeros_like(p) for p in weights]
+        # All weights but the embeddings are views of one array, which moves at once.
+        self.rest = np.concatenate([p.ravel() for p in weights[1:]])
+        edges = np.cumsum([p.size for p in weights[1:-1]])
+        self.weights = Weights(weights.embedding, *[x.reshape(p.shape) for x, p in zip(np.split(self.rest, edges), weights[1:])])
+        self.class_of, self.steps = class_of, 0
+        self.rows = [weights.embedding, np.zeros_like(weights.embedding), np.zeros_like(weights.embedding)]
+        self.others = [self.rest, np.zeros_like(self.rest), np.zeros_like(self.rest)]
         self.place = np.zeros(len(weights.embedding), np.int64)
 
     def step(self, rows: np.ndarray, targets: np.ndarray, first: np.ndarray, rate: float) -> None:
@@ -515,18 +595,24 @@ class Trainer:
         met[rows] = True
         own = np.flatnonzero(met)
         self.place[own] = np.arange(len(own))
-        kept = [x[0] for x in (self.weights, self.mean, self.square)]
-        local = [x.take(own, 0) for x in kept]
+        local = [x.take(own, 0) for x in self.rows]
         grads = _gradients(self.weights._replace(embedding=local[0]), self.place[rows], targets, first, self.class_of)
         self.steps += 1
-        for i, (p, g, m, v) in enumerate(zip(self.weights, grads, self.mean, self.square)):
-            p, m, v = local if i == 0 else (p, m, v)
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            p -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-8)
-        for x, part in zip(kept, local):
+        self._move(*local, grads[0], rate)
+        self._move(*self.others, np.concatenate([g.ravel() for g in grads[1:]]), rate)
+        for x, part in zip(self.rows, local):
             x[own] = part
 
+    def _move(self, p: np.ndarray, mean: np.ndarray, square: np.ndarray, g: np.ndarray, rate: float) -> None:
+        mean += 0.1 * (g - mean)
+        square += 0.01 * (g * g - square)
+        down = square / (1 - 0.99**self.steps)
+        np.sqrt(down, out=down)
+        down += 1e-8
+        np.divide(mean, down, out=down)
+        down *= rate / (1 - 0.9**self.steps)
+        p -= down
+
     def learn(self, rows: np.ndarray, targets: np.ndarray, first: np.ndarray, rates: Iterator[float], rng: np.random.Generator) -> None:
         """One pass over blocks (embedding rows, targets, which begin a text), in batches of runs drawn without return."""
         more = (0, -len(rows) % RUN)
@@ -549,63 +635,78 @@ def fit(inputs: np.ndarray, targets: np.ndarray, first: np.ndarray, class_of: np
         trainer.learn(rows, targets, first, rates, rng)
     # An id that was not met stands for an average one.
     w.embedding[0] = w.embedding[1:].mean(0)
-    return w, row
+    return trainer.weights, row
 
 
 def _gradients(w: Weights, rows: np.ndarray, targets: np.ndarray, first: np.ndarray, class_of: np.ndarray) -> list[np.ndarray]:
-    kind = w.embedding.dtype.type
-    window = w.embedding.take(rows, 0)
-    hidden, (last, query, key, value, share, past) = _attend(w, window, first)
+    scale = w.embedding.dtype.type(WIDTH**-0.5)
+    _, (meets, inward, last, query, seen, pair, total, known, hidden) = _attend(w, w.embedding.take(rows, 0), first)
+    d_hidden, d_group, d_member = _output_gradients(w, hidden, targets, class_of)
+    d_known = d_hidden @ inward.T
+    # The queries' upper half meets the odds' gradients, the gradients of the past their odds.
+    half = np.empty((*seen.shape[:2], 2 * STRIDE, WIDTH), pair.dtype)
+    half[:, :, STRIDE:] = query
+    d_past = d_known[:, WIDTH:]
+    d_past /= total
+    d_past[:, -1] = 0
+    d_past[:, -1] = -_row_sums(d_past * known[:, WIDTH:])[:, 0]  # what the odds' sum takes back
+    d_past = _by_block(d_past, len(rows))
+    half[:, :, :STRIDE] = d_past[..., :-1]
+    d_scores = d_past @ seen.swapaxes(2, 3)
+    d_scores *= pair[:, :, :STRIDE]
+    pair[:, :, STRIDE:] = d_scores
+    d_query = _flat(d_scores @ seen[..., :-1])
+    d_window = _added_up(pair.swapaxes(2, 3) @ half).reshape(len(rows), -1, WIDTH)
+    d_last = d_query @ meets.T
+    d_last += d_known[:, :WIDTH]
+    d_window[:, STRIDE:] += d_last.reshape(len(rows), -1, WIDTH)
+    own = rows.ravel()
+    by_row = np.argsort(own.astype(np.uint16) if len(w.embedding) <= 1 << 16 else own, kind="stable")
+    times = np.bincount(own, minlength=len(w.embedding))
+    met = np.flatnonzero(times)
+    d_embedding = np.zeros_like(w.embedding)
+    d_embedding[met] = np.add.reduceat(_flat(d_window).take(by_row, 0), (np.cumsum(times) - times)[met], 0)
+    d_position = np.bincount(_BACK.ravel(), d_scores.reshape(len(first), -1).sum(0), 2 * STRIDE)
+    d_meets, d_inward = last.T @ d_query * scale, (known.T @ d_hidden)[:, :-1]
+    d_past = d_inward[WIDTH:-1]
+    return [
+        d_embedding, d_meets @ w.key, d_meets.T @ w.query, d_past @ w.from_past.T, d_position.astype(pair.dtype),
+        d_inward[:WIDTH], w.value.T @ d_past, d_inward[-1], d_group[:-1], d_group[-1], d_member[:, :-1], d_member[:, -1],
+    ]
+
+
+def _output_gradients(w: Weights, hidden: np.ndarray, targets: np.ndarray, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the hidden layer's sums, and of the groups' and members' products, each with its bias as a last row."""
     at = np.flatnonzero(targets.ravel() >= 0)
     classes_ = class_of.take(targets.ravel().take(at))
     order = np.argsort(classes_.astype(np.uint16), kind="stable")  # by group, and so one product a group
     at, classes_ = at.take(order), classes_.take(order)
-    seen, group, member = _flat(hidden).take(at, 0), classes_ // MEMBERS, classes_ % MEMBERS
-    edges = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
-    groups = [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
-    d_group = _softmax_gradient(seen @ w.group + w.group_bias, group)
-    d_seen = d_group @ w.group.T
-    part = np.empty((len(seen), MEMBERS), seen.dtype)
-    for g, own in groups:
-        np.matmul(seen[own], w.member[g], out=part[own])
-        part[own] += w.member_bias[g]
+    seen, group, member = hidden.take(at, 0), classes_ // MEMBERS, classes_ % MEMBERS
+    w_group = np.concatenate([w.group, w.group_bias[None]])
+    w_member = np.concatenate([w.member, w.member_bias[:, None]], 1)
+    part = _softmax_gradient(seen @ w_group, group)
+    d_seen, d_group, d_member = part @ w_group.T, seen.T @ part, np.zeros_like(w_member)
+    by_group = _by_group(group)
+    for g, own in by_group:
+        np.matmul(seen[own], w_member[g], out=part[own])
     part = _softmax_gradient(part, member)
-    d_member, d_member_bias, ones = np.zeros_like(w.member), np.zeros_like(w.member_bias), np.ones(len(seen), seen.dtype)
-    d_inner = np.empty_like(d_seen)
-    for g, own in groups:
+    d_inner = np.zeros((len(d_seen) + 1, d_seen.shape[1]), d_seen.dtype)  # the last row is that of places without a target
+    for g, own in by_group:
         np.matmul(seen[own].T, part[own], out=d_member[g])
-        np.matmul(ones[own], part[own], out=d_member_bias[g])
-        np.matmul(part[own], w.member[g].T, out=d_inner[own])
-    d_seen += d_inner
-    d_seen *= 1 - seen * seen
-    d_hidden = np.zeros_like(_flat(hidden))
-    d_hidden[at] = d_seen
-    d_past = (d_hidden @ w.from_past.T).reshape(past.shape)
-    d_scores = d_past @ value.transpose(0, 2, 1)
-    d_scores -= _row_sums(d_past * past)
-    d_scores *= share
-    d_query = d_scores @ key * kind(WIDTH**-0.5)
-    d_key, d_value = (_added_up(x.transpose(0, 2, 1) @ y, len(rows)) for x, y in ((d_scores, query), (share, d_past)))
-    d_window = (_flat(d_key) @ w.key.T + _flat(d_value) @ w.value.T).reshape(window.shape)
-    d_window[:, STRIDE:] += (d_hidden @ w.from_last.T + _flat(d_query) @ w.query.T).reshape(len(rows), -1, WIDTH)
-    d_embedding = np.zeros_like(w.embedding)
-    own = rows.ravel()
-    by_row = np.argsort(own.astype(np.uint16) if len(w.embedding) <= 1 << 16 else own, kind="stable")
-    starts = np.flatnonzero(np.diff(own.take(by_row), prepend=-1))
-    d_embedding[own.take(by_row.take(starts))] = np.add.reduceat(_flat(d_window).take(by_row, 0), starts, 0)
-    d_position = np.bincount(np.clip(_AWAY, 0, None).ravel(), d_scores.sum(0).ravel(), 2 * STRIDE)
-    return [
-        d_embedding, _flat(last).T @ _flat(d_query), _flat(window).T @ _flat(d_key), _flat(window).T @ _flat(d_value),
-        d_position.astype(kind), _flat(last).T @ d_hidden, _flat(past).T @ d_hidden, d_hidden.sum(0),
-        seen.T @ d_group, d_group.sum(0), d_member, d_member_bias,
-    ]
+        np.matmul(part[own], w_member[g].T, out=d_inner[own])
+    d_inner[:-1] += d_seen
+    seen *= seen
+    d_inner[:-1] *= np.subtract(1, seen, out=seen)
+    place = np.full(len(hidden), len(at))
+    place[at] = np.arange(len(at))
+    return d_inner.take(place, 0), d_group, d_member
 
 
 def _softmax_gradient(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The gradient of the mean negative log probability of the classes ``at``."""
     odds, scale = np.exp(logits, out=logits), logits.dtype.type(1 / len(logits))
     odds *= scale / _row_sums(odds)
-    odds[np.arange(len(at)), at] -= scale
+    odds.reshape(-1)[np.arange(0, odds.size, odds.shape[1]) + at] -= scale
     return odds
 
 
@@ -725,17 +826,17 @@ def _parts(docs: DataFrame, shared, begins: np.ndarray, end_count: int, denomina
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, head, head_base = shared.value
-        n_ids = len(begins)
+        n_ids, frequent = len(begins), Lookup(head)
         products = None if model is None else tables(model.weights)
         end_base = np.log10((end_count + 1) / denominator)
         for batch in _pieces(batches):
             n = batch.num_rows
             whole, own = _values(batch.column(2), id_type(n_ids))
             hashes, text = word_hashes(whole, own, begins)
-            at = np.searchsorted(head, hashes)
-            at = np.where(at < len(head), at, 0)
-            known = head[at] == hashes if len(head) else np.zeros(len(hashes), bool)
-            base = np.where(known, head_base[at] if len(head) else 0, 0)
+            at = frequent.at(hashes)
+            known = at >= 0
+            base = np.zeros(len(hashes))
+            base[known] = head_base[at[known]]
             tail = np.flatnonzero(~known)
             if model is None:
                 score = -own * np.log10(n_ids)
@@ -761,7 +862,8 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_share: float = HEA
     teaching, begins = own.where("NOT held_out"), Speller(vocabulary).begins
     counted = cut(counts(teaching, begins))
     word_counts = counted.where("is_word").select(F.col("key").alias("word"), "n")
-    n_words, n_distinct = word_counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    times = word_counts.groupBy("n").agg(F.count("*").alias("words")).toPandas()
+    n_words, n_distinct = int((times["n"] * times["words"]).sum()), int(times["words"].sum())
     subwords = np.zeros(len(begins), np.int64)
     for key, n in counted.where("NOT is_word").select("key", "n").collect():
         subwords[key] = n
@@ -769,7 +871,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_share: float = HEA
     n_tokens = n_words + end_count
     denominator = float(n_tokens + n_distinct + (end_count > 0) + 1)
 
-    frequent = word_counts.where(F.col("n") >= max(head_share * n_tokens, 1)).toPandas()
+    frequent = word_counts.where(F.col("n") >= frequent_from(times, round(1 / head_share))).toPandas()
     order = np.argsort(frequent["word"].to_numpy(np.int64).view(np.uint64))
     head = frequent["word"].to_numpy(np.int64).view(np.uint64)[order]
     head_base = np.log10((frequent["n"].to_numpy(np.int64)[order] + 1) / denominator)
