@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -32,18 +32,21 @@ def metric_asset_deposit(banks: DataFrame, credit_unions: DataFrame, ordered: bo
     """Asset tier and deposit growth of every institution and report date.
 
     The marts hold one row per institution and report, so a growth window is as
-    long as one institution's history. ``ordered`` adds the report's final sort;
-    leave it off when the result goes to a table.
+    long as one institution's history. Growth is taken of each mart before their
+    union, so that a mart already distributed by its entity is not shuffled.
+    ``ordered`` adds the report's final sort; leave it off when the result goes
+    to a table.
     """
-    metrics = growth_of(institutions(banks, credit_unions))
+    marts = {"bank": _institutions(banks, "cert"), "credit union": _institutions(credit_unions, "cu_number")}
+    metrics = union_tagged({kind: growth_of(mart, ["id_number"]) for kind, mart in marts.items()}, "inst_type")
     return metrics.orderBy("inst_type", "id_number", "report_date") if ordered else metrics
 
 
-def growth_of(tagged: DataFrame) -> DataFrame:
-    """Asset tier and deposit growth of ``institutions`` rows."""
+def growth_of(rows: DataFrame, entity: Sequence[str] = ("id_number", "inst_type")) -> DataFrame:
+    """Asset tier and deposit growth of ``institutions`` rows, or of one mart's by ``id_number`` alone."""
     grown = growth_vs_prev(
-        tagged,
-        ["id_number", "inst_type"],
+        rows,
+        entity,
         "report_date",
         "total_deposits",
         into="deposits_growth_prev_qtr",
