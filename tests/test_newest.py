@@ -32,9 +32,9 @@ def unions(spark):
 
 
 def union_mart(spark, raw, place=None, form=None):
-    staged = [staging.stage_cu_branches(raw["branches"], newest=place)]
+    staged = [staging.stage_cu_branches(raw["branches"], then=place)]
     for name in ("fs220", "fs220a", "fs220d", "fs220n"):
-        staged.append(getattr(staging, f"stage_{name}")(raw[name], newest=form))
+        staged.append(getattr(staging, f"stage_{name}")(raw[name], then=form))
     return marts.mart_credit_unions(*staged, states(spark))
 
 
@@ -53,7 +53,7 @@ def banks(spark):
 
 
 def bank_mart(spark, financials, institutions, report=None, attributes=None):
-    staged = staging.stage_bank_financials(financials, newest=report), staging.stage_bank_institutions(institutions, newest=attributes)
+    staged = staging.stage_bank_financials(financials, then=report), staging.stage_bank_institutions(institutions, then=attributes)
     return marts.mart_banks(*staged, states(spark))
 
 
@@ -64,7 +64,7 @@ def test_leading_rows_keep_ties_and_nulls_lead(spark):
 
 def test_newest_versions_are_found_before_the_shuffle(spark):
     df = spark.range(4000).selectExpr("id % 10 as k", "id as v", "timestamp '2023-01-01' + make_interval(0, 0, 0, int(id % 40)) as scraped_at")
-    got = snapshot_distinct(df, ["k", "v"], newest=Newest(("k",)))
+    got = snapshot_distinct(df, ["k", "v"], then=Newest(("k",)))
     assert got.count() == 1000 and got.select("k", "scraped_at").distinct().count() == 10
     plan = got._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("Exchange") :]
@@ -99,12 +99,12 @@ def test_a_raw_table_is_shuffled_once_for_a_mart_and_a_mart_once_for_the_metric(
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         lookup = F.broadcast(X.nations_as_states(t))
-        forms = [getattr(staging, f"stage_{n}")(getattr(X, f"cu_{n}")(t), newest=marts.NEWEST_FORM) for n in ("fs220", "fs220a", "fs220d", "fs220n")]
-        mart = marts.mart_credit_unions(staging.stage_cu_branches(X.cu_branches(t), newest=marts.NEWEST_PLACE), *forms, lookup)
+        forms = [getattr(staging, f"stage_{n}")(getattr(X, f"cu_{n}")(t), then=marts.NEWEST_FORM) for n in ("fs220", "fs220a", "fs220d", "fs220n")]
+        mart = marts.mart_credit_unions(staging.stage_cu_branches(X.cu_branches(t), then=marts.NEWEST_PLACE), *forms, lookup)
         exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
         # One for each raw table, and one for the place, which joins by charter alone.
         assert exchanges(mart) == 6
-        fin, inst = staging.stage_bank_financials(X.bank_financials(t), newest=marts.NEWEST_REPORT), staging.stage_bank_institutions(X.bank_institutions(t), newest=marts.NEWEST_ATTRIBUTES)
+        fin, inst = staging.stage_bank_financials(X.bank_financials(t), then=marts.NEWEST_REPORT), staging.stage_bank_institutions(X.bank_institutions(t), then=marts.NEWEST_ATTRIBUTES)
         assert exchanges(metrics.metric_asset_deposit(marts.mart_banks(fin, inst, lookup), mart, ordered=False)) == 6 + 3
         assert jobs._banks(t).count() == marts.mart_banks(fin, inst, lookup).count()
     finally:
